@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, neighbours, packing, secrets, sharding
+from . import fingerprints, line_dedup, mixing, near_dups, neighbours, packing, secrets, sharding, toxicity
 from .common import table
 
 SHARDS = 40
@@ -37,6 +37,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "rate")
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
@@ -51,7 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op8_line_dedup, op9_nearest, op10_packing)}
+    return {f.__name__: f for f in (op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

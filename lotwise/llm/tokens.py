@@ -12,8 +12,8 @@ from tokenizers import Tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
 END = 2
-#: Words kept by a worker before its table starts anew; bounds its memory.
-KEPT_WORDS = 300_000
+#: Words a worker keeps; bounds its memory. Words met later are encoded for their batch alone.
+KEPT_WORDS = 1_000_000
 
 _loaded: dict[str, WordIds] = {}
 
@@ -28,14 +28,15 @@ class WordIds:
         split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
         known = self.known
         new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = list({w for words in split for w in words})
+        fresh = {}
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
             for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+                fresh[w] = np.array(e.ids, "<u4").tobytes()
+        if len(known) + len(fresh) <= KEPT_WORDS:
+            known.update(fresh)
+            return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [b"".join([known[w] if w in known else fresh[w] for w in words]) for words in split]
 
 
 def word_ids(path: str) -> WordIds:
