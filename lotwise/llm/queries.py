@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, line_dedup, mixing, near_dups, neighbours, packing, secrets, sharding, toxicity
+from . import fingerprints, hmm, line_dedup, mixing, near_dups, neighbours, packing, secrets, sharding, toxicity
 from .common import table
 
 SHARDS = 40
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shards(table(spark, sf_dir, "documents"), SHARDS)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
@@ -59,7 +63,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing)}
+    return {f.__name__: f for f in (op1_language_model, op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:

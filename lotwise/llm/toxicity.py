@@ -285,6 +285,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOC
     return [(text, toxic) for _, text, toxic in rows]
 
 
+def probabilities(model: Model, margin: np.ndarray) -> np.ndarray:
+    return np.zeros(len(margin)) if model.empty else 1 / (1 + np.exp(-np.clip(model.slope * margin + model.offset, -30, 30)))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, margin."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # TABLE x (LANDMARKS + CONTRAST) numbers
@@ -296,8 +300,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for at in range(0, whole.num_rows, 200):
                 b = whole.slice(at, 200)
                 margin = matcher.documents(b.column("text").to_pylist())
-                p = np.zeros(len(margin)) if m.empty else 1 / (1 + np.exp(-np.clip(m.slope * margin + m.offset, -30, 30)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(p), pa.array(margin)], ["doc_id", "held_out", "score", "margin"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(probabilities(m, margin)), pa.array(margin)], ["doc_id", "held_out", "score", "margin"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), in_fold(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), "text").mapInArrow(run, SCHEMA)
 
@@ -307,3 +310,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     rows = training_rows(docs, labels)
     model = fit([t for t, _ in rows], [v for _, v in rows])
     return score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "margin")
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """docs without the rows whose text is predicted toxic."""
+    rows = training_rows(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(fit([t for t, _ in rows], [v for _, v in rows]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        matcher = Matcher(m)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 200):
+                b = whole.slice(at, 200)
+                yield b.filter(pa.array(probabilities(m, matcher.documents(b.column("text").to_pylist())) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
