@@ -29,7 +29,8 @@ ID_LANES, WORDS, LANE = 4, 20, 20
 MOD = (1 << 62) - 1
 #: One bit in each of a word's three lanes.
 SPREAD = 1 | 1 << LANE | 1 << (2 * LANE)
-PHRASE = r"[.!?,;:|\n]\s*"
+#: Phrases end at punctuation and after words of six characters or more, so an edit moves few of them.
+PHRASE = r"[.!?,;:|\n]\s*|(?<=\S{6})\s+"
 #: Documents of one ordering task.
 ORDER_ROWS, MAX_RANGES = 100_000, 4096
 NULL_ID = -(1 << 63)
@@ -135,9 +136,9 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     order = cut(neighbours(docs.select("id", "n_chars", "mark")), "neighbours")
     used = order.select(F.col("next").alias("id"), F.col("id").alias("user"), F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
     order = order.join(used, "id")
-    texts = docs.drop("n_chars").join(order, ["id", "mark"])
+    texts = docs.drop("n_chars").join(order.hint("merge"), ["id", "mark"])
     starts = texts.select(F.col("user").alias("id"), F.substring("text", F.lit(1), F.col("take")).alias("start"))
-    whole = texts.select("id", "n_chars", "next", "text").join(starts, "id")
+    whole = texts.select("id", "n_chars", "next", "text").join(starts.hint("merge"), "id")
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
     return whole.withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "start")).drop("start")
 
