@@ -134,5 +134,5 @@ def mix(docs: DataFrame) -> DataFrame:
     name = "_copies"
     plan = copies(docs).groupBy("doc_id", "size").agg(F.max("copies").alias(name)).withColumnRenamed("doc_id", "_doc_id").withColumnRenamed("size", "_size")
     sized = docs.withColumn("_words", words(F.col("text")))
-    joined = sized.join(plan, sized["doc_id"].eqNullSafe(plan["_doc_id"]) & (sized["_words"] == plan["_size"]))
+    joined = sized.join(plan.hint("merge"), sized["doc_id"].eqNullSafe(plan["_doc_id"]) & (sized["_words"] == plan["_size"]))
     return joined.where(F.col(name) > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(name)))).select(*docs.columns)

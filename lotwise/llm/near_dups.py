@@ -130,7 +130,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     """The pairs (a, b) whose sets are similar enough; texts: doc_id, text."""
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
-    rows = pairs.select("a", "b").join(b, "b").join(a, "a")
+    rows = pairs.select("a", "b").join(b.hint("merge"), "b").join(a.hint("merge"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, kept = None, None
@@ -181,7 +181,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     shared = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("band", "least")
     buckets = cut(bands.join(shared, "band").select("band", "rep", "n", "least").distinct(), "buckets")
     comp = cut(buckets.select("rep").distinct().withColumn("c", F.col("rep")), "components")
-    texts = cut(docs.join(comp.select(F.col("rep").alias("doc_id")), "doc_id"), "texts")
+    texts = cut(docs.join(comp.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id"), "texts")
 
     def alike(n: str, m: str):
         return 100 * F.least(n, m) >= percent * F.greatest(n, m)
@@ -221,4 +221,4 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs without the rows whose document is linked, directly or through others, to one of a smaller id."""
     gone = cut(near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")
