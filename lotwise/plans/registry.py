@@ -5,22 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
 
 
-def f01_latest_per_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_type").alias("site"), F.to_date("ts").alias("day"), "ts", "event_id", "user_id", "value")
-    newest = e.groupBy("site").agg(F.max("day").alias("day"))
-    last = Window.partitionBy("site", "user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())
-    return e.join(newest, ["site", "day"]).withColumn("rn", F.row_number().over(last)).where("rn = 1").groupBy("site").agg(F.count("*").alias("listings"), F.round(F.sum("value"), 2).alias("total"))
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query under its function's name, with its DuckDB SQL if there is one."""
+
+    def add(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _load() -> None:
+    from . import page_queries, record_queries, snapshot_queries, space_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:
-    return {"f01_latest_per_site": f01_latest_per_site}
+    _load()
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    _load()
+    return dict(_SQL)
