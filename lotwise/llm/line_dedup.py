@@ -109,7 +109,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         return (F.char_length(key) < min_chars) | ~F.array_contains(F.col("_gone"), F.struct(h1.alias("h1"), h2.alias("h2")))
 
     lines = lines_of(F.col("text"))
-    out = docs.withColumn("_id", F.coalesce("doc_id", F.lit(NULL_ID))).join(gone.withColumnRenamed("id", "_id"), "_id", "left")
+    out = docs.withColumn("_id", F.coalesce("doc_id", F.lit(NULL_ID))).join(gone.withColumnRenamed("id", "_id").hint("merge"), "_id", "left")
     out = out.withColumn("n_lines", F.size(lines).cast("long")).withColumn("_kept", F.when(F.col("_gone").isNotNull(), F.filter(lines, stays)))
     return (
         out.withColumn("n_dropped", F.coalesce(F.col("n_lines") - F.size("_kept"), F.lit(0)).cast("long"))
