@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.dates import stamp_to_timestamp
 from ..functions.texts import fill_thumb
@@ -14,7 +13,8 @@ BASE_SCHEMA = (
     "id long, url string, thumb string, aluguel int, venda int, iptu int, condominio int, banheiros int, quartos int, "
     "vagas int, area int, bairro string, tipo_imovel string, endereco string, lat double, long double"
 )
-BASE = T.StructType.fromDDL(BASE_SCHEMA).fieldNames()
+BASE_KINDS = dict(f.split() for f in BASE_SCHEMA.split(", "))
+BASE = list(BASE_KINDS)
 ZEROS = {"bigint": 0, "int": 0, "double": 0.0, "string": ""}
 UNIFIED = [*BASE[:-1], "lon", "fonte"]
 SNAPSHOT = ["uid", "internal_id", *UNIFIED, "full_item_json"]
@@ -38,9 +38,9 @@ def raw_field(raw: Column, name: str, kind: str) -> Column:
 
 def unified_from_raw(rows: DataFrame, strict_lon: bool = False) -> DataFrame:
     """Unified rows of raw listings (raw, site): the row's own source name wins over the file's site."""
-    raw, kinds = F.col("raw"), {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(BASE_SCHEMA)}
+    raw = F.col("raw")
     lon = raw_field(raw, "lon", "double")
-    out = {c: raw_field(raw, c, kinds[c]) for c in BASE if c != "long"}
+    out = {c: raw_field(raw, c, BASE_KINDS[c]) for c in BASE if c != "long"}
     out["thumb"] = fill_thumb(out["thumb"])
     out["lon"] = lon if strict_lon else F.coalesce(lon, raw_field(raw, "long", "double"))
     out["fonte"] = source_name(raw, F.col("site"))
