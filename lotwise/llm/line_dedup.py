@@ -123,18 +123,18 @@ SQL = """
 WITH blanks AS (SELECT chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS b),
 lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents),
 keyed AS (
-  SELECT doc_id, at, line, translate(trim(line, b), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  SELECT doc_id, pos, line, translate(trim(line, b), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM lines, blanks),
 frequent AS (
   SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
   GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
 marked AS (
-  SELECT k.doc_id, k.at, k.line, coalesce(k.doc_id <> f.keeper, FALSE) AS gone
+  SELECT k.doc_id, k.pos, k.line, coalesce(k.doc_id <> f.keeper, FALSE) AS gone
   FROM keyed k LEFT JOIN frequent f ON k.key = f.key)
 SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS INT)) AS BIGINT) AS n_dropped,
-       sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY at), '')) AS kept_sha256
+       sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """

@@ -222,3 +222,21 @@ def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataF
     """docs without the rows whose document is linked, directly or through others, to one of a smaller id."""
     gone = cut(near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
     return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+#: DuckDB SQL for near_duplicates over documents with shingles of 4 words. It meets all pairs that share a shingle.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM w),
+u AS (SELECT doc_id, unnest(s) AS g FROM s),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(d, x) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.d, e.b FROM r JOIN e ON r.x = e.a)
+SELECT n.doc_id, n.n AS n_shingles, min(x) AS component_id, n.doc_id = min(x) AS kept FROM n JOIN r ON r.d = n.doc_id GROUP BY n.doc_id, n.n
+"""

@@ -67,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": line_dedup.SQL, "op9_nearest": neighbours.SQL}
+    return {"op6_near_duplicates": near_dups.SQL, "op8_line_dedup": line_dedup.SQL, "op9_nearest": neighbours.SQL}
