@@ -289,39 +289,45 @@ def pass_over(html: str | None) -> dict:
     return out
 
 
-def element_fields(pages: DataFrame) -> DataFrame:
-    """page_id and PASS_FIELDS of every page; each page is parsed once."""
+def element_fields(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """page_id and PASS_FIELDS of every page, each parsed once; keep names text columns that go along (no join brings them back)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("page_id", pa.int64()), *((f, pa.int64() if f == "links" else pa.float64() if f.startswith("json_") else pa.string()) for f in PASS_FIELDS)])
+        kinds = [pa.int64() if f == "links" else pa.float64() if f.startswith("json_") else pa.string() for f in PASS_FIELDS]
         for whole in batches:
             for at in range(0, whole.num_rows, 100):
                 b = whole.slice(at, 100)
-                rows = [{"page_id": i, **pass_over(h)} for i, h in zip(b.column("page_id").to_pylist(), b.column("html").to_pylist(), strict=True)]
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows = [pass_over(h) for h in b.column("html").to_pylist()]
+                made = [pa.array([r[f] for r in rows], k) for f, k in zip(PASS_FIELDS, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column("page_id"), *made, *(b.column(c) for c in keep)], ["page_id", *PASS_FIELDS, *keep])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).mapInArrow(run, PASS_SCHEMA)
+    columns = dict.fromkeys(["html", *keep])
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), *(F.col(c).cast("string").alias(c) for c in columns))
+    return rows.mapInArrow(run, PASS_SCHEMA + "".join(f", {c} string" for c in keep))
 
 
-def property_data(pages: DataFrame) -> DataFrame:
-    """Area, bathrooms, parking, rent, condominium fee and tax of every page: its elements first, then its text, then its scripts."""
-    p, text = element_fields(pages).join(pages.select("page_id", "html"), "page_id"), plain_text(F.col("html"))
-    p = p.withColumn("text", text)
+def property_columns() -> dict[str, Column]:
+    """Area, bathrooms, parking, rent, condominium fee and tax of rows with the element fields, html and text."""
     t, html = F.col("text"), F.col("html")
 
     def counted(field: str, pattern: str) -> Column:
         return F.when(F.col(field).isNotNull(), numbers.parse_int_digits(F.col(field))).otherwise(found_int(t, pattern))
 
     def priced(tooltip: str, own: str, pattern: str, script: str) -> Column:
-        values = (numbers.parse_price_text(F.col(tooltip)), numbers.parse_price_text(F.col(own)), numbers.parse_int_digits(found(t, pattern)), found_int(html, script))
-        return F.coalesce(*values)
-
-    return p.select(
-        "page_id", counted("area", r"(?iu)(\d+)\s*m²").alias("area"), counted("bathrooms", r"(?iu)(\d+)\s*banheiros?").alias("banheiros"), counted("parking", r"(?iu)(\d+)\s*vagas?").alias("vagas"),
-        F.coalesce(F.col("ld_price").try_cast("bigint"), numbers.parse_int_digits(found(F.col("price_section"), r"(?iu)Aluguel\s*R\$\s*([\d.,]+)"))).alias("aluguel"),
-        priced("fee_tooltip", "fee_text", r"(?iu)Condom[ií]nio\s*R\$\s*([\d.,]+)", r'"condoFees"\s*:\s*\[(\d+)\]').alias("condominio"),
-        priced("tax_tooltip", "tax_text", r"(?iu)IPTU\s*R\$\s*([\d.,]+)", r'"iptuPrices"\s*:\s*\[(\d+)\]').alias("iptu"),
-    )
+        return F.coalesce(numbers.parse_price_text(F.col(tooltip)), numbers.parse_price_text(F.col(own)), numbers.parse_int_digits(found(t, pattern)), found_int(html, script))
+
+    return {
+        "area": counted("area", r"(?iu)(\d+)\s*m²"), "banheiros": counted("bathrooms", r"(?iu)(\d+)\s*banheiros?"), "vagas": counted("parking", r"(?iu)(\d+)\s*vagas?"),
+        "aluguel": F.coalesce(F.col("ld_price").try_cast("bigint"), numbers.parse_int_digits(found(F.col("price_section"), r"(?iu)Aluguel\s*R\$\s*([\d.,]+)"))),
+        "condominio": priced("fee_tooltip", "fee_text", r"(?iu)Condom[ií]nio\s*R\$\s*([\d.,]+)", r'"condoFees"\s*:\s*\[(\d+)\]'),
+        "iptu": priced("tax_tooltip", "tax_text", r"(?iu)IPTU\s*R\$\s*([\d.,]+)", r'"iptuPrices"\s*:\s*\[(\d+)\]'),
+    }
+
+
+def property_data(pages: DataFrame) -> DataFrame:
+    """page_id and the property columns: a page's elements first, then its text, then its scripts."""
+    rows = element_fields(pages, ("html",)).withColumn("text", plain_text(F.col("html")))
+    return rows.select("page_id", *(v.alias(k) for k, v in property_columns().items()))
 
 
 # Fields of a detail page's JSON.
@@ -417,9 +423,10 @@ def listing_amenities(listing: Column) -> Column:
 
 def detail_records(pages: DataFrame, as_of: Column) -> DataFrame:
     """A rich record of every detail page: the page's JSON first, then its elements and texts, field by field."""
-    rows = element_fields(pages).drop("area").join(pages.select("page_id", "url", "html"), "page_id").join(property_data(pages).select("page_id", *(F.col(c).alias(f"d_{c}") for c in ("area", "banheiros", "vagas", "aluguel", "condominio", "iptu"))), "page_id")
-    rows = rows.withColumn("data", embedded_json(F.col("html"), "locationId")).withColumn("node", page_node(F.col("data"))).withColumn("chunk", listing_chunk(F.col("html")))
-    rows = rows.withColumn("best", F.try_parse_json("best_listing"))
+    rows = element_fields(pages, ("url", "html")).withColumn("text", plain_text(F.col("html")))
+    rows = rows.withColumns({f"d_{k}": v for k, v in property_columns().items()}).drop("text")
+    rows = rows.withColumns({"data": embedded_json(F.col("html"), "locationId"), "chunk": listing_chunk(F.col("html")), "best": F.try_parse_json("best_listing")})
+    rows = rows.withColumn("node", page_node(F.col("data")))
     f, html, best, chunk = page_fields(F.col("node"), F.col("data")), F.col("html"), F.col("best"), F.col("chunk")
     json_point = geo.point(F.col("json_lat"), F.col("json_lon"))
     point = F.coalesce(F.when(f["point"].isNotNull(), F.struct(f["point"]["lat"].alias("lat"), f["point"]["lon"].alias("lon"), F.lit("page_json").alias("source"))), page_point(html, json_point))

@@ -55,9 +55,12 @@ def load_snapshot_table(rows: DataFrame, table: str, reload: bool = False) -> st
 
 
 def append_facts(rows: DataFrame, path: str) -> None:
-    """Replaces exactly the snapshots that rows holds, so a replay changes nothing; partitions are scrapy_date and source_site."""
+    """Replaces exactly the snapshots that rows holds, so a replay changes nothing; partitions are scrapy_date and source_site.
+
+    Rebalancing gives small snapshots few files and splits a large one over tasks.
+    """
     day = rows.withColumn("scrapy_date", F.date_format("scrapy_date", "yyyy-MM-dd_HH-mm"))
-    day.repartition("scrapy_date", "source_site", F.pmod(F.xxhash64("uid"), F.lit(16))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("scrapy_date", "source_site").parquet(path)
+    day.hint("rebalance", "scrapy_date", "source_site").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("scrapy_date", "source_site").parquet(path)
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:

@@ -165,7 +165,7 @@ def test_pages(spark):
     d = {r["page_id"]: r for r in extract.detail_records(df, F.lit("2026-06-01")).collect()}
     assert (d[1]["id"], d[1]["aluguel"], d[1]["lat"], d[1]["enderecoRua"], d[1]["enderecoNumero"], d[1]["amenidades"], d[1]["thumb"], d[1]["locationId"]) == (77, 1200, -19.0, "Rua X", "9", ["Piscina"], "i", None)
     assert d[1]["publicadoHa"] == dt.date(2026, 1, 3) and d[3]["lat"] == 0.0
-    m = extract.monthly_prices(extract.element_fields(df).join(df.select("page_id", "html"), "page_id")).where("page_id = 1").first()
+    m = extract.monthly_prices(extract.element_fields(df, ("html",))).where("page_id = 1").first()
     assert (m["rent"], m["tax"]) == (700, 99)
 
 
