@@ -45,3 +45,17 @@ def f40_detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f41_script_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     html = F.col("html")
     return _pages(spark, sf_dir).select("page_id", extract.found_int(html, r"(?is)track\((\d+)\)").alias("track"), F.length(html).cast("long").alias("chars"))
+
+
+@query()
+def f42_monthly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rent, fee, tax and total of every page: listing JSON, fragments, elements and texts in turn."""
+    rows = extract.monthly_prices(extract.element_fields(_pages(spark, sf_dir), ("html",)))
+    return rows.select("page_id", "rent", "fee", "tax", "total")
+
+
+@query("""SELECT page_id, nullif(split_part(split_part(url, '?', 2), '#', 1), '') AS query, CAST(NULL AS DOUBLE) AS lat FROM pages""")
+def f43_links_and_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Query part of every page's link, and the point its map link, listing or JSON gives: these pages have none."""
+    none = F.lit(None).cast("struct<lat:double,lon:double>")
+    return _pages(spark, sf_dir).select("page_id", F.try_parse_url(F.col("url"), F.lit("QUERY")).alias("query"), extract.page_point(F.col("html"), none)["lat"].alias("lat"))

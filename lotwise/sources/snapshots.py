@@ -92,6 +92,14 @@ def listings(rows: DataFrame) -> DataFrame:
     return rows.where(F.schema_of_variant(raw).startswith("OBJECT") & F.try_variant_get(raw, "$.id", "string").isNotNull())
 
 
+def latest_for_provider(files: DataFrame, provider: str) -> DataFrame:
+    """The provider's newest snapshot; without one, the newest of its older rent and sale exports, sale first by priority."""
+    parts = F.create_map(F.lit(provider), F.lit(0), F.lit(f"{provider}_venda"), F.lit(1), F.lit(f"{provider}_aluguel"), F.lit(2))
+    found = newest_per_site(files).withColumn("priority", F.try_element_at(parts, F.col("site"))).where("priority IS NOT NULL")
+    own = F.min("priority").over(Window.partitionBy())  # three rows at most
+    return found.withColumn("_own", own).where("priority = 0 OR _own > 0").drop("_own")
+
+
 def combine_legacy(rent: DataFrame, sale: DataFrame, key: str = "key") -> DataFrame:
     """Rows of an older pair of exports; of equal keys the sale row stays."""
     return with_priority([sale, rent], key)

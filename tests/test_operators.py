@@ -31,6 +31,17 @@ def test_catalogue(spark):
         snapshots.select_sites("nowhere")
 
 
+def test_provider(spark):
+    old = ["2026-01-01_00-00_zapimoveis_aluguel.json", "2026-01-02_00-00_zapimoveis_venda.json", "2025-01-02_00-00_zapimoveis_venda.json"]
+    got = snapshots.latest_for_provider(files(spark, old), "zapimoveis").orderBy("priority").collect()
+    assert [r["file_name"] for r in got] == [old[1], old[0]]
+    new = "2025-01-01_00-00_zapimoveis.json"
+    assert [r["file_name"] for r in snapshots.latest_for_provider(files(spark, [*old, new]), "zapimoveis").collect()] == [new]
+    rent = spark.createDataFrame([("1", "rent"), ("2", "rent")], "key string, v string")
+    sale = spark.createDataFrame([("1", "sale")], "key string, v string")
+    assert sorted(map(tuple, snapshots.combine_legacy(rent, sale).collect())) == [("1", "sale"), ("2", "rent")]
+
+
 def test_bodies(spark):
     bodies = ['{"a":{"id":1},"a":{"id":2}}', '[{"id":1},{"id":null},5]', "7", "", "not json"]
     rows = spark.createDataFrame([(f"f{i}", b) for i, b in enumerate(bodies)], "file_name string, body string")
