@@ -34,11 +34,13 @@ from pyspark.sql import functions as F
 from .common import in_fold
 
 TRAIN_DOCS = 3000
-LANDMARKS, CONTRAST = 64, 16
+LANDMARKS = 64
 SPAN, DECAY = 6, 0.7
 #: Longer words are cut into overlapping parts of this many characters.
 WORD = 24
 ROUNDS, SVM_STEPS, C = 3, 300, 10.0
+#: Words that may become landmarks.
+POOL = 2000
 THRESHOLD = 0.3
 #: Least log ratio of a typical word's frequencies in toxic and clean documents.
 TYPICAL = 2.0
@@ -211,63 +213,80 @@ def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def typical(toxic: list[set[str]], clean: list[set[str]]) -> list[str]:
+def typical(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> list[str]:
     """Words of toxic documents by how much more often they are found there than in clean ones."""
-    a, b = Counter(w for s in toxic for w in s), Counter(w for s in clean for w in s)
-    ratio = {w: np.log((n + 0.5) / (len(toxic) + 1) * (len(clean) + 1) / (b[w] + 0.5)) for w, n in a.items() if n >= 2 and len(w) >= 3}
-    return sorted((w for w, r in ratio.items() if r > TYPICAL and a[w] * r > 8), key=lambda w: (-a[w] * ratio[w], w))
+    ratio = {w: np.log((n + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[w] + 0.5)) for w, n in toxic.items() if n >= 2 and len(w) >= 3}
+    return sorted((w for w, r in ratio.items() if r > TYPICAL and toxic[w] * r > 8), key=lambda w: (-toxic[w] * ratio[w], w))
+
+
+def choose_landmarks(pool: list[str], held: dict[str, list[int]], docs: int) -> list[str]:
+    """Each next landmark is the word found in most toxic documents that are still covered least."""
+    cover, chosen, pool = np.zeros(docs), [], list(pool)
+    while pool and len(chosen) < LANDMARKS:
+        best = pool.pop(int(np.argmax([(0.5 ** cover[held[w]]).sum() for w in pool])))
+        cover[held[best]] += 1
+        chosen.append(best)
+    return chosen
+
+
+def empty_model() -> Model:
+    return Model(["---"], np.zeros((TABLE, 1), np.float32), np.zeros(1), 0.0, 1.0, 0.0, True)
 
 
 def fit(texts: list[str | None], labels: list[int]) -> Model:
-    """Model from whole documents and their labels."""
-    split = [sentences_of(t or "") for t in texts]
+    """Model from whole documents and their labels. Documents are gone through three times; their words are never held together."""
     y = np.array(labels)
-    bags = [{w for s in d for w in s} for d in split]
-    toxic, clean = [b for b, v in zip(bags, y, strict=True) if v], [b for b, v in zip(bags, y, strict=True) if not v]
-    signal = typical(toxic, clean)
-    common = [w for w, _ in Counter(w for s in clean for w in s if len(w) >= 3).most_common(CONTRAST)]
-    if not toxic or not clean or not signal:
-        return Model(["---"], np.zeros((TABLE, 1), np.float32), np.zeros(1), 0.0, 1.0, 0.0, True)
-    # Landmarks: each next word is the one found in most toxic documents that are still covered least.
-    held = defaultdict(list)
-    for k, bag in enumerate(toxic):
-        for w in bag.intersection(signal[:2000]):
+    counts = (Counter(), Counter())
+    for text, v in zip(texts, labels, strict=True):
+        counts[v].update({w for s in sentences_of(text or "") for w in s})
+    n_toxic, n_clean = int((y == 1).sum()), int((y == 0).sum())
+    signal = typical(counts[1], counts[0], n_toxic, n_clean)[:POOL]
+    if not n_toxic or not n_clean or not signal:
+        return empty_model()
+    del counts
+    held, pool = defaultdict(list), set(signal)
+    for k, text in enumerate(t for t, v in zip(texts, labels, strict=True) if v):
+        for w in {w for s in sentences_of(text or "") for w in s} & pool:
             held[w].append(k)
-    cover, landmarks = np.zeros(len(toxic)), []
-    pool = signal[:2000]
-    while pool and len(landmarks) < LANDMARKS:
-        gain = [(0.5 ** cover[held[w]]).sum() for w in pool]
-        best = pool.pop(int(np.argmax(gain)))
-        cover[held[best]] += 1
-        landmarks.append(best)
-    landmarks += [w for w in common if w not in landmarks]
+    landmarks = choose_landmarks(signal, held, n_toxic)
     word, code, weight = triples(landmarks)
     table = np.zeros((TABLE, len(landmarks)), np.float32)
     table[code, word] = weight
     model = Model(landmarks, table, np.zeros(len(landmarks)), 0.0, 1.0, 0.0)
-    matcher = Matcher(model)
+    matcher, known = Matcher(model), set(signal[:500])
+    # Sentences without any match are all alike: those of clean documents count as one row with their number as its weight.
+    rows, owner, marked, blank = [], [], [], 0
+    for k, text in enumerate(texts):
+        split = sentences_of(text or "")
+        if not split:
+            continue
+        f = matcher.sentences(split)
+        some = np.flatnonzero(f.any(1))
+        rows.append(f[some])
+        owner += [k] * len(some)
+        marked += [not known.isdisjoint(split[i]) for i in some]
+        blank += (len(split) - len(some)) * (labels[k] == 0)
+    owner, marked = np.array(owner, int), np.array(marked, bool)
     values, vectors = np.linalg.eigh(model.matches(landmarks).astype(float))
-    whiten = vectors[:, keep := values > LEAST] / np.sqrt(values[keep])
-    counts = np.array([len(d) for d in split])
-    feats = matcher.sentences([s for d in split for s in d]).astype(float) @ whiten
-    starts = np.concatenate(([0], np.cumsum(counts)))
-    known = set(signal[:500])
-    marked = np.array([not known.isdisjoint(s) for d in split for s in d])
-    owner = np.repeat(np.arange(len(split)), counts)
-    negative = y[owner] == 0
+    keep = values > LEAST
+    whiten = vectors[:, keep] / np.sqrt(values[keep])
+    feats = np.concatenate([*rows, np.zeros((1, len(landmarks)), np.float32)]).astype(float) @ whiten
+    negative = np.append(y[owner] == 0, True)
+    number = np.append(np.ones(len(owner)), max(1, blank))
+    marked = np.append(marked, False)
     for _ in range(ROUNDS):
         positive = ~negative & marked
         use = np.flatnonzero(positive | negative)
-        cost = np.where(positive[use], C / max(1, positive.sum()), C / max(1, negative.sum())) * len(use) / 2
+        total = number[use].sum()
+        cost = number[use] * np.where(positive[use], C / max(1, positive.sum()), C / number[negative].sum()) * total / 2
         w, bias = svm(feats[use], np.where(positive[use], 1.0, -1.0), cost)
-        margins = feats @ w + bias
-        marked = margins > 0
-        for k in np.flatnonzero((y == 1) & (counts > 0)):  # each toxic document keeps its worst sentence unless it looks clean
-            a = starts[k] + int(np.argmax(margins[starts[k] : starts[k + 1]]))
-            marked[a] |= margins[a] > -0.5
+        margins = feats[:-1] @ w + bias
+        marked = np.append(margins > 0, False)
+        top = np.full(len(y), -np.inf)
+        np.maximum.at(top, owner, margins)
+        marked[:-1] |= (margins == top[owner]) & (margins > -0.5)  # each toxic document keeps its worst sentence unless it looks clean
     model.weights, model.bias = whiten @ w, bias
-    top = Matcher(model).documents(texts)
-    model.slope, model.offset = logistic(top, y)
+    model.slope, model.offset = logistic(np.maximum(top, bias), y)
     return model
 
 
@@ -291,7 +310,7 @@ def probabilities(model: Model, margin: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, margin."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # TABLE x (LANDMARKS + CONTRAST) numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # TABLE x LANDMARKS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
