@@ -9,11 +9,15 @@ probability (1 - 0.8**ROWS)**BANDS = 5e-8.
 Documents with the same set are one class, named by its smallest id. Only links that
 can still join two components are verified, on the full sets:
 
-* first each class is compared with the smallest class of its buckets;
-* then, while a bucket holds more than one component, some of its classes become hubs
-  and meet all its classes of other components. A hub has then met its whole bucket and
-  leaves it. The hubs a bucket gets grow fourfold each time, so few rounds are needed,
-  and no pair within a component is ever formed.
+* while a bucket holds more than one component, some of its classes become hubs and meet
+  its classes of other components. A hub has then met its whole bucket and leaves it. At
+  first a bucket has one hub, then up to HUB_GROWTH times as many each round. No pair
+  within a component is ever formed.
+* a pair is formed only if its parity sketches allow a link. A sketch has a bit for each of
+  PARITY places, flipped by every shingle that falls there, so two sketches differ in no
+  more bits than the sets differ in shingles: no link is lost. This keeps out the many texts
+  that share a passage or a template but not enough of it.
+* a pair is formed only in the first bucket it shares.
 
 Each row gives an output row. A document without words has an empty set and is linked
 with nothing, as is a row with a null id. Rows that share an id are one document in the
@@ -23,12 +27,12 @@ graph, with a set for each row. An empty table gives no rows. Extra columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
@@ -41,9 +45,11 @@ CIRCLE = 1 << 20
 KEPT_WORDS = 500_000
 #: Shingles whose ranks are held at once.
 CHUNK = 4096
-HUB_GROWTH = 4
+HUB_GROWTH = 256
+#: Bits of a parity sketch.
+PARITY = 1024
 
-SIGNED = "doc_id long, n_shingles long, class binary, bands array<bigint>"
+SIGNED = "doc_id long, n_shingles long, class binary, bands array<bigint>, parity array<bigint>"
 LINKS = "a long, b long"
 
 
@@ -99,6 +105,13 @@ def band_hashes(signatures: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """PARITY bits, each the parity of the number of shingles that fall on it."""
+    places = (shingles * np.uint64(0xA24BAED4963EE407)) >> np.uint64(64 - PARITY.bit_length() + 1)
+    odd = np.bincount(places.astype(np.int64), minlength=PARITY).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def class_of(shingles: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(shingles.tobytes())
 
@@ -119,8 +132,9 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
                         pa.array(map(len, sets), pa.int64()),
                         pa.array([class_of(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array([next(bands) if s else None for s in some], pa.list_(pa.int64())),
+                        pa.array([parity(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "class", "bands"],
+                    ["doc_id", "n_shingles", "class", "bands", "parity"],
                 )
 
     return docs.mapInArrow(run, SIGNED)
@@ -176,40 +190,44 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     rows = cut(signed(docs, k), "signatures")
     some = rows.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
     classes = cut(some.groupBy("class").agg(F.min("doc_id").alias("rep")), "classes")
-    members = some.join(classes.withColumnRenamed("rep", "doc_id"), ["class", "doc_id"])
-    bands = members.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("band", "least")
-    buckets = cut(bands.join(shared, "band").select("band", "rep", "n", "least").distinct(), "buckets")
+    members = some.join(classes.withColumnRenamed("rep", "doc_id"), ["class", "doc_id"]).withColumnsRenamed({"doc_id": "rep", "n_shingles": "n"}).withColumn("set", F.xxhash64("class"))
+    bands = members.select("rep", "set", "n", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("band")
+    buckets = cut(bands.join(shared, "band").select("band", "rep", "set", "n").distinct(), "buckets")
     comp = cut(buckets.select("rep").distinct().withColumn("c", F.col("rep")), "components")
     texts = cut(docs.join(comp.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id"), "texts")
+    # The members that share a bucket with another class, with what tells whether they may be linked.
+    members = cut(members.join(comp.select("rep"), "rep").select("rep", "set", "bands", "parity").dropDuplicates(["rep", "set"]), "members")
 
-    def alike(n: str, m: str):
-        return 100 * F.least(n, m) >= percent * F.greatest(n, m)
-
-    def pair(x: str, y: str):
-        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+    def may_link() -> Column:
+        n, m = F.col("n"), F.col("hub_n")
+        differ = reduce(lambda x, y: x + y, (F.bit_count(F.get("parity", F.lit(k)).bitwiseXOR(F.get("hub_parity", F.lit(k)))) for k in range(PARITY // 64)))
+        first = F.array_min(F.array_intersect("bands", "hub_bands")) == F.col("band")
+        # Similarity p per cent means that the sets differ in at most (100 - p) / (100 + p) of their summed sizes.
+        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m)) & first
 
-    pairs = cut(buckets.groupBy("rep").agg(F.min("least").alias("least")).where("least < rep").select(*pair("least", "rep")), "pairs")
-    tested = pairs
-    links = cut(verified(pairs, texts, k, percent), "links")
+    tested = None
     hubs = 1
-    buckets = buckets.drop("least")
     while True:
-        if not links.isEmpty():
-            comp = merged(comp, links)
         held = buckets.join(comp, "rep")
-        open_ = cut(held.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("band"), "open")
-        if open_.isEmpty():
-            break
+        open_ = held.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("band")
         held = cut(held.join(open_, "band"), "held")
+        if held.isEmpty():
+            break
         slot = F.pmod(F.xxhash64("rep", F.lit(hubs)), F.lit(hubs))
-        hub = held.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("rep", "n", "c")).alias("hub")).select("band", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.c").alias("hub_c"))
-        hub = cut(hub, "hubs")
-        met = held.join(hub, "band").where((F.col("c") != F.col("hub_c")) & alike("n", "hub_n")).select(*pair("rep", "hub")).distinct()
-        pairs = cut(met.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(pairs)
-        links = cut(verified(pairs, texts, k, percent), "links")
-        buckets = cut(held.select("band", "rep", "n").join(hub.select("band", F.col("hub").alias("rep")), ["band", "rep"], "left_anti"), "buckets")
+        hub = cut(held.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("rep", "set", "n", "c")).alias("hub")).select("band", "hub.*"), "hubs")
+        told = members.join(held.select("rep").distinct(), "rep")
+        left = held.join(told, ["rep", "set"])
+        right = hub.join(told, ["rep", "set"]).select("band", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "n", "c", "bands", "parity")))
+        met = left.join(right, "band").where((F.col("c") != F.col("hub_c")) & may_link())
+        pairs = met.select(F.least("rep", "hub_rep").alias("a"), F.greatest("rep", "hub_rep").alias("b")).distinct()
+        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            links = cut(verified(pairs, texts, k, percent), "links")
+            if not links.isEmpty():
+                comp = merged(comp, links)
+        buckets = held.drop("c").join(hub.select("band", "rep", "set"), ["band", "rep", "set"], "left_anti")
         hubs *= HUB_GROWTH
     named = classes.join(comp, "rep", "left").select("class", F.coalesce("c", "rep").alias("component_id"))
     named = cut(named, "named-classes")

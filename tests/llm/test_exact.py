@@ -125,6 +125,15 @@ def test_near_duplicates_chain_of_unlinked_hubs(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == {d: root(d) for d, _ in sets}
 
 
+def test_parity_never_differs_more_than_the_sets():
+    rng = np.random.RandomState(6)
+    for n in (1, 50, 500, 5000):
+        x = np.unique(rng.randint(0, 2 * n, n)).astype(np.uint64)
+        y = np.unique(rng.randint(0, 2 * n, n)).astype(np.uint64)
+        a, b = near_dups.parity(x), near_dups.parity(y)
+        assert sum(int(v).bit_count() for v in (a ^ b).view(np.uint64).tolist()) <= len(np.setxor1d(x, y))
+
+
 def test_circulant_signature_estimates_similarity():
     a = near_dups.shingle_set(" ".join(f"w{i}" for i in range(1000)), 1)
     b = near_dups.shingle_set(" ".join(f"w{i}" for i in range(250, 1250)), 1)
