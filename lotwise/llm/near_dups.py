@@ -17,7 +17,6 @@ can still join two components are verified, on the full sets:
   PARITY places, flipped by every shingle that falls there, so two sketches differ in no
   more bits than the sets differ in shingles: no link is lost. This keeps out the many texts
   that share a passage or a template but not enough of it.
-* a pair is formed only in the first bucket it shares.
 
 Each row gives an output row. A document without words has an empty set and is linked
 with nothing, as is a row with a null id. Rows that share an id are one document in the
@@ -47,7 +46,7 @@ KEPT_WORDS = 500_000
 CHUNK = 4096
 HUB_GROWTH = 256
 #: Bits of a parity sketch.
-PARITY = 1024
+PARITY = 512
 
 SIGNED = "doc_id long, n_shingles long, class binary, bands array<bigint>, parity array<bigint>"
 LINKS = "a long, b long"
@@ -197,14 +196,13 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     comp = cut(buckets.select("rep").distinct().withColumn("c", F.col("rep")), "components")
     texts = cut(docs.join(comp.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id"), "texts")
     # The members that share a bucket with another class, with what tells whether they may be linked.
-    members = cut(members.join(comp.select("rep"), "rep").select("rep", "set", "bands", "parity").dropDuplicates(["rep", "set"]), "members")
+    members = cut(members.join(comp.select("rep"), "rep").select("rep", "set", "parity").dropDuplicates(["rep", "set"]), "members")
 
     def may_link() -> Column:
         n, m = F.col("n"), F.col("hub_n")
         differ = reduce(lambda x, y: x + y, (F.bit_count(F.get("parity", F.lit(k)).bitwiseXOR(F.get("hub_parity", F.lit(k)))) for k in range(PARITY // 64)))
-        first = F.array_min(F.array_intersect("bands", "hub_bands")) == F.col("band")
         # Similarity p per cent means that the sets differ in at most (100 - p) / (100 + p) of their summed sizes.
-        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m)) & first
+        return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
     tested = None
     hubs = 1
@@ -218,7 +216,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
         hub = cut(held.groupBy("band", slot.alias("slot")).agg(F.min(F.struct("rep", "set", "n", "c")).alias("hub")).select("band", "hub.*"), "hubs")
         told = members.join(held.select("rep").distinct(), "rep")
         left = held.join(told, ["rep", "set"])
-        right = hub.join(told, ["rep", "set"]).select("band", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "n", "c", "bands", "parity")))
+        right = hub.join(told, ["rep", "set"]).select("band", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "n", "c", "parity")))
         met = left.join(right, "band").where((F.col("c") != F.col("hub_c")) & may_link())
         pairs = met.select(F.least("rep", "hub_rep").alias("a"), F.greatest("rep", "hub_rep").alias("b")).distinct()
         pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
