@@ -136,7 +136,8 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     order = cut(neighbours(docs.select("id", "n_chars", "mark")), "neighbours")
     used = order.select(F.col("next").alias("id"), F.col("id").alias("user"), F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
     order = order.join(used, "id")
-    texts = docs.drop("n_chars").join(order.hint("merge"), ["id", "mark"])
+    # Joined by id alone (an equality of marks would become a key), so that the next join finds the texts where it needs them.
+    texts = docs.select("id", "text", F.col("mark").alias("own")).join(order.hint("merge"), "id").where(F.col("mark").bitwiseXOR(F.col("own")) == 0)
     starts = texts.select(F.col("user").alias("id"), F.substring("text", F.lit(1), F.col("take")).alias("start"))
     whole = texts.select("id", "n_chars", "next", "text").join(starts.hint("merge"), "id")
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
