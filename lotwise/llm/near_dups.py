@@ -41,7 +41,7 @@ BANDS, ROWS = 32, 4
 SIGNATURE = BANDS * ROWS
 CIRCLE = 1 << 20
 #: Words whose hash a worker keeps; bounds its memory.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 150_000
 #: Shingles whose ranks are held at once.
 CHUNK = 4096
 HUB_GROWTH = 256

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 TOKENIZER = "word_bpe_49k.json"
 END = 2
 #: Words a worker keeps; bounds its memory. Words met later are encoded for their batch alone.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 600_000
 
 _loaded: dict[str, WordIds] = {}
 
