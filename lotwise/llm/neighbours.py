@@ -99,7 +99,7 @@ def tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, k:
     cc, cs, cn, cr = quantise(c)
     about = products(qc, cc) * qs[:, None] * cs[None, :]
     bound = (qr[:, None] * cn + qn[:, None] * cr + qr[:, None] * cr) * (1 + 1e-9) + 1e-12 * (qn + qr)[:, None] * (cn + cr)
-    low = about - bound
+    low = np.where(c_ids[None, :] == q_ids[:, None], -np.inf, about - bound)  # a query is no candidate of its own
     floor = np.partition(low, len(c) - k, 1)[:, len(c) - k] if len(c) > k else np.full(len(q), -np.inf)
     for i, qid in enumerate(q_ids):
         heap = heaps.setdefault(int(qid), [])

@@ -243,6 +243,17 @@ def test_nearest(spark, dim):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_nearest_in_a_cluster_of_k_that_holds_the_query():
+    rng = np.random.RandomState(4)
+    base = rng.randn(64)
+    vectors = np.concatenate([base + 1e-3 * rng.randn(20, 64), rng.randn(1500, 64)])
+    ids, heaps = np.arange(len(vectors)), {}
+    neighbours.tile(ids[:1], vectors[:1], ids, vectors, 20, heaps)
+    scores = vectors @ vectors[0]
+    want = sorted(ids[1:], key=lambda i: (-scores[i], i))[:20]
+    assert [-v for _, v in sorted(heaps[0], reverse=True)] == want
+
+
 def test_nearest_of_nothing(spark):
     assert neighbours.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
