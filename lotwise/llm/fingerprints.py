@@ -11,6 +11,7 @@ does not matter, and a paragraph can be added or taken away without the rest.
   standard error of about 1/8.
 
 Equal texts have equal fingerprints. An empty or null text has one empty paragraph.
+Phrases lie within a paragraph; empty ones don't count, so an empty paragraph has none.
 Rows that share a document id count once: the longest text, ties by hash. A null id
 comes after all others. An empty table gives no rows. Extra columns are ignored. A
 document with over a million phrases keeps exact id lanes; its likeness lanes carry.
@@ -29,8 +30,9 @@ ID_LANES, WORDS, LANE = 4, 20, 20
 MOD = (1 << 62) - 1
 #: One bit in each of a word's three lanes.
 SPREAD = 1 | 1 << LANE | 1 << (2 * LANE)
-#: Phrases end at punctuation and after words of six characters or more, so an edit moves few of them.
-PHRASE = r"[.!?,;:|\n]\s*|(?<=\S{6})\s+"
+#: Phrases end with their paragraph, at punctuation and after words of six characters or more, so an edit moves few of them.
+#: Only a separator of its own takes a newline, so the phrases of a text are those of its paragraphs.
+PHRASE = r"\n|[.!?,;:|][^\S\n]*|(?<=\S{6})[^\S\n]+"
 #: Documents of one ordering task.
 ORDER_ROWS, MAX_RANGES = 100_000, 4096
 NULL_ID = -(1 << 63)
@@ -51,7 +53,7 @@ def id_lanes(parts: Column) -> Column:
 
 
 def phrase_hashes(text: Column) -> Column:
-    return F.transform(F.split(text, PHRASE, -1), lambda p: F.xxhash64(p))
+    return F.transform(F.array_remove(F.split(text, PHRASE, -1), ""), lambda p: F.xxhash64(p))
 
 
 def like_words(hashes: str) -> Column:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lotwise.llm import fingerprints, line_dedup, mixing, near_dups, neighbours, packing, secrets, sharding
 
@@ -190,6 +191,22 @@ def test_fingerprints(docs, triples, nothing, spark):
     assert total[0] == r[1]["p_ids"] and total[1] == r[3]["p_ids"]
 
 
+def test_whole_fingerprints_are_sums_over_paragraphs(spark):
+    texts = ["Short note.", "Last line", "  A remark; with: marks, and wonderful words!", "Ends so. \r", "", "Another?"]
+    rows = [(1, "\n".join(texts)), (2, "\n".join(texts[::-1])), (3, "\n".join(texts[:3])), (4, "\n".join(texts[3:])), (5, "Short note.\nLast line"), (6, "Last line\nShort note.")]
+    rows = fingerprints.with_fingerprint(spark.createDataFrame(rows, "i int, text string"), "text", "p_")
+    ids, like, n = (F.col(f"p_{c}") for c in ("ids", "like", "n"))
+    r = {x["i"]: x for x in rows.withColumn("print", fingerprints.fingerprint(ids, like, n)).collect()}
+    assert r[1]["print"] == r[2]["print"] and r[5]["print"] == r[6]["print"]
+    a, b, ab = (rows.where(f"i = {i}").select(*(F.col(f"p_{c}").alias(f"{p}_{c}") for c in ("ids", "like", "n"))) for p, i in (("a", 3), ("b", 4), ("ab", 1)))
+
+    def made(by, x, y):
+        return fingerprints.fingerprint(by(F.col(f"{x}_ids"), F.col(f"{y}_ids")), by(F.col(f"{x}_like"), F.col(f"{y}_like")), F.col(f"{x}_n") + F.col(f"{y}_n") * (1 if by is fingerprints.add else -1))
+
+    inserted, deleted = a.crossJoin(b).crossJoin(ab).select(made(fingerprints.add, "a", "b"), made(fingerprints.subtract, "ab", "b")).first()
+    assert inserted == r[1]["print"] and deleted == r[3]["print"]
+
+
 def test_mixing(docs, triples, nothing):
     got = mixing.copies(docs).collect()
     assert len(got) == len(triples)
