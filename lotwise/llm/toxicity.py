@@ -3,7 +3,11 @@
 Words are compared by a gap-weighted subsequence kernel: all character triples in
 order, at most SPAN characters apart, weighted by DECAY to the power of their span
 and normalised, so words with gaps or inserted characters stay near. A sentence is
-described by its best match with each of LANDMARKS words (Nystroem landmarks); the
+described by its best match with each of LANDMARKS words (Nystroem landmarks). Words
+spelt with dots, spaces or other gaps are also read without them: a word with marks
+inside closes up, and runs of pieces of up to FRAGMENT letters are matched in all their
+windows, across the ends of sentences too. A word split into longer pieces by white
+space is matched piece by piece. The
 landmarks' kernel matrix whitens these features and a linear support vector machine
 is trained on labelled sentences. A document's score is the calibrated margin of its
 worst sentence.
@@ -53,24 +57,64 @@ FLOOR = 0.25
 POWER = 5
 #: Least eigenvalue of the landmarks' kernel matrix that whitening keeps.
 LEAST = 1e-2
-SENTENCE = re.compile(r"[.!?\n]+")
+#: Sentences end at punctuation before white space or the end, and at line ends; marks inside words don't end them.
+SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
+PIECE = re.compile(r"[^\W_]+")
+#: Runs of pieces of so many letters, whatever lies between them, are also read as windows without the gaps.
+FRAGMENT = 3
 TABLE = 1 << 15
 SCHEMA = "doc_id long, held_out boolean, score double, margin double"
 
 
-def words_of(sentence: str) -> list[str]:
+def parts_of(word: str) -> list[str]:
+    if len(word) <= WORD:
+        return [word]
+    return [word[k : k + WORD] for k in range(0, len(word) - WORD // 2, WORD // 2)]
+
+
+def words_of(sentence: str, run: list[str]) -> list[str]:
+    """Words of a sentence, readings of words with marks inside, and windows of short fragments.
+
+    run holds the fragments before the sentence, whose windows may reach into it, and is carried on.
+    """
     out = []
     for w in sentence.split():
-        w = w.strip(",;:|\"'()[]{}")
-        if len(w) <= WORD:
+        plain = w.isalnum()
+        if not plain:
+            w = w.strip(",;:|\"'()[]{}.!?")
+            plain = w.isalnum()
+        if plain and FRAGMENT < len(w) <= WORD:  # most words
             out.append(w)
-        else:
-            out += (w[k : k + WORD] for k in range(0, len(w) - WORD // 2, WORD // 2))
+            run.clear()
+            continue
+        out += parts_of(w)
+        pieces = [w] if plain else PIECE.findall(w)
+        if len(pieces) > 1:
+            out += parts_of("".join(pieces))
+            if "!" in w:
+                out += parts_of("".join(PIECE.findall(w.replace("!", "i"))))
+            if any(c in w for c in ".!?"):  # marks that may also have ended a sentence
+                for p in pieces:
+                    out += parts_of(p)
+        for p in pieces:
+            if len(p) > FRAGMENT or p.isdigit():
+                run.clear()
+                continue
+            run.append(p)
+            del run[:-WORD]
+            window = p
+            for before in reversed(run[:-1]):
+                window = before + window
+                if len(window) > WORD:
+                    break
+                if len(window) >= 3:
+                    out.append(window)
     return out
 
 
 def sentences_of(text: str) -> list[list[str]]:
-    return [w for s in SENTENCE.split(text.lower()) if (w := words_of(s))]
+    run: list[str] = []
+    return [w for s in SENTENCE.split(text.lower()) if (w := words_of(s, run))]
 
 
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

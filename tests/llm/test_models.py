@@ -135,3 +135,22 @@ def test_gapped_words_stay_near():
     model.table[code, word] = weight
     same, gapped, other = model.matches(["worthless", "worth-less", "weathers"])[:, 0]
     assert same == pytest.approx(1, abs=1e-5) and same > gapped > other
+
+
+def test_spaced_and_dotted_insults():
+    rows = labelled(random.Random(9), 400)
+    model = toxicity.fit([t for _, t, _ in rows], [v for _, _, v in rows])
+    insult = INSULTS[1]
+    spelt = [" ".join(insult), ".".join(insult), ". ".join(insult), " . ".join(insult), "\n".join(insult), "slo.ppyfool", "slo ppy foo l", "slop!pyfool", "sl op py fo ol", "you are a s.l.o.p.p.y fo ol", "gr-umble.nitwit is what"]
+    clean = ["amber basin cedar", "a b c d e f g", "it is as he and we are. So be it", "amber.Basin of cedar", "ledge! Marsh"]
+    margins = toxicity.Matcher(model).documents(spelt + clean)
+    said = toxicity.probabilities(model, margins) >= toxicity.THRESHOLD
+    assert dict(zip(spelt + clean, said.tolist(), strict=True)) == {t: k < len(spelt) for k, t in enumerate(spelt + clean)}
+
+
+def test_readings_of_short_insults():
+    for t in ("i d i o t", "i.d.i.o.t", "idi.ot", "id!ot", "id iot", "an i d-i o.t", "I. D. I. O. T."):
+        assert "idiot" in [w for s in toxicity.sentences_of(t) for w in s], t
+    for t in ('"idiot."', "...idiot", "(idiot!) he"):
+        assert "idiot" in toxicity.sentences_of(t)[0], t
+    assert {"end", "next"} <= set(toxicity.sentences_of("The end.Next one")[0])
