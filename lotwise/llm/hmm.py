@@ -8,8 +8,9 @@ proper distribution over texts: the scaled forward recursion gives the exact lik
 of the classes, and the words' shares multiply it.
 
 Training: word counts are summed over all training documents. Baum-Welch starts from
-a fit to START_DOCS documents and then makes ITERATIONS passes over all training
-documents; each task adds up its expected counts and Spark sums them over the tasks.
+random states; every round is a pass over all training documents, whole ones, in which
+each task adds up its expected counts and Spark sums them over the tasks. It ends once
+a round gains less than GAIN a token, after ROUNDS rounds at the latest.
 The number of words grows with the corpus and never leaves the executors: the HEAD most
 frequent words go with the model, the other words are joined by value.
 
@@ -36,11 +37,12 @@ STATES = 8
 FREQUENT, SUFFIXES, SUFFIX_BYTES = 8191, 4096, 4
 #: Words whose counts go with the model.
 HEAD = 1 << 17
-START_DOCS, START_ROUNDS, ITERATIONS = 1500, 15, 2
-#: Long documents are cut into such runs for the expected counts; every token is counted.
-SEGMENT = 1024
+#: Rounds of Baum-Welch at most, and the gain in log10 likelihood a token below which they end.
+ROUNDS, GAIN = 17, 1e-4
 #: Tokens held as matrices at once, and words counted before they are passed on.
 BATCH_TOKENS, COUNTED = 150_000, 200_000
+#: Tokens whose documents are sorted by length together in training, and documents that go side by side even if long.
+POOL_TOKENS, WIDE = 2_000_000, 64
 FOLDS, HELD_OUT = 7, 2
 CLASSES = 1 + FREQUENT + SUFFIXES
 #: Prior counts added to expected counts.
@@ -167,13 +169,14 @@ def ranked(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list[in
     return out, starts, order
 
 
-def forward(model: Model, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Emissions, scaled forward probabilities and scales of every token."""
+def forward(model: Model, classes: np.ndarray, starts: np.ndarray, before: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Emissions, scaled forward probabilities and scales of every token; before: those probabilities of the position before."""
     emit = model.emit[classes]
     alpha, scale = np.empty_like(emit), np.empty(len(classes))
     for t in range(len(starts) - 1):
         a, b = starts[t], starts[t + 1]
-        now = (alpha[starts[t - 1] : starts[t - 1] + b - a] @ model.step if t else model.start) * emit[a:b]
+        last = alpha[starts[t - 1] : starts[t - 1] + b - a] if t else before
+        now = (model.start if last is None else last[: b - a] @ model.step) * emit[a:b]
         scale[a:b] = s = now.sum(1)
         np.divide(now, s[:, None], out=alpha[a:b])
     return emit, alpha, scale
@@ -191,28 +194,47 @@ def likelihoods(model: Model, sequences: list[np.ndarray]) -> list[float]:
     return out.tolist()
 
 
+def counted(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected counts of starts, steps and emissions, and the log10 likelihood.
+
+    Positions are taken in runs of about BATCH_TOKENS tokens: a first walk keeps the forward probabilities at
+    the runs' borders, the way back computes those of one run at a time. The sums are those of whole sequences.
+    """
+    classes, starts, _ = ranked(sequences)
+    positions, cuts = len(starts) - 1, [0]
+    while cuts[-1] < positions:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(starts, starts[cuts[-1]] + BATCH_TOKENS, side="right")) - 1))
+    runs = [(classes[starts[x] : starts[y]], starts[x : y + 1] - starts[x]) for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+    borders: list[np.ndarray | None] = [None]
+    for part, at in runs[:-1]:
+        borders.append(forward(model, part, at, borders[-1])[1][at[-2] :].copy())
+    step, emission, logs = np.zeros_like(model.step), np.zeros((CLASSES, len(model.start))), 0.0
+    right = np.zeros((0, len(model.start)))  # of the position after
+    for (part, at), before in zip(reversed(runs), reversed(borders), strict=True):
+        emit, alpha, scale = forward(model, part, at, before)
+        beta = np.ones_like(alpha)
+        ahead = emit / scale[:, None]
+        for t in range(len(at) - 2, -1, -1):
+            a, n = at[t], len(right)
+            beta[a : a + n] = right @ model.step.T
+            step += alpha[a : a + n].T @ right
+            right = ahead[a : at[t + 1]] * beta[a : at[t + 1]]
+        gamma = alpha * beta
+        emission += np.stack([np.bincount(part, gamma[:, k], CLASSES) for k in range(gamma.shape[1])], 1)
+        logs += float(np.log10(scale).sum())
+    return gamma[: starts[1]].sum(0), step * model.step, emission, logs
+
+
 def expected(model: Model, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts of starts, steps and emissions."""
-    classes, starts, order = ranked(sequences)
-    emit, alpha, scale = forward(model, classes, starts)
-    beta = np.ones_like(alpha)
-    ahead = emit / scale[:, None]
-    step = np.zeros_like(model.step)
-    for t in range(len(starts) - 3, -1, -1):
-        a, b, c = starts[t], starts[t + 1], starts[t + 2]
-        right = ahead[b:c] * beta[b:c]
-        beta[a : a + c - b] = right @ model.step.T
-        step += alpha[a : a + c - b].T @ right
-    gamma = alpha * beta
-    emission = np.stack([np.bincount(classes, gamma[:, k], CLASSES) for k in range(gamma.shape[1])], 1)
-    return gamma[: starts[1]].sum(0), step * model.step, emission
-
-
-def batches_of(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-    """Runs of sequences of like length that together hold about BATCH_TOKENS tokens, as index lists' sequences."""
+    return counted(model, sequences)[:3]
+
+
+def batches_of(sequences: list[np.ndarray], wide: int = 1) -> Iterator[list[np.ndarray]]:
+    """Runs of sequences of like length that together hold about BATCH_TOKENS tokens, or are wide in number."""
     held, size = [], 0
     for s in sequences:
-        if held and size + len(s) > BATCH_TOKENS:
+        if len(held) >= wide and size + len(s) > BATCH_TOKENS:
             yield held
             held, size = [], 0
         held.append(s)
@@ -221,8 +243,17 @@ def batches_of(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
         yield held
 
 
-def segments(sequence: np.ndarray) -> list[np.ndarray]:
-    return [sequence[k : k + SEGMENT] for k in range(0, len(sequence), SEGMENT)]
+def pools(columns: Iterator[pa.Array]) -> Iterator[list[np.ndarray]]:
+    """All sequences of the columns in pools of about POOL_TOKENS tokens, by decreasing length."""
+    held, size = [], 0
+    for column in columns:
+        for s in sequences_of(column):
+            held.append(s)
+            size += len(s)
+            if size >= POOL_TOKENS:
+                yield sorted(held, key=len, reverse=True)
+                held, size = [], 0
+    yield sorted(held, key=len, reverse=True)
 
 
 def normalised(start: np.ndarray, step: np.ndarray, emission: np.ndarray, shape: np.ndarray) -> Model:
@@ -232,54 +263,53 @@ def normalised(start: np.ndarray, step: np.ndarray, emission: np.ndarray, shape:
     return Model((start + 1) / (start + 1).sum(), (step + 1) / (step + 1).sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def initial(sequences: list[np.ndarray], shape: np.ndarray) -> Model:
-    """Fit to a few documents, from states that are likely to stay and emit at random."""
+def initial(shape: np.ndarray) -> Model:
+    """States that are likely to stay and emit at random."""
     random = np.random.RandomState(7)
     counts = (shape + 1)[:, None] * random.gamma(1.0, 1.0, (CLASSES, STATES))
-    model = normalised(np.ones(STATES), np.eye(STATES) * 900 + 10, counts, shape)
-    parts = [p for s in sequences for p in segments(s)]
-    for _ in range(START_ROUNDS if parts else 0):
-        sums = [expected(model, b) for b in batches_of(parts)]
-        model = normalised(*(sum(x) for x in zip(*sums, strict=True)), shape)
-    return model
+    return normalised(np.ones(STATES), np.eye(STATES) * 900 + 10, counts, shape)
 
 
 def sequences_of(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u2").astype(np.int64) for x in column.to_pylist()]
 
 
-def baum_welch(training: DataFrame, model: Model, shape: np.ndarray) -> Model:
-    """One pass over all training documents."""
+def baum_welch(training: DataFrame, model: Model, shape: np.ndarray) -> tuple[Model, float]:
+    """One pass over all training documents: the next model, and the given one's log10 likelihood a token."""
     spark = training.sparkSession
     shared = spark.sparkContext.broadcast(model)
     columns = [f"s{k}" for k in range(STATES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        start, step, emission = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
-        for b in batches:
-            for part in batches_of([p for s in sequences_of(b.column("classes")) for p in segments(s)]):
-                x, y, z = expected(m, part)
+        start, step, emission, logs = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES)), np.zeros(STATES)
+        for pool in pools(b.column("classes") for b in batches):
+            for part in batches_of(pool, WIDE):
+                x, y, z, log = counted(m, part)
                 start += x
                 step += y
                 emission += z
-        rows = np.concatenate([emission, step, start[None]])
+                logs[0] += log
+        rows = np.concatenate([emission, step, start[None], logs[None]])
         used = np.flatnonzero(rows.any(1))
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(rows[used, k]) for k in range(STATES))], ["at", *columns])
 
     sums = training.select("classes").mapInArrow(run, "at int, " + ", ".join(f"{c} double" for c in columns)).groupBy("at").agg(*(F.sum(c).alias(c) for c in columns))
-    total = np.zeros((CLASSES + STATES + 1, STATES))
-    found = sums.toArrow()  # at most CLASSES + STATES + 1 rows
+    total = np.zeros((CLASSES + STATES + 2, STATES))
+    found = sums.toArrow()  # at most CLASSES + STATES + 2 rows
     total[found.column("at").to_numpy()] = np.stack([found.column(c).to_numpy() for c in columns], 1)
-    return normalised(total[-1], total[CLASSES:-1], total[:CLASSES], shape)
+    shared.unpersist()
+    return normalised(total[-2], total[CLASSES:-2], total[:CLASSES], shape), float(total[-1, 0] / max(1.0, total[:CLASSES].sum()))
 
 
 def train(rows: DataFrame, shape: np.ndarray) -> Model:
     training = rows.where(~F.col("held_out"))
-    few = training.select("classes", "row").orderBy(F.xxhash64("row"), "row").limit(START_DOCS).toArrow()
-    model = initial([s[: 8 * SEGMENT] for s in sequences_of(few.column("classes"))], shape)
-    for _ in range(ITERATIONS):
-        model = baum_welch(training, model, shape)
+    model, before = initial(shape), -np.inf
+    for _ in range(ROUNDS):
+        model, now = baum_welch(training, model, shape)
+        if now - before < GAIN:
+            break
+        before = now
     return model
 
 

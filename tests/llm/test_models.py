@@ -53,6 +53,35 @@ def test_expected_counts_are_sums_over_state_paths(monkeypatch):
         assert np.allclose(got, want)
 
 
+@pytest.mark.parametrize("tokens", [1, 7, 50])
+def test_expected_counts_do_not_depend_on_runs(monkeypatch, tokens):
+    rng = np.random.RandomState(3)
+    monkeypatch.setattr(hmm, "CLASSES", 6)
+    model = hmm.Model(rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3), rng.dirichlet(np.ones(6), 3).T)
+    sequences = [rng.randint(0, 6, n) for n in (40, 1, 17, 40, 3)]
+    whole = hmm.counted(model, sequences)
+    assert whole[3] == pytest.approx(sum(hmm.likelihoods(model, sequences)))
+    monkeypatch.setattr(hmm, "BATCH_TOKENS", tokens)
+    for got, want in zip(hmm.counted(model, sequences), whole, strict=True):
+        assert np.allclose(got, want)
+
+
+def test_every_round_sees_all_of_every_document(spark, monkeypatch):
+    texts = ["alpha " * 3000 + "beta " * 3000, *["gamma delta"] * 5]
+    seen, real = [], hmm.normalised
+
+    def spy(start, step, emission, shape):
+        seen.append((start.sum(), step.sum(), emission.sum()))
+        return real(start, step, emission, shape)
+
+    monkeypatch.setattr(hmm, "normalised", spy)
+    hmm.score(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"))
+    tokens = 6001 + 5 * 3
+    assert len(seen) > 2
+    for start, step, emission in seen[1:]:  # the first are the random states
+        assert (start, step, emission) == (pytest.approx(6), pytest.approx(tokens - 6), pytest.approx(tokens))
+
+
 def test_language_model(docs, triples, nothing, monkeypatch):
     monkeypatch.setattr(hmm, "HEAD", 12)  # the other words take the join
     got = hmm.score(docs).collect()
