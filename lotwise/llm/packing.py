@@ -4,10 +4,14 @@ Documents longer than a window are first cut into full windows; what is left of
 each document is placed, longest first, into the open window with the least room
 that still holds it. A segment tree over the remaining capacities finds it.
 Remainders are dealt by hash into groups of about GROUP_PIECES, each packed by
-itself, so no task sees more than one group.
+itself, so no task sees more than one group. Equal remainders are counted and their
+copies numbered, so that they too are dealt over all groups.
 
 Every input row is packed, repeated ids included. A null text is empty: its only
-id is the end id. Reruns give the same windows. Extra columns are ignored.
+id is the end id. A very long text is a row per window. Remainders of one length are
+placed by id (null first), start and checksum; of windows with the same room the one
+that got it last is taken. Reruns give the same windows. An empty table gives no rows.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +30,10 @@ from .common import cut
 WINDOW = 4096
 #: Remainders packed together; a group leaves about one window part-filled.
 GROUP_PIECES = 4096
-PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, piece long"
+#: Texts tokenised together.
+BATCH_ROWS = 500
+COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, bin_group long, bin long, offset long"
 
 
@@ -89,16 +96,17 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = tokens.word_ids(tokenizer_path), np.array([tokens.END], "<u4").tobytes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                b = whole.slice(at, BATCH_ROWS)
                 rows = []
-                for doc_id, ids in zip(b.column("doc_id").to_pylist(), words.encode(b.column("text").to_pylist()), strict=True):
-                    ids += end
-                    n = len(ids) // 4
-                    for k, start in enumerate(range(0, n, window)):
-                        part = ids[4 * start : 4 * (start + window)]
-                        rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n, k))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece"])
+                ids, starts = words.encode(b.column("text"))
+                for doc_id, first, last in zip(b.column("doc_id").to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                    own = ids[first:last].tobytes() + end
+                    n = last - first + 1
+                    for start in range(0, n, window):
+                        part = own[4 * start : 4 * (start + window)]
+                        rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), n))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], COLUMNS)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECES)
 
@@ -112,16 +120,14 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, group_piece
         order = sorted(range(t.num_rows), key=list(zip(*([-x for x in t.column("length").to_pylist()], *([(x is not None, x or 0) for x in t.column(c).to_pylist()] for c in ("doc_id", "start", "ids_crc32"))), strict=True)).__getitem__)
         t = t.take(pa.array(order, pa.int64()))
         bins, offsets = best_fit(t.column("length").to_pylist(), window)
-        return t.drop_columns(["piece"]).append_column("bin", pa.array(bins, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
-
-    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    group = F.pmod(F.xxhash64(*columns), F.lit(groups)).alias("bin_group")
-    rest = (
-        found.where(F.col("length") < window).select(*columns, "piece", group)
-        .groupBy("bin_group").applyInArrow(place, PACKED)
-        .withColumn("sequence_id", F.shiftleft(F.col("bin_group"), 32) + F.col("bin"))
-    )
+        return t.append_column("bin", pa.array(bins, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
+
+    # Equal remainders are interchangeable: counted where they lie, then dealt one by one.
+    equal = found.where(F.col("length") < window).groupBy(*COLUMNS).agg(F.count("*").alias("n"))
+    each = equal.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    group = F.pmod(F.xxhash64(*COLUMNS, "copy"), F.lit(groups)).alias("bin_group")
+    rest = each.select(*COLUMNS, group).groupBy("bin_group").applyInArrow(place, PACKED).withColumn("sequence_id", F.shiftleft(F.col("bin_group"), 32) + F.col("bin"))
     # A whole window is a sequence of its own; the pieces lie written, so their running ids are fixed.
     full = found.where(F.col("length") == window).withColumn("sequence_id", F.lit(1 << 61) + F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
-    out = [*columns, "sequence_id", "offset"]
+    out = [*COLUMNS, "sequence_id", "offset"]
     return rest.select(*out).unionByName(full.select(*out))
