@@ -10,8 +10,13 @@ from .texts import strip_accents_lower
 STAMP = "yyyy-MM-dd_HH-mm"
 # Seconds of the units of "há N unit", by the start of the unit's word.
 UNITS = {"segund": 1, "minut": 60, "hor": 3600, "dia": 86400, "seman": 604800, "mes": 30 * 86400, "ano": 365 * 86400}
+# The phrase that tells how long ago a listing was published or updated.
 PHRASE = r"(?iu){kind}\s+há\s+(\d+)\s+(segundos?|minutos?|horas?|dias?|semanas?|mês|meses|anos?)"
 
+DAY_FIRST = r"(?s)^.{4}-.{2}-.{2}"
+#: Seconds from 1970 of the first day there is.
+YEAR_1 = -62_135_596_800
+
 
 def stamp_to_timestamp(stamp: Column) -> Column:
     """YYYY-MM-DD_HH-MM, or null if there is no such minute."""
@@ -28,9 +33,9 @@ def iso_to_utc_date(text: Column) -> Column:
 
 
 def prefix_date(text: Column) -> Column:
-    """The first ten characters if they look like a day, whatever the zone; else the day in UTC. A text."""
+    """The first ten of at least ten characters if they look like a day, whatever the zone; else the day in UTC. A text."""
     t = F.trim(text)
-    return F.when(t.rlike("^.{4}-.{2}-"), F.left(t, F.lit(10))).otherwise(iso_to_utc_date(t).cast("string"))
+    return F.when(t.rlike(DAY_FIRST), F.left(t, F.lit(10))).otherwise(iso_to_utc_date(t).cast("string"))
 
 
 def unit_seconds(unit: Column) -> Column:
@@ -41,15 +46,16 @@ def unit_seconds(unit: Column) -> Column:
 
 
 def relative_date(text: Column, kind: str, as_of: Column) -> Column:
-    """Day of 'publicado há N unidade' (or 'atualizado') counted back from a time."""
+    """Day of 'publicado há N unidade' (or 'atualizado') counted back from a time; null if that is before year 1."""
     pattern = PHRASE.format(kind=kind)
     n = F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("bigint")
-    back = n * unit_seconds(F.regexp_extract(text, pattern, 2))
-    return F.timestamp_seconds(F.unix_timestamp(as_of.cast("timestamp")) - back).cast("date")
+    now = F.unix_timestamp(as_of.cast("timestamp"))
+    then = F.try_subtract(now, F.try_multiply(n, unit_seconds(F.regexp_extract(text, pattern, 2))))
+    return F.timestamp_seconds(F.when(then >= YEAR_1, then)).cast("date")
 
 
 def calendar_date(text: Column, kind: str, as_of: Column) -> Column:
     """A day from any of the forms above: its prefix first, then the day in UTC, then the phrase."""
     t = F.nullif(F.trim(text), F.lit(""))
-    prefix = F.when(t.rlike("^.{4}-.{2}-"), F.left(t, F.lit(10)).try_cast("date"))
+    prefix = F.when(t.rlike(DAY_FIRST), F.left(t, F.lit(10)).try_cast("date"))
     return F.coalesce(prefix, iso_to_utc_date(t), relative_date(t, kind, as_of))

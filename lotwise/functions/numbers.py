@@ -89,4 +89,4 @@ def parse_price_text(text: Column) -> Column:
 
 def combined_fee(combined: Column, total: Column, rent: Column) -> Column:
     """The combined fee, or what the total holds beyond the rent."""
-    return F.coalesce(F.nullif(combined, F.lit(0)), total - rent)
+    return F.coalesce(F.nullif(combined, F.lit(0)), F.try_subtract(total, rent))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # Texts that mean "absent".
 SENTINELS = ["", "$undefined", "undefined", "null", "None"]
+# Texts of invalid fields.
 INVALID = ["undefined", "null", "none", ""]
 # Words of property types.
 HOUSE = ["triplex", "casa", "two_story_house", "casacondominio", "home", "casas", "single_storey_house", "village_house", "farm", "allotment_land", "residential_allotment_land"]
@@ -26,7 +27,7 @@ AMENITIES = {
 }
 ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
-#: The template of a thumbnail link, and the size it is asked for in.
+# The template of a thumbnail link, and the size it is asked for in.
 THUMB_TEMPLATE = "action={action}&dimension={width}x{height}"
 THUMB_SIZE = "action=fit-in&dimension=614x297"
 
@@ -154,11 +155,16 @@ def source_label(stamp: Column, site: Column) -> Column:
     return F.concat_ws(" / ", stamp, site)
 
 
+def title_case(text: Column) -> Column:
+    """Each run of letters with a capital and small letters: a letter after a digit or a mark starts a word."""
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0)), F.initcap), "")
+
+
 def amenity_label(code: Column) -> Column:
     """Label of a code; other codes in words with capitals; blank stays blank."""
     known = F.create_map(*(F.lit(x) for pair in AMENITIES.items() for x in pair))
     c = F.trim(F.coalesce(code, F.lit("")))
-    return F.coalesce(F.try_element_at(known, c), F.initcap(F.replace(c, F.lit("_"), F.lit(" "))))
+    return F.coalesce(F.try_element_at(known, c), title_case(F.replace(c, F.lit("_"), F.lit(" "))))
 
 
 def any_contains(text: Column, parts: list[str]) -> Column:

@@ -16,7 +16,8 @@ from .filters import price_of, rental_row, text_at
 
 MAX_TEXT = 2_000_000
 NUMBER = r"(-?\d+\.?\d*)"
-QUOTED = r'"((?:[^"\\]|\\.)*)"'
+#: Possessive, so a long text takes no stack.
+QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 LISTING = r'"listing"\s*:\s*\{'
 # Widths of the texts looked at after the listing's start.
 LISTING_TEXT, DATES_TEXT, PRICES_TEXT = 200_000, 65_000, 35_000

@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .dedupe import last_wins
+from .tables import written
 
 BATCH_ROWS = 500
 REPORT = "file_name string, status string, rows long, error string"
 
 
 def write_snapshot(rows: DataFrame, path: str, key: str, seq: list[str], fmt: str = "json") -> None:
-    """The last row of each id, as files below site and stamp."""
-    last_wins(rows, ["site", "stamp", key], seq).write.partitionBy("site", "stamp").mode("overwrite").format(fmt).save(path)
+    """The last row of each id, as files below site and stamp; replaces the snapshots that rows holds and no others."""
+    current = last_wins(rows, ["site", "stamp", key], seq).write.partitionBy("site", "stamp").mode("overwrite")
+    current.option("partitionOverwriteMode", "dynamic").format(fmt).save(path)
 
 
 def write_unified(unified: DataFrame, path: str) -> None:
@@ -33,11 +35,15 @@ def json_rows(df: DataFrame) -> DataFrame:
 
 
 def publish(df: DataFrame, destinations: str) -> DataFrame:
-    """Writes to every destination of a list split by comma, bar or semicolon; (dest, status, error). One that fails does not stop the rest."""
+    """Writes to every destination of a list split by comma, bar or semicolon; (dest, status, error). One that fails does not stop the rest.
+
+    Rows are computed once: destinations get what was written first.
+    """
     spark, out = df.sparkSession, []
+    rows = written(df, "published")
     for dest in (d.strip() for d in re.split(r"[,|;]", destinations) if d.strip()):
         try:
-            df.write.mode("overwrite").json(dest)
+            rows.write.mode("overwrite").json(dest)
             out.append((dest, "ok", None))
         except Exception as e:  # noqa: BLE001  the report holds it
             out.append((dest, "error", str(e).splitlines()[0][:300]))

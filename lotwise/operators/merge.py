@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.texts import title_case
 from .dedupe import last_wins
 from .records import BASE, ZEROS
 
@@ -35,9 +36,9 @@ def listings_and_points(listings: DataFrame, points: DataFrame, seq: list[str])
 
 
 def points_and_cards(points: DataFrame, cards: DataFrame, seq: list[str], mode: str = "faithful") -> DataFrame:
-    """Points with what their cards add, one row per URL, the last; cards without a point and rows without a URL go."""
-    columns = [c for c in points.columns if c not in ("id", *seq)]
-    merged = coalesced(points.drop(*seq), cards.where("id <> 0").drop(*seq), "id", columns, mode=mode).join(points.select("id", *seq), "id")
+    """Points with what their cards (the last of each id) add, one row per URL, the last; cards without a point and rows without a URL go."""
+    one_card = last_wins(cards.where("id <> 0"), ["id"], seq).drop(*seq)
+    merged = coalesced(points, one_card, "id", points.columns, mode=mode)
     return last_wins(merged.where(F.coalesce(F.col("url"), F.lit("")) != ""), ["url"], [*seq, "id"])
 
 
@@ -60,7 +61,7 @@ def with_label(df: DataFrame, code: str, labels: DataFrame, out: str) -> DataFra
     """Looks up (code, label) rows; codes without a label become words with capitals, blanks stay blank."""
     c = F.trim(F.coalesce(F.col(code), F.lit("")))
     named = df.withColumn("_code", c).join(labels.select(F.col("code").alias("_code"), F.col("label").alias("_label")), "_code", "left")
-    return named.withColumn(out, F.coalesce("_label", F.initcap(F.replace(F.col("_code"), F.lit("_"), F.lit(" "))))).drop("_code", "_label")
+    return named.withColumn(out, F.coalesce("_label", title_case(F.replace(F.col("_code"), F.lit("_"), F.lit(" "))))).drop("_code", "_label")
 
 
 def geocoded(df: DataFrame, address: str, lookup: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def netimoveis(v: Column) -> Fields:
     return {
         "id": whole(v, "imovelSan_Id"), "url": texts.prefixed_url(f"{NETIMOVEIS}venda/", path), "thumb": at(v, "nomeArquivoThumb"),
         "aluguel": whole(v, "valorLocacao"), "venda": whole(v, "valorImovel"), "iptu": whole(v, "valorIptu"), "condominio": whole(v, "valorCondominio"),
-        "banheiros": whole(v, "banho") + whole(v, "suites"), "quartos": whole(v, "quartos") + whole(v, "dce"), "vagas": parking, "area": whole(v, "areaRealPrivativa"),
+        "banheiros": F.try_add(whole(v, "banho"), whole(v, "suites")), "quartos": F.try_add(whole(v, "quartos"), whole(v, "dce")), "vagas": parking, "area": whole(v, "areaRealPrivativa"),
         "bairro": at(v, "nomeBairro"), "tipo_imovel": texts.normalize_type(at(v, "tipoImovel1")),
         "endereco": texts.address_line(*(at(v, k) for k in ("siglaEstado", "nomeCidade", "nomeBairro", "tipoLogradouro", "logradouroPublico"))),
         "lat": geo.truthy_coordinate(at(v, "latitude2", "double")), "long": geo.truthy_coordinate(at(v, "longitude2", "double")),

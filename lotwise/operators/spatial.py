@@ -61,8 +61,13 @@ def cell_bounds(i: Column, j: Column) -> dict[str, Column]:
     }
 
 
+def unsplittable(rectangles: DataFrame, n: Column) -> DataFrame:
+    """Rectangles that cannot be split into n cells, with the reason why they are kept out."""
+    return rectangles.where(F.coalesce(n < 1, F.lit(True))).withColumn("code", F.lit("fewer_than_one_cell"))
+
+
 def split_grid(rectangles: DataFrame, n: Column) -> DataFrame:
-    """The cells of each rectangle, column by column: other columns, i, j and the bounds."""
+    """The cells of each rectangle, column by column: other columns, i, j and the bounds. n below 1 has no cells: see unsplittable."""
     kept = [c for c in rectangles.columns if c not in BOUNDS]
     cells = grid_shape(rectangles, n).withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nx") - 1)))
     cells = cells.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("ny") - 1)))

@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def fresh_folder(spark: SparkSession, name: str) -> str:
-    """A path of its own below the folder in spark.checkpoint.dir; a temporary folder only where the setting is absent."""
+    """A path of its own below the folder in spark.checkpoint.dir, which the driver and all executors share.
+
+    Where that is unset, a temporary folder on a local master, whose tasks share the machine; an error on a cluster.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", "")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -28,7 +28,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from . import page_queries, record_queries, snapshot_queries, space_queries  # noqa: F401
+    from . import page_queries, record_queries, snapshot_queries, source_queries, space_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -12,12 +12,15 @@ from ..functions.dates import stamp_to_timestamp
 from ..functions.texts import table_name
 from ..operators.dedupe import last_wins, with_priority
 
+# Names of snapshot files.
 NAME = r"^(\d{4}-\d{2}-\d{2}_\d{2}-\d{2})_([a-zA-Z0-9_]+)\.json$"
 # The known sites in the order of the unified view.
 SITES = ["quintoandar", "vivareal", "netimoveis", "zapimoveis", "casamineira"]
 # Names of outputs that lie beside the snapshots.
 OUTPUTS = ["imoveis_unificados", "imoveis_unificados_minified"]
 OUTPUT_PREFIX = "_upload_merge_"
+#: The provider that once exported rent and sale apart.
+OLDER_EXPORTS = "zapimoveis"
 
 
 def stamp_of(name: Column) -> Column:
@@ -39,8 +42,20 @@ def is_output(site: Column) -> Column:
 
 
 def loadable(files: DataFrame, sites: list[str] | None = None) -> DataFrame:
-    """Snapshots of the known sites, without outputs."""
-    return with_names(files).where(F.col("stamp").isNotNull() & ~is_output(F.col("site")) & F.col("site").isin(sites or SITES))
+    """Snapshots of the known sites, without outputs and impossible stamps."""
+    named = with_names(files)
+    return named.where(F.col("snapshot_ts").isNotNull() & ~is_output(F.col("site")) & F.col("site").isin(sites or SITES))
+
+
+def impossible(files: DataFrame) -> DataFrame:
+    """Files named like snapshots whose stamp is no minute of any day, with the reason why they are kept out."""
+    named = with_names(files).where(F.col("stamp").isNotNull() & F.col("snapshot_ts").isNull())
+    return named.select("file_name", "site", "stamp", F.lit("impossible_stamp").alias("code"))
+
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """Rows of sites in the order of their names."""
+    return rows.orderBy("site")
 
 
 def newest_per_site(files: DataFrame) -> DataFrame:
@@ -76,14 +91,22 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
 def explode_body(files: DataFrame) -> DataFrame:
     """One row per listing: columns of files but body, key, pos and raw (variant). Of equal keys the last stays.
 
-    The body's root is an object of listings by id or an array of listings; other roots give no rows.
+    The body's root is an object of listings by id or an array of listings; other roots give no rows. A body is one
+    value of at most 2 GB and is parsed by one task: larger exports have to come as lines (json_lines).
     """
     kept = [c for c in files.columns if c != "body"]
-    body = F.col("body")
-    by_key = files.where(F.ltrim(body).startswith("{")).select(*kept, F.posexplode(F.from_json(body, "map<string,variant>")).alias("pos", "key", "raw"))
-    by_key = by_key.withColumn("_last", F.max("pos").over(Window.partitionBy("file_name", "key"))).where("pos = _last").drop("_last")
-    listed = files.where(F.ltrim(body).startswith("[")).select(*kept, F.posexplode(F.from_json(body, "array<variant>")).alias("pos", "raw")).withColumn("key", F.lit(None).cast("string"))
-    return by_key.unionByName(listed)
+    body, root = F.col("body"), F.left(F.ltrim("body"), F.lit(1))
+    by_key = F.transform(F.map_entries(F.from_json(body, "map<string,variant>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw")))
+    listed = F.transform(F.from_json(body, "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("raw")))
+    rows = files.select(*kept, F.posexplode(F.when(root == "{", by_key).when(root == "[", listed)).alias("pos", "item")).select(*kept, "pos", "item.key", "item.raw")
+    same = F.coalesce(F.concat(F.lit("="), F.col("key")), F.col("pos").cast("string"))
+    return rows.withColumn("_last", F.max("pos").over(Window.partitionBy("file_name", same))).where("pos = _last").drop("_last")
+
+
+def json_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Listings of exports with one JSON object a line: file_name and raw. Spark splits such files over tasks."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_name").alias("file_name"), F.try_parse_json("value").alias("raw"))
+    return listings(lines)
 
 
 def listings(rows: DataFrame) -> DataFrame:
@@ -93,8 +116,10 @@ def listings(rows: DataFrame) -> DataFrame:
 
 
 def latest_for_provider(files: DataFrame, provider: str) -> DataFrame:
-    """The provider's newest snapshot; without one, the newest of its older rent and sale exports, sale first by priority."""
-    parts = F.create_map(F.lit(provider), F.lit(0), F.lit(f"{provider}_venda"), F.lit(1), F.lit(f"{provider}_aluguel"), F.lit(2))
+    """The provider's newest snapshot; without one, for the provider with older exports the newest of rent and sale, sale first by priority."""
+    provider = provider.lower()
+    names = [provider, f"{provider}_venda", f"{provider}_aluguel"] if provider == OLDER_EXPORTS else [provider]
+    parts = F.create_map(*(F.lit(x) for k, name in enumerate(names) for x in (name, k)))
     found = newest_per_site(files).withColumn("priority", F.try_element_at(parts, F.col("site"))).where("priority IS NOT NULL")
     own = F.min("priority").over(Window.partitionBy())  # three rows at most
     return found.withColumn("_own", own).where("priority = 0 OR _own > 0").drop("_own")

@@ -17,19 +17,26 @@ def fact_rows(files: DataFrame, sites: list[str] | None = None) -> DataFrame:
     return records.stamped_rows(valid)
 
 
-def snapshot_stream(spark: SparkSession, directory: str) -> DataFrame:
+def snapshot_stream(spark: SparkSession, directory: str, files_at_once: int | None = None) -> DataFrame:
     """file_name and body of the files of a directory as they come; several snapshots may come at once."""
-    raw = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json").load(directory)
+    reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
+    raw = (reader.option("maxFilesPerTrigger", files_at_once) if files_at_once else reader).load(directory)
     return raw.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("body"))
 
 
-def ingest(spark: SparkSession, directory: str, facts: str, checkpoint: str, sites: list[str] | None = None):
-    """Loads all files not seen yet into the fact table and ends. A batch that runs again replaces its own snapshots."""
+def ingest(spark: SparkSession, directory: str, facts: str, checkpoint: str, sites: list[str] | None = None, quarantine: str | None = None, files_at_once: int | None = None):
+    """Loads all files not seen yet into the fact table and ends. A batch that runs again replaces its own snapshots.
 
-    def batch(df: DataFrame, _: int) -> None:
+    Files with an impossible stamp go to quarantine, a folder for each batch. Of files of one site and stamp that come
+    in different batches, the last batch's stays.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        if quarantine:
+            snapshots.impossible(df).write.mode("overwrite").json(f"{quarantine}/batch={number}")
         load.append_facts(fact_rows(df, sites), facts)
 
-    stream = snapshot_stream(spark, directory).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    stream = snapshot_stream(spark, directory, files_at_once).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     return stream.trigger(availableNow=True).start()
 
 

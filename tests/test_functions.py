@@ -60,6 +60,8 @@ def test_texts(over, spark):
     assert over(["TWO_STORY_HOUSE", "Studio x", "Lote", None, "um flat casa", ""], texts.normalize_type) == ["Casa", "Apartamento", "Outro", "Outro", "Apartamento", "Outro"]
     assert over([" Praça São João "], texts.strip_accents_lower) == ["praca sao joao"]
     assert over(["AIR_CONDITIONING", "ROOF_TOP", "", None], texts.amenity_label) == ["Ar-condicionado", "Roof Top", "", ""]
+    assert over(["CONCIERGE_12H", "SALA_D'AGUA", "A-B"], texts.amenity_label) == ["Concierge 12H", "Sala D'Agua", "A-B"]
+    assert over([None, " 5 ", "undefined"], texts.street_number) == ["", "5", ""]
     assert over(["http://a/b?c=1#d", "http://a/b#c"], texts.strip_query) == ["http://a/b", "http://a/b#c"]
     assert over(["http://t/?" + texts.THUMB_TEMPLATE, None], texts.fill_thumb) == ["http://t/?action=fit-in&dimension=614x297", None]
     assert over(["Zap-Imóveis 2026!", "__", "A" * 80], texts.sanitize_identifier) == ["zap_im_veis_2026", None, "a" * 63]
@@ -70,17 +72,18 @@ def test_texts(over, spark):
     assert over([r"a\/b é", r"bad \x\/", None], texts.decode_fragment) == ["a/b é", r"bad \x/", ""]
     rows = [("R. X", "5", "Centro", "BH", "MG"), ("R. X", None, None, "BH", None), (None, None, None, None, "MG"), (None, None, None, None, None), (None, None, "Centro", "BH", None)]
     df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string").coalesce(1)
-    assert [r[0] for r in df.select(texts.full_address(*(F.col(c) for c in "abcde"))).collect()][:4] == ["R. X, 5 - Centro - BH - MG", "R. X - BH", "MG", None]
+    assert [r[0] for r in df.select(texts.full_address(*(F.col(c) for c in "abcde"))).collect()] == ["R. X, 5 - Centro - BH - MG", "R. X - BH", "MG", None, " - Centro - BH"]
     assert df.select(texts.address_line(*(F.col(c) for c in "abcde"))).first()[0] == "R. X, 5, Centro, BH, MG"
 
 
 def test_dates(over):
     assert over(["2026-06-01_02-25", "2026-13-01_02-25", None], dates.stamp_to_timestamp) == [dt.datetime(2026, 6, 1, 2, 25), None, None]
     assert over(["2026-01-02T23:00:00-03:00", "2026-01-02T23:00:00", "x", "2026-01-02T01:00:00Z"], dates.iso_to_utc_date) == [DAY(2026, 1, 3), DAY(2026, 1, 2), None, DAY(2026, 1, 2)]
-    assert over(["2026-01-02T23:00:00-03:00"], dates.prefix_date) == ["2026-01-02"]
+    assert over(["2026-01-02T23:00:00-03:00", "2026-01-", "2026-01-02"], dates.prefix_date) == ["2026-01-02", None, "2026-01-02"]
     as_of = F.lit("2026-06-01")
     phrases = ["publicado há 2 meses", "PUBLICADO HÁ 1 dia", "publicado há 1 mês", "há 3 dias", "publicado há 3 semanas", None]
     assert over(phrases, lambda v: dates.relative_date(v, "publicado", as_of)) == [DAY(2026, 4, 2), DAY(2026, 5, 31), DAY(2026, 5, 2), None, DAY(2026, 5, 11), None]
+    assert over(["publicado há 999999999999999 anos", "publicado há 9000 anos", "publicado há 99999999999999999999 dias"], lambda v: dates.relative_date(v, "publicado", as_of)) == [None, None, None]
     mixed = ["2026-01-02T23:00:00-03:00", "publicado há 1 ano", "", "x"]
     assert over(mixed, lambda v: dates.calendar_date(v, "publicado", as_of)) == [DAY(2026, 1, 2), DAY(2025, 6, 1), None, None]
 

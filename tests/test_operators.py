@@ -24,7 +24,9 @@ def test_catalogue(spark):
     names = ["2026-06-01_02-25_quintoandar.json", "2026-06-02_02-25_QuintoAndar.json", "2026-06-02_02-25_quintoandar.json", "2026-13-02_02-25_vivareal.json", "2026-06-01_00-00_imoveis_unificados.json", "2026-06-01_00-00_other.json", "readme.txt"]
     newest = {r["site"]: r["file_name"] for r in snapshots.newest_per_site(files(spark, names)).collect()}
     assert newest == {"quintoandar": "2026-06-02_02-25_QuintoAndar.json", "other": "2026-06-01_00-00_other.json"}
-    assert {r["file_name"] for r in snapshots.loadable(files(spark, names)).collect()} == {*names[:4]}
+    assert {r["file_name"] for r in snapshots.loadable(files(spark, names)).collect()} == {*names[:3]}
+    assert [(r["file_name"], r["code"]) for r in snapshots.impossible(files(spark, names)).collect()] == [(names[3], "impossible_stamp")]
+    assert [r["site"] for r in snapshots.in_order(snapshots.newest_per_site(files(spark, names))).collect()] == ["other", "quintoandar"]
     assert snapshots.select_sites("zapimoveis; VivaReal,vivareal") == ["vivareal", "zapimoveis"]
     assert snapshots.select_sites("none") == [] and snapshots.select_sites(None) == snapshots.SITES
     with pytest.raises(ValueError):
@@ -35,6 +37,8 @@ def test_provider(spark):
     old = ["2026-01-01_00-00_zapimoveis_aluguel.json", "2026-01-02_00-00_zapimoveis_venda.json", "2025-01-02_00-00_zapimoveis_venda.json"]
     got = snapshots.latest_for_provider(files(spark, old), "zapimoveis").orderBy("priority").collect()
     assert [r["file_name"] for r in got] == [old[1], old[0]]
+    other = [n.replace("zapimoveis", "vivareal") for n in old]
+    assert snapshots.latest_for_provider(files(spark, other), "vivareal").count() == 0
     new = "2025-01-01_00-00_zapimoveis.json"
     assert [r["file_name"] for r in snapshots.latest_for_provider(files(spark, [*old, new]), "zapimoveis").collect()] == [new]
     rent = spark.createDataFrame([("1", "rent"), ("2", "rent")], "key string, v string")
@@ -86,6 +90,8 @@ def test_merges(spark):
     pts = spark.createDataFrame([(1, "u", None, 1), (2, "", "c", 2), (4, "u", "d", 3)], "id int, url string, cidade string, seq int")
     cards = spark.createDataFrame([(1, "v", "e", 1), (0, "u", "f", 2)], "id int, url string, cidade string, seq int")
     assert [(r["id"], r["cidade"]) for r in merge.points_and_cards(pts, cards, ["seq"]).collect()] == [(4, "d")]
+    twice = merge.coalesced(pts.unionByName(pts), cards, "id", pts.columns)
+    assert twice.count() == 6 and merge.points_and_cards(pts.unionByName(pts), cards.unionByName(cards), ["seq"]).count() == 1
 
 
 def test_responses(spark):
@@ -144,6 +150,9 @@ def test_rectangles(spark):
     for n, shape in ((4, (2, 2)), (3, (1, 3)), (6, (2, 3)), (1, (1, 1))):
         assert tuple(spatial.grid_shape(box, F.lit(n)).select("nx", "ny").first()) == shape
     assert spatial.split_grid(box, F.lit(2.5)).count() == 3
+    for n in (0.5, None):
+        assert spatial.split_grid(box, F.lit(n).cast("double")).count() == 0 and spatial.unsplittable(box, F.lit(n).cast("double")).first()["code"] == "fewer_than_one_cell"
+    assert spatial.unsplittable(box, F.lit(1.0)).count() == 0
 
 
 def test_adaptive_cells(spark):
@@ -198,6 +207,31 @@ def test_list_page(spark):
     assert df.select(envelopes.page_total(extract.embedded_json(F.col("html"), r'\\"totalCount'))).first()[0] == 3
 
 
+def test_json_lines(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"id":1}\nnot json\n{"id":null}\n5\n{"id":2}\n')
+    got = snapshots.json_lines(spark, str(tmp_path)).select("file_name", F.try_variant_get("raw", "$.id", "int").alias("id")).collect()
+    assert sorted(map(tuple, got)) == [("x.json", 1), ("x.json", 2)]
+
+
+def test_one_bad_row_ends_no_job(spark, variants):
+    long = "x" * 500_000 + "\\\\" * 250_000
+    pages_ = spark.createDataFrame([(f'"listing":{{"street":"{long}","formattedAddress":"{long}"',), ('"listing":{"street":"short',)], "html string").coalesce(1)
+    rows = pages_.select(F.length(extract.quoted_field(F.col("html"), "street")), F.length(extract.snippets(F.col("html"))["address"])).collect()
+    assert [tuple(r) for r in rows] == [(750_000, 750_000), (0, 0)]
+    page = spark.createDataFrame([(1, "u", "<p>Publicado há 999999999999999 anos</p>" + "<script>" + "é😀" * 300_000 + "locationId</script>")], "page_id long, url string, html string")
+    assert extract.detail_records(page, F.lit("2026-06-01")).first()["publicadoHa"] is None
+    many = "9" * 18
+    n = normalize.records(variants({"imovelSan_Id": 1, "banho": many + "9", "suites": many + "9", "quartos": 9223372036854775807, "dce": 9223372036854775807}), normalize.netimoveis).first()
+    assert (n["id"], n["banheiros"], n["quartos"]) == (1, 0, 0)
+    q = normalize.records(variants({"id": 1, "_source": {"totalCost": -9223372036854775807, "rent": 9223372036854775807}}), normalize.quintoandar).first()
+    assert (q["id"], q["condominio"]) == (1, 0)
+
+
+def test_next_data(spark):
+    df = spark.createDataFrame([('<script id="__NEXT_DATA__" type="application/json">{"a":1}</script>',), ("<p>",)], "html string").coalesce(1)
+    assert [r[0] for r in df.select(F.try_variant_get(extract.next_data(F.col("html")), "$.a", "int")).collect()] == [1, None]
+
+
 def test_amenities(variants):
     listing = {"amenities": {"values": ["POOL"]}, "features": ["POOL_TABLE", "Piscina", {"name": "Lareira"}], "lazerItems": ["Sauna"], "other": ["no"]}
     assert variants(listing).select(extract.listing_amenities(F.col("raw"))).first()[0] == ["Piscina", "Pool Table", "Lareira", "Sauna"]
@@ -207,11 +241,21 @@ def test_loads(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", "2026-06-01_00-00", 1), (1, "a", "2026-06-01_00-00", 2)], "id int, site string, stamp string, seq int")
     load.write_snapshot(rows, str(tmp_path / "s"), "id", ["seq"], "parquet")
     assert spark.read.parquet(str(tmp_path / "s")).first()["seq"] == 2
+    load.write_snapshot(rows.withColumn("site", F.lit("b")), str(tmp_path / "s"), "id", ["seq"], "parquet")
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 2  # the other site's snapshot is still there
     assert load.load_snapshot_table(rows, "snap") == "created" and load.load_snapshot_table(rows, "snap") == "skipped_exists" and load.load_snapshot_table(rows, "snap", True) == "reloaded"
     load.ensure_table(spark, "facts_db.t", "id int", truncate=True)
     assert spark.table("facts_db.t").count() == 0
     load.export_json(rows, str(tmp_path / "j"))
     assert json.loads(spark.read.text(str(tmp_path / "j")).orderBy("value").first()[0]) == {"id": 1, "site": "a", "stamp": "2026-06-01_00-00", "seq": 1}
+    load.write_unified(rows, str(tmp_path / "u"))
+    assert spark.read.json(str(tmp_path / "u")).count() == 2
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    load.write_jdbc(rows, url, "facts")
+    assert spark.read.jdbc(url, "facts").count() == 2
+    listed = snapshots.list_files(spark, f"{tmp_path}/u")
+    assert {r["file_name"].rsplit(".", 1)[1] for r in listed.collect()} == {"json"}
+    assert snapshots.id_keyed(rows, "id", ["seq"]).first()["seq"] == 2
     report = {r["dest"]: r["status"] for r in load.publish(rows, f"{tmp_path}/p1 | nofs://x/y").collect()}
     assert report == {f"{tmp_path}/p1": "ok", "nofs://x/y": "error"}
 
@@ -226,7 +270,9 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     put("2026-06-01_02-25_vivareal.json", {"1": {"id": 1, "aluguel": 5}, "2": {"id": 2}, "x": {"id": 0}})
     put("2026-06-02_00-00_zapimoveis.json", [{"id": 9}])
     put("2026-06-02_00-00_unknown.json", [{"id": 9}])
-    ingest.ingest(spark, str(source), facts, state).awaitTermination()
+    put("2026-13-02_00-00_vivareal.json", [{"id": 9}])
+    ingest.ingest(spark, str(source), facts, state, quarantine=f"{tmp_path}/q", files_at_once=2).awaitTermination()
+    assert [(r["file_name"], r["code"]) for r in spark.read.json(f"{tmp_path}/q").collect()] == [("2026-13-02_00-00_vivareal.json", "impossible_stamp")]
     assert load.read_facts(spark, facts).count() == 3
     put("2026-05-01_00-00_vivareal.json", [{"id": 3}])  # comes late, is not the newest
     ingest.ingest(spark, str(source), facts, state).awaitTermination()
