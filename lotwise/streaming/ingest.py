@@ -25,7 +25,12 @@ def snapshot_stream(spark: SparkSession, directory: str, files_at_once: int | No
 
 
 def ingest(spark: SparkSession, directory: str, facts: str, checkpoint: str, sites: list[str] | None = None, quarantine: str | None = None, files_at_once: int | None = None):
-    """Loads all files not seen yet into the fact table and ends. A batch that runs again replaces its own snapshots.
+    """Loads all files of a directory not seen yet into the fact table and ends."""
+    return ingest_files(snapshot_stream(spark, directory, files_at_once), facts, checkpoint, sites, quarantine)
+
+
+def ingest_files(files: DataFrame, facts: str, checkpoint: str, sites: list[str] | None = None, quarantine: str | None = None):
+    """Loads a stream of files (file_name, body) into the fact table. A batch that runs again replaces its own snapshots.
 
     Files with an impossible stamp go to quarantine, a folder for each batch. Of files of one site and stamp that come
     in different batches, the last batch's stays.
@@ -36,8 +41,7 @@ def ingest(spark: SparkSession, directory: str, facts: str, checkpoint: str, sit
             snapshots.impossible(df).write.mode("overwrite").json(f"{quarantine}/batch={number}")
         load.append_facts(fact_rows(df, sites), facts)
 
-    stream = snapshot_stream(spark, directory, files_at_once).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    return stream.trigger(availableNow=True).start()
+    return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def newest_facts(facts: DataFrame) -> DataFrame:
