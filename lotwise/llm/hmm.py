@@ -8,26 +8,31 @@ proper distribution over texts: the scaled forward recursion gives the exact lik
 of the classes, and the words' shares multiply it.
 
 Training: word counts are summed over all training documents. Baum-Welch starts from
-random states; every round is a pass over all training documents, whole ones, in which
-each task adds up its expected counts and Spark sums them over the tasks. It ends once
-a round gains less than GAIN a token, after ROUNDS rounds at the latest.
-The number of words grows with the corpus and never leaves the executors: the HEAD most
-frequent words go with the model, the other words are joined by value.
+random states and goes PASSES times over all training documents, whole ones, each pass
+in BLOCKS blocks by hash. A block's expected counts, added up by each task and summed
+by Spark, are averaged into those of the blocks before, with the falling weight of
+stepwise expectation maximisation, and the model is estimated anew, so it moves BLOCKS
+times a pass. A last, plain round over all documents at once gives the model used.
+The number of words grows with the corpus and never leaves the executors: the words with
+the highest counts, at most HEAD and none with the count of one left out, go with the
+model, the other words are joined by value.
 
 Each row gives an output row, repeated rows included. A null or empty text is one end.
 A null id is in no fold, so its text is learned from. With nothing to learn from, counts
-are 0 and the model is uniform over its classes. Extra columns are ignored.
+are 0 and the model is uniform over its classes. A very long text is one sequence like
+any other, its forward probabilities carried on from run to run. Words of equal counts
+are ordered by themselves. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,10 +42,10 @@ STATES = 8
 FREQUENT, SUFFIXES, SUFFIX_BYTES = 8191, 4096, 4
 #: Words whose counts go with the model.
 HEAD = 1 << 17
-#: Rounds of Baum-Welch at most, and the gain in log10 likelihood a token below which they end.
-ROUNDS, GAIN = 17, 1e-4
-#: Tokens held as matrices at once, and words counted before they are passed on.
-BATCH_TOKENS, COUNTED = 150_000, 200_000
+#: Passes over the blocks of documents, the blocks, and the power of a step's number that its weight falls with.
+PASSES, BLOCKS, FALL = 2, 8, 0.6
+#: Tokens held as matrices at once, and texts cut into words together.
+BATCH_TOKENS, BATCH_ROWS = 150_000, 1000
 #: Tokens whose documents are sorted by length together in training, and documents that go side by side even if long.
 POOL_TOKENS, WIDE = 2_000_000, 64
 FOLDS, HELD_OUT = 7, 2
@@ -48,22 +53,24 @@ CLASSES = 1 + FREQUENT + SUFFIXES
 #: Prior counts added to expected counts.
 PRIOR = 0.01
 
-CODED = "row long, doc_id long, held_out boolean, n_tokens long, known long, log_counts double, log_shares double, classes binary, tail array<binary>"
+CODED = "row long, doc_id long, held_out boolean, block int, n_tokens long, known long, log_counts double, log_shares double, classes binary, tail array<string>"
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def split_words(texts: pa.Array) -> pa.ListArray:
+    """Words of each text, A-Z lower-cased."""
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    return pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), None, trimmed))  # blanks at an end would be words
 
 
-def suffix_class(word: bytes) -> int:
-    return 1 + FREQUENT + zlib.crc32(word[-SUFFIX_BYTES:]) % SUFFIXES
+def suffix_class(word: str) -> int:
+    return 1 + FREQUENT + zlib.crc32(word.encode()[-SUFFIX_BYTES:]) % SUFFIXES
 
 
 @dataclass
 class Vocabulary:
     """What goes with every task: bounded by HEAD words and CLASSES classes."""
 
-    head: dict[bytes, tuple[int, int]]  # word: (count, class)
+    head: dict[str, tuple[int, int]]  # word: (count, class)
     docs: int  # training documents, the count of the end
     tokens: int
     types: int
@@ -77,28 +84,34 @@ class Vocabulary:
 
 def word_counts(training: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                found = split_words(whole.slice(at, BATCH_ROWS).column("text")).flatten().value_counts()
+                yield pa.RecordBatch.from_arrays([found.field("values"), found.field("counts")], ["word", "n"])
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts.keys()), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    return training.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 200):
-                for text in whole.slice(at, 200).column("text").to_pylist():
-                    counts.update(words_of(text))
-                if len(counts) > COUNTED:
-                    yield out()
-                    counts.clear()
-        yield out()
 
-    return training.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def head_words(counts: DataFrame) -> list[tuple[str, int]]:
+    """At most HEAD words with the highest counts, all words of a count or none, in falling order."""
+    n = F.col("n")
+    level = F.when(n < 4096, n).otherwise(4096 + F.floor(256 * F.log2(n / 4096)))
+    levels, least, held = counts.groupBy(level.alias("level")).count().collect(), None, 0  # some 20,000 rows at most
+    for x in sorted(levels, key=lambda x: -x["level"]):
+        held += x["count"]
+        if held > HEAD:
+            break
+        least = x["level"]
+    if least is None:
+        return []
+    head = counts.where(level >= least).toArrow()  # at most HEAD words
+    return sorted(zip(head.column("word").to_pylist(), head.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0].encode()))
 
 
 def vocabulary(counts: DataFrame, docs: int) -> Vocabulary:
-    suffix = F.crc32(F.substring("word", -SUFFIX_BYTES, SUFFIX_BYTES)) % SUFFIXES
+    suffix = F.crc32(F.substring(F.col("word").cast("binary"), -SUFFIX_BYTES, SUFFIX_BYTES)) % SUFFIXES
     total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.col("n").desc(), "word").limit(HEAD).toArrow()  # at most HEAD words
-    words, ns = head.column("word").to_pylist(), head.column("n").to_pylist()
+    words, ns = zip(*found, strict=True) if (found := head_words(counts)) else ((), ())
     known = {w: (n, 1 + k if k < FREQUENT else suffix_class(w)) for k, (w, n) in enumerate(zip(words, ns, strict=True))}
     class_tokens, class_types = np.zeros(CLASSES), np.zeros(CLASSES)
     for s, n, t in counts.groupBy(suffix.cast("int").alias("s")).agg(F.sum("n"), F.count("*")).collect():  # at most SUFFIXES rows
@@ -118,35 +131,43 @@ def coded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
-        by_word = {w: (k, np.log10(n + 1), v.share(n, k)) for w, (n, k) in v.head.items()}
+        by_word = {w: (k, np.log10(n + 1), v.share(n, k), 1) for w, (n, k) in v.head.items()}
         share = [v.share(0, k) for k in range(CLASSES)]
         end = np.log10(v.docs + 1)
+
+        def values(word: str) -> tuple[int, float, float, int]:
+            return by_word.get(word) or (k := suffix_class(word), 0.0, share[k], 0)
+
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
-                texts = [words_of(t) for t in b.column("text").to_pylist()]
-                classes, known, log_counts, log_shares, tails = [], [], [], [], []
-                for words in texts:
-                    found = [by_word.get(w) for w in words]
-                    tail = [w for w, f in zip(words, found, strict=True) if f is None]
-                    if tail:
-                        found = [f or (k := suffix_class(w), 0.0, share[k]) for w, f in zip(words, found, strict=True)]
-                    k, c, s = zip(*found, strict=True) if found else ((), (), ())
-                    classes.append(np.array([*k, 0], "<u2").tobytes())
-                    known.append(len(words) - len(tail) + (v.docs > 0))
-                    log_counts.append(float(np.sum(c)) + end)
-                    log_shares.append(float(np.sum(s)))
-                    tails.append(tail)
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                b = whole.slice(at, BATCH_ROWS)
+                split = split_words(b.column("text"))
+                words = split.flatten().dictionary_encode()
+                found = [values(w) for w in words.dictionary.to_numpy(zero_copy_only=False)]
+                classes, counts, shares, known = (np.array(x, t) for x, t in zip(zip(*found, strict=True) if found else ((),) * 4, ("<u2", float, float, bool), strict=True))
+                of, n = words.indices.to_numpy(), b.num_rows
+                offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+                doc = np.repeat(np.arange(n), np.diff(offsets))
+                coded = np.zeros(len(of) + n, "<u2")  # the end is class 0
+                coded[np.arange(len(of)) + doc] = classes[of]
+                ends = pa.py_buffer((2 * (offsets + np.arange(n + 1))).astype(np.int32))
+                tail = ~known[of]
+                rare = np.concatenate(([0], np.cumsum(np.bincount(doc[tail], minlength=n)))).astype(np.int32)
+
+                def sums(x: np.ndarray) -> np.ndarray:
+                    return np.bincount(doc, x[of], n)
+
                 yield pa.RecordBatch.from_arrays(
                     [
-                        b.column("row"), b.column("doc_id"), b.column("held_out"), pa.array([len(w) + 1 for w in texts], pa.int64()), pa.array(known, pa.int64()),
-                        pa.array(log_counts, pa.float64()), pa.array(log_shares, pa.float64()), pa.array(classes, pa.binary()), pa.array(tails, pa.list_(pa.binary())),
+                        b.column("row"), b.column("doc_id"), b.column("held_out"), b.column("block"), pa.array(np.diff(offsets).astype(np.int64) + 1), pa.array(sums(known).astype(np.int64) + (v.docs > 0)),
+                        pa.array(sums(counts) + end), pa.array(sums(shares)), pa.Array.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(coded)]),
+                        pa.ListArray.from_arrays(pa.array(rare), words.dictionary.take(pa.array(of[tail]))),
                     ],
-                    ["row", "doc_id", "held_out", "n_tokens", "known", "log_counts", "log_shares", "classes", "tail"],
+                    ["row", "doc_id", "held_out", "block", "n_tokens", "known", "log_counts", "log_shares", "classes", "tail"],
                 )
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), in_fold(F.col("doc_id"), FOLDS, HELD_OUT).alias("held_out"), "text")
-    return rows.mapInArrow(run, CODED)
+    return rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "row"), F.lit(BLOCKS)).cast("int")).mapInArrow(run, CODED)
 
 
 @dataclass
@@ -274,8 +295,29 @@ def sequences_of(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x, "<u2").astype(np.int64) for x in column.to_pylist()]
 
 
-def baum_welch(training: DataFrame, model: Model, shape: np.ndarray) -> tuple[Model, float]:
-    """One pass over all training documents: the next model, and the given one's log10 likelihood a token."""
+@dataclass
+class Counts:
+    """Expected counts of starts, steps and emissions, the log10 likelihood and the tokens they come from."""
+
+    start: np.ndarray
+    step: np.ndarray
+    emission: np.ndarray
+    log: float
+    tokens: float
+
+    def mixed(self, other: Counts, weight: float) -> Counts:
+        """The counts a token of both, the other's with a weight."""
+        a, b = (1 - weight) / self.tokens, weight / other.tokens
+        return Counts(*(a * x + b * y for x, y in ((self.start, other.start), (self.step, other.step), (self.emission, other.emission))), 0.0, 1.0)
+
+    def model(self, shape: np.ndarray, tokens: float) -> Model:
+        """The model these counts give if they come from so many tokens."""
+        by = tokens / self.tokens
+        return normalised(self.start * by, self.step * by, self.emission * by, shape)
+
+
+def baum_welch(training: DataFrame, model: Model) -> Counts | None:
+    """Expected counts of the given documents; none without any."""
     spark = training.sparkSession
     shared = spark.sparkContext.broadcast(model)
     columns = [f"s{k}" for k in range(STATES)]
@@ -299,18 +341,22 @@ def baum_welch(training: DataFrame, model: Model, shape: np.ndarray) -> tuple[Mo
     found = sums.toArrow()  # at most CLASSES + STATES + 2 rows
     total[found.column("at").to_numpy()] = np.stack([found.column(c).to_numpy() for c in columns], 1)
     shared.unpersist()
-    return normalised(total[-2], total[CLASSES:-2], total[:CLASSES], shape), float(total[-1, 0] / max(1.0, total[:CLASSES].sum()))
+    tokens = total[:CLASSES].sum()
+    return Counts(total[-2], total[CLASSES:-2], total[:CLASSES], total[-1, 0], tokens) if tokens else None
 
 
-def train(rows: DataFrame, shape: np.ndarray) -> Model:
+def train(rows: DataFrame, shape: np.ndarray, tokens: int) -> Model:
+    """The model of all rows not held out; tokens: how many they hold."""
     training = rows.where(~F.col("held_out"))
-    model, before = initial(shape), -np.inf
-    for _ in range(ROUNDS):
-        model, now = baum_welch(training, model, shape)
-        if now - before < GAIN:
-            break
-        before = now
-    return model
+    model, sums, steps = initial(shape), None, 0
+    for _ in range(PASSES):
+        for block in range(BLOCKS):
+            now = baum_welch(training.where(F.col("block") == block), model)
+            if now:
+                sums = sums.mixed(now, (steps + 1) ** -FALL) if sums else now
+                model, steps = sums.model(shape, tokens), steps + 1
+    last = baum_welch(training, model)
+    return last.model(shape, tokens) if last else model
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -320,9 +366,9 @@ def score(docs: DataFrame) -> DataFrame:
     training = docs.where(~in_fold(F.col("doc_id"), FOLDS, HELD_OUT))
     counts = cut(word_counts(training), "word-counts")
     v = vocabulary(counts, training.count())
-    rows = cut(coded(docs, v), "coded")
+    rows = cut(coded(docs, v), "coded", "block")  # a block's files are read alone
     shape = v.class_tokens + v.class_types
-    shared = spark.sparkContext.broadcast(train(rows, shape))
+    shared = spark.sparkContext.broadcast(train(rows, shape, v.tokens))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
