@@ -16,9 +16,23 @@ from .filters import price_of, rental_row, text_at
 
 MAX_TEXT = 2_000_000
 NUMBER = r"(-?\d+\.?\d*)"
-#: Possessive, so a long text takes no stack.
+# Patterns of the JSON and the texts of pages. QUOTED is possessive, so a long text takes no stack.
 QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 LISTING = r'"listing"\s*:\s*\{'
+YEARLY = r'"iptuPeriod"\s*:\s*"YEARLY"'
+YEARLY_TAX = r'"yearlyIptu"\s*:\s*"(\d+)"'
+TOTAL = r'"monthlyRentalTotalPrice"\s*:\s*"(\d+)"'
+TOTAL_AND_PRICE = r'"monthlyRentalTotalPrice"\s*:\s*"\d+"\}\s*,\s*"yearlyIptu"\s*:\s*"\d+"\s*,\s*"price"\s*:\s*"(\d+)"'
+RENT = r'"prices"\s*:\s*\{[^}]*?"rent"\s*:\s*(\d+)'
+FEE = r'"monthlyCondoFee"\s*:\s*"(\d+)"'
+AMENITY_VALUES = r'(?s)"amenities"\s*:\s*\{[^}]{0,4000}?"values"\s*:\s*\[([^\]]*)\]'
+AMENITY_CODE = r'"([A-Z][A-Z0-9_]*)"'
+PRICE_TEXTS = {
+    "rent": r"(?isu)Aluguel\s+R\$\s*([\d.]+)\s*/\s*mês",
+    "fee": r"(?isu)Condomínio\s+R\$\s*([\d.]+)\s*/\s*mês",
+    "tax": r"(?isu)IPTU\s+R\$\s*([\d.]+)",
+    "total": r"(?isu)Valor total previsto\s+R\$\s*([\d.]+)",
+}
 # Widths of the texts looked at after the listing's start.
 LISTING_TEXT, DATES_TEXT, PRICES_TEXT = 200_000, 65_000, 35_000
 VARIANTS = "array<variant>"
@@ -33,9 +47,9 @@ def found_int(text: Column, pattern: str) -> Column:
     return found(text, pattern).try_cast("bigint")
 
 
-def plain_text(html: Column, limit: int = MAX_TEXT) -> Column:
-    """Text of a page: scripts, styles and tags out, spaces squeezed."""
-    t = F.regexp_replace(F.left(html, F.lit(limit)), r"(?is)<script[^>]*>.*?</script>", " ")
+def plain_text(html: Column, limit: int | None = None) -> Column:
+    """Text of a page: scripts, styles and tags out, spaces squeezed. A limit (MAX_TEXT is the usual one) bounds the characters read."""
+    t = F.regexp_replace(F.left(html, F.lit(limit)) if limit else html, r"(?is)<script[^>]*>.*?</script>", " ")
     t = F.regexp_replace(F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " "), r"<[^>]+>", " ")
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
@@ -90,30 +104,24 @@ def page_point(html: Column, json_point: Column, skip_maps: bool = False) -> Col
 
 def snippets(html: Column) -> dict[str, Column]:
     """Fields that stand as JSON fragments anywhere in a page."""
-    yearly = F.when(html.rlike(r'"iptuPeriod"\s*:\s*"YEARLY"'), found_int(html, r'"yearlyIptu"\s*:\s*"(\d+)"'))
-    total = r'"monthlyRentalTotalPrice"\s*:\s*"{}"'
-    price = found_int(html, total.format(r"\d+") + r'\}\s*,\s*"yearlyIptu"\s*:\s*"\d+"\s*,\s*"price"\s*:\s*"(\d+)"')
-    rent = found_int(listing_chunk(html, PRICES_TEXT), r'"prices"\s*:\s*\{[^}]*?"rent"\s*:\s*(\d+)')
-    codes = F.regexp_extract_all(F.coalesce(found(html, r'(?s)"amenities"\s*:\s*\{[^}]{0,4000}?"values"\s*:\s*\[([^\]]*)\]'), F.lit("")), F.lit('"([A-Z][A-Z0-9_]*)"'), F.lit(1))
+    yearly = F.when(html.rlike(YEARLY), found_int(html, YEARLY_TAX))
+    rent = F.coalesce(found_int(html, TOTAL_AND_PRICE), found_int(listing_chunk(html, PRICES_TEXT), RENT))
+    codes = F.regexp_extract_all(F.coalesce(found(html, AMENITY_VALUES), F.lit("")), F.lit(AMENITY_CODE), F.lit(1))
 
     def day(name: str) -> Column:
         pattern = f'"{name}"\\s*:\\s*"([^"]+)"'
         return F.coalesce(dates.iso_to_utc_date(found(listing_chunk(html, DATES_TEXT), pattern)), dates.iso_to_utc_date(found(html, pattern)))
 
     return {
-        "address": F.trim(texts.decode_fragment(found(html, f'"formattedAddress"\\s*:\\s*{QUOTED}'))), "total": found_int(html, total.format(r"(\d+)")),
-        "tax": numbers.monthly_rounded(yearly), "fee": found_int(html, r'"monthlyCondoFee"\s*:\s*"(\d+)"'), "rent": F.coalesce(price, rent),
+        "address": F.trim(texts.decode_fragment(found(html, f'"formattedAddress"\\s*:\\s*{QUOTED}'))), "total": found_int(html, TOTAL),
+        "tax": numbers.monthly_rounded(yearly), "fee": found_int(html, FEE), "rent": rent,
         "amenities": arrays.amenity_labels(codes), "published": day("createdAt"), "updated": day("updatedAt"),
     }
 
 
 def price_patterns(html: Column) -> dict[str, Column]:
     """Prices as the page's text names them."""
-    patterns = {
-        "rent": r"(?isu)Aluguel\s+R\$\s*([\d.]+)\s*/\s*mês", "fee": r"(?isu)Condomínio\s+R\$\s*([\d.]+)\s*/\s*mês",
-        "tax": r"(?isu)IPTU\s+R\$\s*([\d.]+)", "total": r"(?isu)Valor total previsto\s+R\$\s*([\d.]+)",
-    }
-    return {k: numbers.parse_first_int(found(html, p)) for k, p in patterns.items()}
+    return {k: numbers.parse_first_int(found(html, p)) for k, p in PRICE_TEXTS.items()}
 
 
 def dated_sentence(published: Column, updated: Column) -> Column:

@@ -29,9 +29,9 @@ def f09_sale_over_rent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH o AS (SELECT o_custkey, max_by(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1)
-SELECT CAST(coalesce(c_custkey, o_custkey) AS VARCHAR) AS id, c_name AS listing, o_orderkey AS point, c_custkey IS NULL AS stub FROM (SELECT * FROM customer WHERE c_custkey % 3 <> 0) c FULL JOIN o ON c_custkey = o_custkey""")
+SELECT CAST(coalesce(s_suppkey, o_custkey) AS VARCHAR) AS id, s_name AS listing, o_orderkey AS point, s_suppkey IS NULL AS stub FROM supplier FULL JOIN o ON s_suppkey = o_custkey""")
 def f10_listings_and_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listings = read(spark, sf_dir, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("raw"), F.current_timestamp().alias("o_orderdate"), F.lit(0).alias("o_orderkey"))
+    listings = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("id"), F.col("s_name").alias("raw"), F.current_timestamp().alias("o_orderdate"), F.lit(0).alias("o_orderkey"))
     points = read(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderkey").alias("raw"), "o_orderdate", "o_orderkey")
     return merge.listings_and_points(listings, points, ["o_orderdate", "o_orderkey"])
 
@@ -130,11 +130,11 @@ def f23_array_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "embeddings").select("vec_id", arrays.first_value(e).alias("first"), arrays.element(e, -1).alias("last"), arrays.element(e, 999).alias("outside"), arrays.element(e, 1).alias("second"))
 
 
-@query("""SELECT n_nationkey, n_name, n_regionkey FROM nation""")
+@query("""SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""")
 def f29_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows exported as JSON texts and read again."""
-    rows = load.json_rows(read(spark, sf_dir, "nation"))
-    return rows.select(F.from_json("value", "n_nationkey int, n_name string, n_regionkey int").alias("r")).select("r.*")
+    rows = load.json_rows(read(spark, sf_dir, "orders"))
+    return rows.select(F.from_json("value", "o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string").alias("r")).select("r.*")
 
 
 @query("""SELECT o_orderkey, c_custkey, coalesce(c_name, 'none') AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY') c ON o_custkey = c_custkey""")

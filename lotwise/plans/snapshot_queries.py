@@ -132,9 +132,10 @@ FROM r WHERE rn = 1 AND user_id <> 0"""
 
 def raw_listings(e: DataFrame) -> DataFrame:
     """Events as raw listings: site, file_name, seq columns and raw, a JSON object."""
-    other = F.when(F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint") % 10 == 0, "other")
+    e = e.withColumn("_props", F.try_parse_json("props"))
+    other = F.when(F.try_variant_get("_props", "$.k", "bigint") % 10 == 0, "other")
     body = F.struct(
-        F.col("user_id").alias("id"), F.expr("CAST(floor(value) AS INT)").alias("aluguel"), F.try_variant_get(F.try_parse_json("props"), "$.k", "double").alias("long"),
+        F.col("user_id").alias("id"), F.expr("CAST(floor(value) AS INT)").alias("aluguel"), F.try_variant_get("_props", "$.k", "double").alias("long"),
         F.concat(F.lit("http://t/?" + texts.THUMB_TEMPLATE + "&n="), F.col("user_id")).alias("thumb"), other.alias("fonte"),
     )
     return e.select("file_name", "stamp", "site", "ts", "event_id", F.try_parse_json(F.to_json(body)).alias("raw"))
