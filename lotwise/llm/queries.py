@@ -62,9 +62,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of op4's base kinds, which SQL can express."""
+    return secrets.secret_spans(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sizes and targets of op5, which SQL can express."""
+    return mixing.sized(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = (op1_language_model, op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_model, op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing)}
+    return {f.__name__: f for f in (*OPERATORS, secret_counts, mixing_targets)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_duplicates": near_dups.SQL, "op8_line_dedup": line_dedup.SQL, "op9_nearest": neighbours.SQL}
+    return {
+        "op6_near_duplicates": near_dups.SQL, "op8_line_dedup": line_dedup.SQL, "op9_nearest": neighbours.SQL,
+        "secret_counts": secrets.COUNTS_SQL, "mixing_targets": mixing.TARGETS_SQL,
+    }

@@ -6,8 +6,10 @@ linear pattern finds them. Kinds with an embedded checksum count only when the
 checksum holds.
 
 Rows are independent: each input row gives one output row, equal or repeated ids
-included. A null or empty text has no spans. Positions count code points, end
-exclusive. Extra columns are ignored.
+included. A null or empty text has no spans; a very long one is read whole, in time
+proportional to its length. Positions count code points, end exclusive. Spans that start
+together come in the listed order of kinds. An empty table gives no rows. Extra columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ PATTERNS = {
     "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     "pem": re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
 }
+#: What a failing jwt takes: a later start in the same run fails like the first.
+RUN = re.compile(r"[A-Za-z0-9_-]*")
 HEX = re.compile(r"[0-9a-f]{16,}")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -65,7 +69,7 @@ def _crc_suffix(m: re.Match) -> bool:
 def _jwt_header(m: re.Match) -> bool:
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
-    except ValueError:
+    except (ValueError, TypeError, RecursionError):  # not base64 or JSON, a number, or brackets in brackets without end
         return False
 
 
@@ -101,10 +105,14 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
     for kind, starts in hits.items():
         end, k, pattern, valid = 0, KINDS.index(kind), PATTERNS[kind], VALID[kind]
         for start in sorted(starts):
-            if start >= end and (m := pattern.match(text, start)):
-                end = m.end()  # a failing match still takes its characters
+            if start < end:
+                continue
+            if m := pattern.match(text, start):
+                end = m.end()  # a match whose check fails still takes its characters
                 if valid(m):
                     spans.append((start, k, end))
+            elif kind == "jwt":
+                end = RUN.match(text, start).end()
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     spans.sort()
     return spans
@@ -133,3 +141,14 @@ def secret_spans(docs: DataFrame) -> DataFrame:
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+
+
+#: DuckDB SQL for the counts of the base kinds over documents.
+COUNTS_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id,
+  len(list_filter(regexp_extract_all(t, '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1), lambda x: length(x) >= 12)) AS n_assign,
+  len(list_filter(regexp_extract_all(t, 'AKIA[A-Z0-9]+'), lambda x: length(x) >= 18)) AS n_access,
+  len(regexp_extract_all(t, '[0-9a-f]{16,}')) AS n_hex
+FROM t
+"""
