@@ -13,20 +13,26 @@ is trained on labelled sentences. A document's score is the calibrated margin of
 worst sentence.
 
 Training takes at most TRAIN_DOCS documents of each label, those with the smallest
-hash, from the training fold. Labels hold for documents, so a toxic document's
-sentences start with those that hold words typical of toxic documents and are
-reassigned to its worst sentences as training goes on.
+hash, from the training fold (of rows that share an id the greatest text), and of each
+the TRAIN_SENTENCES sentences with the strongest matches. Their texts stay on the
+executors, which count words and describe sentences; the driver gets the pool of
+typical words, a bit for each of them and document, and the described sentences.
+Labels hold for documents, so a toxic document's sentences start with those that hold
+words typical of toxic documents and are reassigned to its worst sentences as training
+goes on.
 
 Each input row gives one output row, repeated rows included. A null or empty text
-has no words and gets the score of a text without any match. Without both labels in
-the training fold every score is 0. An empty table gives no rows. Extra columns are
-ignored; labels, language, source and id are never inputs of a score.
+has no words and gets the score of a text without any match. A very long text is read
+whole, a row at a time. Words that are equally typical are ordered by themselves.
+Without both labels in the training fold every score is 0. An empty table gives no
+rows. Extra columns are ignored; labels, language, source and id are never inputs of a
+score.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,9 +41,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold
+from .common import cut, in_fold
 
-TRAIN_DOCS = 3000
+#: Training documents of each label, and sentences of each; they bound what the driver fits.
+TRAIN_DOCS, TRAIN_SENTENCES = 3000, 32
+#: Partitions of the training documents.
+TRAIN_PARTS = 24
+#: Words counted before they are passed on.
+COUNTED = 200_000
 LANDMARKS = 64
 SPAN, DECAY = 6, 0.7
 #: Longer words are cut into overlapping parts of this many characters.
@@ -257,19 +268,88 @@ def logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def typical(toxic: Counter, clean: Counter, n_toxic: int, n_clean: int) -> list[str]:
-    """Words of toxic documents by how much more often they are found there than in clean ones."""
-    ratio = {w: np.log((n + 0.5) / (n_toxic + 1) * (n_clean + 1) / (clean[w] + 0.5)) for w, n in toxic.items() if n >= 2 and len(w) >= 3}
-    return sorted((w for w, r in ratio.items() if r > TYPICAL and toxic[w] * r > 8), key=lambda w: (-toxic[w] * ratio[w], w))
+def word_documents(train: DataFrame) -> DataFrame:
+    """word, toxic, clean: in how many toxic and clean training documents a word is found."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = (Counter(), Counter())
+
+        def out() -> pa.RecordBatch:
+            words = list(counts[0].keys() | counts[1].keys())
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array([c[w] for w in words], pa.int64()) for c in reversed(counts))], ["word", "toxic", "clean"])
+
+        for b in batches:
+            for text, toxic in zip(b.column("text"), b.column("toxic").to_pylist(), strict=True):
+                counts[toxic].update({w for s in sentences_of(text.as_py() or "") for w in s})
+                if len(counts[0]) + len(counts[1]) > COUNTED:
+                    yield out()
+                    counts[0].clear()
+                    counts[1].clear()
+        yield out()
+
+    return train.mapInArrow(run, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def typical(counts: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
+    """At most POOL words of toxic documents, by how much more often they are found there than in clean ones."""
+    ratio = F.log((F.col("toxic") + 0.5) / (n_toxic + 1) * (n_clean + 1) / (F.col("clean") + 0.5))
+    found = counts.where((F.col("toxic") >= 2) & (F.char_length("word") >= 3)).withColumn("gain", F.col("toxic") * ratio)
+    found = found.where((ratio > TYPICAL) & (F.col("gain") > 8)).orderBy(F.col("gain").desc(), "word").limit(POOL)
+    return [r["word"] for r in found.select("word").collect()]
+
+
+def held_words(train: DataFrame, pool: list[str]) -> np.ndarray:
+    """Which words of the pool each toxic training document holds, a row of booleans each, by id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = {w: k for k, w in enumerate(pool)}
+        for b in batches:
+            held = np.zeros((b.num_rows, len(pool)), bool)
+            for row, text in zip(held, b.column("text"), strict=True):
+                row[[at[w] for w in at.keys() & {w for s in sentences_of(text.as_py() or "") for w in s}]] = True
+            yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array([x.tobytes() for x in np.packbits(held, 1)], pa.binary())], ["_id", "held"])
+
+    rows = train.where("toxic = 1").mapInArrow(run, "_id long, held binary").toArrow().sort_by("_id")  # TRAIN_DOCS rows of POOL bits
+    bits = np.frombuffer(b"".join(rows.column("held").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+    return np.unpackbits(bits, 1, len(pool)).astype(bool)
+
+
+def described(train: DataFrame, model: Model, known: set[str]) -> pa.Table:
+    """_id, toxic, at, blank, marked, matches of the training documents' sentences that match best, by _id and at.
 
-def choose_landmarks(pool: list[str], held: dict[str, list[int]], docs: int) -> list[str]:
-    """Each next landmark is the word found in most toxic documents that are still covered least."""
-    cover, chosen, pool = np.zeros(docs), [], list(pool)
-    while pool and len(chosen) < LANDMARKS:
-        best = pool.pop(int(np.argmax([(0.5 ** cover[held[w]]).sum() for w in pool])))
-        cover[held[best]] += 1
-        chosen.append(best)
+    A document's first row also holds the number of its sentences without any match; matches are null where it has none.
+    """
+    shared = train.sparkSession.sparkContext.broadcast((model, known))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher, rows = Matcher(shared.value[0]), []
+        for b in batches:
+            for doc, text, toxic in zip(b.column("_id").to_pylist(), b.column("text"), b.column("toxic").to_pylist(), strict=True):
+                split = sentences_of(text.as_py() or "")
+                found = matcher.sentences(split) if split else np.zeros((0, 1), np.float32)
+                some = np.flatnonzero(found.any(1))
+                blank = len(split) - len(some)
+                some = np.sort(some[np.argsort(-found[some].max(1), kind="stable")[:TRAIN_SENTENCES]]) if len(some) else some
+                for k, i in enumerate(some):
+                    rows.append((doc, toxic, k, 0 if k else blank, not shared.value[1].isdisjoint(split[i]), found[i].tobytes()))
+                if not len(some):
+                    rows.append((doc, toxic, 0, blank, False, None))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["_id", "toxic", "at", "blank", "marked", "matches"])
+
+    out = train.mapInArrow(run, "_id long, toxic int, at int, blank long, marked boolean, matches binary").toArrow()
+    shared.unpersist()
+    return out.sort_by([("_id", "ascending"), ("at", "ascending")])
+
+
+def choose_landmarks(pool: list[str], held: np.ndarray) -> list[str]:
+    """Each next landmark is the word found in most toxic documents that are still covered least; held: documents x pool."""
+    weight, chosen = np.ones(len(held)), []
+    left = list(range(len(pool)))
+    while left and len(chosen) < LANDMARKS:
+        best = left.pop(int(np.argmax(weight @ held[:, left])))
+        weight[held[:, best]] /= 2
+        chosen.append(pool[best])
     return chosen
 
 
@@ -277,44 +357,40 @@ def empty_model() -> Model:
     return Model(["---"], np.zeros((TABLE, 1), np.float32), np.zeros(1), 0.0, 1.0, 0.0, True)
 
 
-def fit(texts: list[str | None], labels: list[int]) -> Model:
-    """Model from whole documents and their labels. Documents are gone through three times; their words are never held together."""
-    y = np.array(labels)
-    counts = (Counter(), Counter())
-    for text, v in zip(texts, labels, strict=True):
-        counts[v].update({w for s in sentences_of(text or "") for w in s})
-    n_toxic, n_clean = int((y == 1).sum()), int((y == 0).sum())
-    signal = typical(counts[1], counts[0], n_toxic, n_clean)[:POOL]
-    if not n_toxic or not n_clean or not signal:
-        return empty_model()
-    del counts
-    held, pool = defaultdict(list), set(signal)
-    for k, text in enumerate(t for t, v in zip(texts, labels, strict=True) if v):
-        for w in {w for s in sentences_of(text or "") for w in s} & pool:
-            held[w].append(k)
-    landmarks = choose_landmarks(signal, held, n_toxic)
+def landmark_model(landmarks: list[str]) -> Model:
+    """Kernel of the landmarks, no weights yet."""
     word, code, weight = triples(landmarks)
     table = np.zeros((TABLE, len(landmarks)), np.float32)
     table[code, word] = weight
-    model = Model(landmarks, table, np.zeros(len(landmarks)), 0.0, 1.0, 0.0)
-    matcher, known = Matcher(model), set(signal[:500])
-    # Sentences without any match are all alike: those of clean documents count as one row with their number as its weight.
-    rows, owner, marked, blank = [], [], [], 0
-    for k, text in enumerate(texts):
-        split = sentences_of(text or "")
-        if not split:
-            continue
-        f = matcher.sentences(split)
-        some = np.flatnonzero(f.any(1))
-        rows.append(f[some])
-        owner += [k] * len(some)
-        marked += [not known.isdisjoint(split[i]) for i in some]
-        blank += (len(split) - len(some)) * (labels[k] == 0)
-    owner, marked = np.array(owner, int), np.array(marked, bool)
-    values, vectors = np.linalg.eigh(model.matches(landmarks).astype(float))
+    return Model(landmarks, table, np.zeros(len(landmarks)), 0.0, 1.0, 0.0)
+
+
+def whitening(model: Model) -> np.ndarray:
+    """Matrix that turns matches with the landmarks into Nystroem features: their products are the kernel's on the landmarks."""
+    values, vectors = np.linalg.eigh(model.matches(model.landmarks).astype(float))
     keep = values > LEAST
-    whiten = vectors[:, keep] / np.sqrt(values[keep])
-    feats = np.concatenate([*rows, np.zeros((1, len(landmarks)), np.float32)]).astype(float) @ whiten
+    return vectors[:, keep] / np.sqrt(values[keep])
+
+
+def fit(train: DataFrame) -> Model:
+    """Model from whole labelled documents (_id, text, toxic), one row for each id."""
+    sizes = dict(train.groupBy("toxic").count().collect())
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    signal = typical(word_documents(train), n_toxic, n_clean) if n_toxic and n_clean else []
+    if not signal:
+        return empty_model()
+    model = landmark_model(choose_landmarks(signal, held_words(train, signal)))
+    rows = described(train, model, set(signal[:500]))
+    ids, doc = np.unique(rows.column("_id").to_numpy(), return_inverse=True)
+    y = np.zeros(len(ids), int)
+    y[doc] = rows.column("toxic").to_numpy()
+    filled = rows.column("matches").is_valid().to_numpy()
+    owner, marked = doc[filled], rows.column("marked").to_numpy()[filled]
+    matches = np.frombuffer(b"".join(rows.column("matches").drop_null().to_pylist()), np.float32).reshape(-1, len(model.landmarks))
+    # Sentences without any match are all alike: those of clean documents count as one row with their number as its weight.
+    blank = int(rows.column("blank").to_numpy()[rows.column("toxic").to_numpy() == 0].sum())
+    whiten = whitening(model)
+    feats = np.concatenate([matches, np.zeros((1, len(model.landmarks)), np.float32)]) @ whiten
     negative = np.append(y[owner] == 0, True)
     number = np.append(np.ones(len(owner)), max(1, blank))
     marked = np.append(marked, False)
@@ -334,18 +410,17 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> list[tuple[str | None, int]]:
-    """At most per_label documents of each label from the training fold, those with the smallest hash."""
-    labelled = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)")
+def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> DataFrame:
+    """_id, text, toxic of at most per_label documents of each label from the training fold, those with the smallest hash."""
+    labelled = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)")
     labelled = labelled.where(F.col("_id").isNotNull() & ~in_fold(F.col("_id"), FOLDS, HELD_OUT)).groupBy("_id").agg(F.max("toxic").alias("toxic"))
     drawn = None
     for value in (0, 1):
         part = labelled.where(F.col("toxic") == value).orderBy(F.xxhash64("_id"), "_id").limit(per_label)
         drawn = part if drawn is None else drawn.unionByName(part)
     # At most 2 * per_label ids are broadcast.
-    found = docs.select(F.col("doc_id").alias("_id"), "text").join(F.broadcast(drawn), "_id").select("_id", "text", "toxic").toArrow()
-    rows = sorted(zip(*(found.column(c).to_pylist() for c in ("_id", "text", "toxic")), strict=True), key=lambda r: (r[0], r[1] or ""))
-    return [(text, toxic) for _, text, toxic in rows]
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "_id")
+    return cut(rows.groupBy("_id", "toxic").agg(F.max("text").alias("text")).repartition(TRAIN_PARTS, "_id"), "training-texts")
 
 
 def probabilities(model: Model, margin: np.ndarray) -> np.ndarray:
@@ -370,15 +445,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted, margin of every document."""
-    rows = training_rows(docs, labels)
-    model = fit([t for t, _ in rows], [v for _, v in rows])
+    model = fit(training_rows(docs, labels))
     return score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "margin")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs without the rows whose text is predicted toxic."""
-    rows = training_rows(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(fit([t for t, _ in rows], [v for _, v in rows]))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, labels)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
