@@ -20,7 +20,10 @@ can still join two components are verified, on the full sets:
 
 Each row gives an output row. A document without words has an empty set and is linked
 with nothing, as is a row with a null id. Rows that share an id are one document in the
-graph, with a set for each row. An empty table gives no rows. Extra columns are ignored.
+graph, with a set for each row. A very long text has all its shingles; beyond some thousand
+its sketch is full and lets pairs pass that full sets then tell apart. A component is named
+by its smallest id, so there are no ties. An empty table gives no rows. Extra columns are
+ignored by near_duplicates() and kept by keep_one(), whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, free_names
 
 SHINGLE, PERCENT = 5, 80
 BANDS, ROWS = 32, 4
@@ -44,7 +47,7 @@ CIRCLE = 1 << 20
 KEPT_WORDS = 150_000
 #: Shingles whose ranks are held at once.
 CHUNK = 4096
-HUB_GROWTH = 256
+HUB_GROWTH = 4
 #: Bits of a parity sketch.
 PARITY = 512
 
@@ -236,8 +239,9 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs without the rows whose document is linked, directly or through others, to one of a smaller id."""
-    gone = cut(near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["_gone"], "left_anti")
+    (name,) = free_names(docs, "gone")
+    gone = cut(near_duplicates(docs, k, percent).where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "near-copies")
+    return docs.join(gone.hint("merge"), F.col("doc_id") == F.col(name), "left_anti")
 
 
 #: DuckDB SQL for near_duplicates over documents with shingles of 4 words. It meets all pairs that share a shingle.
