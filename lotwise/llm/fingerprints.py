@@ -12,10 +12,11 @@ does not matter, and a paragraph can be added or taken away without the rest.
 
 Equal texts have equal fingerprints. An empty or null text has one empty paragraph.
 Phrases lie within a paragraph; empty ones don't count, so an empty paragraph has none.
-Rows that share a document id count once: the longest text, ties by hash. A null id
-comes after all others. An empty table gives no rows. Extra columns are ignored. A
-document with over a million phrases keeps exact id lanes; its likeness lanes carry.
-DataFrame functions only.
+Each row gives an output row. Documents come in descending order of id, a null id after
+all others; texts that share an id come in the order of their hashes, and rows equal in
+id and text are one document there, with a row for each. A single document is its own
+next. An empty table gives no rows. Extra columns are ignored. A document with over a
+million phrases keeps exact id lanes; its likeness lanes carry. DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -112,51 +113,48 @@ def with_fingerprint(rows: DataFrame, text: str, prefix: str) -> DataFrame:
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(id, mark, n_chars, next): each id's text mark and the next id in descending order, after the last the first."""
-    ids = docs.groupBy("id").agg(F.max(F.struct("n_chars", "mark")).alias("m")).select("id", "m.mark", "m.n_chars")
-    ids = cut(ids, "ids")
-    n = ids.count()
-    ranges = min(MAX_RANGES, max(8, n // ORDER_ROWS))
-    bounds = ids.agg(F.percentile_approx("id", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
-    at = F.lit(0)
-    if bounds:
-        array = F.array(*(F.lit(b) for b in sorted(set(bounds))))
-        at = F.size(F.filter(array, lambda b: b < F.col("id")))
-    ids = ids.withColumn("range", at)
-    tops = ids.groupBy("range").agg(F.max("id").alias("top"))
+    """(id, mark, n_chars, n, next_id, next_mark): each document, its rows, and the next in descending order, after the last the first."""
+    groups = cut(docs.groupBy("id", "mark").agg(F.max("n_chars").alias("n_chars"), F.count("*").alias("n")), "marks")
+    ranges = min(MAX_RANGES, max(8, groups.count() // ORDER_ROWS))
+    falling = (F.col("id").desc(), F.col("mark").desc())
+    # Ranges are cut by id and mark, so texts that share an id may lie in several; they are written, so a range is fixed.
+    groups = cut(groups.repartitionByRange(ranges, *falling).withColumn("range", F.spark_partition_id()), "ranges")
+    tops = groups.groupBy("range").agg(F.max(F.struct("id", "mark")).alias("top"))
     over = Window.orderBy("range")  # one row per range
-    tops = tops.select("range", F.coalesce(F.lag("top").over(over), F.max("top").over(Window.partitionBy())).alias("after"))
-    down = Window.partitionBy("range").orderBy(F.col("id").desc())
-    return ids.withColumn("lead", F.lead("id").over(down)).join(F.broadcast(tops), "range").select("id", "mark", "n_chars", F.coalesce("lead", "after").alias("next"))  # at most MAX_RANGES rows
+    tops = tops.select("range", F.coalesce(F.lead("top").over(over), F.max("top").over(Window.partitionBy())).alias("after"))
+    next_ = F.coalesce(F.lead(F.struct("id", "mark")).over(Window.partitionBy("range").orderBy(*falling)), F.col("after"))
+    with_next = groups.join(F.broadcast(tops), "range").withColumn("next", next_)  # at most MAX_RANGES rows
+    return with_next.select("id", "mark", "n_chars", "n", F.col("next.id").alias("next_id"), F.col("next.mark").alias("next_mark"))
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, next, text, edited: the last third replaced by the start of the next document."""
+    """id, mark, n_chars, n, next_id, next_mark, text, edited of each document: the last third replaced by the start of the next."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("id"), text.alias("text"))
-    docs = docs.withColumn("n_chars", F.char_length("text").cast("long")).withColumn("mark", F.xxhash64("text"))
-    order = cut(neighbours(docs.select("id", "n_chars", "mark")), "neighbours")
-    used = order.select(F.col("next").alias("id"), F.col("id").alias("user"), F.floor(F.col("n_chars") / 3).cast("int").alias("take"))
-    order = order.join(used, "id")
-    # Joined by id alone (an equality of marks would become a key), so that the next join finds the texts where it needs them.
-    texts = docs.select("id", "text", F.col("mark").alias("own")).join(order.hint("merge"), "id").where(F.col("mark").bitwiseXOR(F.col("own")) == 0)
-    starts = texts.select(F.col("user").alias("id"), F.substring("text", F.lit(1), F.col("take")).alias("start"))
-    whole = texts.select("id", "n_chars", "next", "text").join(starts.hint("merge"), "id")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), text.alias("text"))
+    docs = docs.withColumn("mark", F.xxhash64("text"))
+    order = cut(neighbours(docs.select("id", "mark", F.char_length("text").cast("long").alias("n_chars"))), "neighbours")
+    used = order.select(
+        F.col("next_id").alias("id"), F.col("next_mark").alias("mark"), F.col("id").alias("user_id"), F.col("mark").alias("user_mark"), F.floor(F.col("n_chars") / 3).cast("int").alias("take")
+    )
+    # Copies of a row fall together before the shuffle; both joins find the texts where the grouping leaves them.
+    texts = docs.groupBy("id", "mark").agg(F.first("text").alias("text"))
+    starts = texts.join(used.hint("merge"), ["id", "mark"]).select(F.col("user_id").alias("id"), F.col("user_mark").alias("mark"), F.substring("text", F.lit(1), F.col("take")).alias("start"))
+    whole = texts.join(order.hint("merge"), ["id", "mark"]).join(starts.hint("merge"), ["id", "mark"])
     keep = (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int")
     return whole.withColumn("edited", F.concat(F.substring("text", F.lit(1), keep), "start")).drop("start")
 
 
 def compare(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row."""
     rows = with_fingerprint(with_fingerprint(edited_pairs(docs), "text", "a_"), "edited", "b_")
-    rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("text", "edited")
-    rows = cut(rows, "fingerprints").dropDuplicates(["id"])
-    nexts = rows.select(F.col("id").alias("next"), F.col("a_ids").alias("c_ids"), F.col("a_like").alias("c_like"), F.col("a_n").alias("c_n"))
-    rows = rows.join(nexts, "next")
+    rows = cut(rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("text", "edited"), "fingerprints")
+    nexts = rows.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("a_ids").alias("c_ids"), F.col("a_like").alias("c_like"), F.col("a_n").alias("c_n"))
+    rows = rows.join(nexts, ["next_id", "next_mark"])
     for p in "abc":
         rows = rows.withColumn(f"{p}_print", fingerprint(F.col(f"{p}_ids"), F.col(f"{p}_like"), F.col(f"{p}_n"))).withColumn(f"{p}_signs", signs(F.col(f"{p}_like"), F.col(f"{p}_n")))
     near = {p: likeness(F.col("a_signs"), F.col(f"{p}_signs"), F.col("a_print") == F.col(f"{p}_print")) for p in "bc"}
-    return rows.select(
+    rows = rows.select(
         F.when(F.col("id") != NULL_ID, F.col("id")).alias("doc_id"), "n_chars", "edited_sha256", F.col("a_print").alias("fingerprint"),
-        F.col("b_print").alias("edited_fingerprint"), near["b"].alias("near_edited"), near["c"].alias("near_next"),
+        F.col("b_print").alias("edited_fingerprint"), near["b"].alias("near_edited"), near["c"].alias("near_next"), "n",
     )
+    return rows.withColumn("n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).drop("n")
