@@ -1,29 +1,28 @@
 """Shards of near-equal bytes: best-fit-decreasing packing of indivisible groups.
 
-Rows with equal texts form a group, which is never divided. Groups above a
-thousandth of a shard are packed one by one; there are at most 1000 per shard of
-them, whatever the input. Smaller groups are first bundled by hash into BUNDLES
-bundles. So the packing plan has a bounded number of units, and only the units'
-sizes leave the executors. A group larger than an equal share gets a shard of its
-own and the other shards share what is left.
-
-A null text is empty. Repeated rows are kept, each with a slot of its own. An
-empty table gives no rows. Extra columns are ignored.
+Rows with equal texts form a group, which is never divided. Best fit puts groups of one
+size into one bin after the other for as long as they fit, so groups are packed as (size,
+number of groups) and each gets its bin by its rank within its size. Only these pairs
+leave the executors; there are fewer of them than the root of twice the bytes. A group
+larger than an equal share gets a shard of its own and the other shards share what is
+left.
+
+A null text is empty, a very long one a large group. Groups of one size are ranked by the
+digests of their texts. Repeated rows are kept, each with a slot of its own. An empty table
+gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from zlib import crc32
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-#: Bundles of small groups; with LARGE it bounds the units of the plan to shards * LARGE + BUNDLES.
-BUNDLES = 8192
-#: A group of more than 1 / LARGE of an equal share is packed by itself.
-LARGE = 1000
+from .common import cut
+
 OVERHEAD = 16
 #: Rows that share a numbering task.
 SLOT_ROWS = 20_000
@@ -71,64 +70,68 @@ class RoomTree:
         return best
 
 
-def best_fit_decreasing(sizes: list[int], bins: int, capacity: int) -> list[int] | None:
-    """Bin of each size, given in decreasing order, or None if more than so many bins would be needed."""
+Run = tuple[int, int, int]
+
+
+def best_fit_decreasing(sizes: list[tuple[int, int]], bins: int, capacity: int) -> list[Run] | None:
+    """Runs (size, number, bin) for pairs (size, number) in decreasing order, or None if more than so many bins would be needed."""
     tree, opened, out = RoomTree(), 0, []
-    for need in sizes:
-        found = tree.take_tightest(need)
-        if found is None:
-            if opened == bins or need > capacity:
-                return None
-            found, opened = (capacity, opened), opened + 1
-        room, bin_ = found
-        out.append(bin_)
-        tree.add(room - need, bin_)
+    for size, number in sizes:
+        while number:
+            found = tree.take_tightest(size)
+            if found is None:
+                if opened == bins or size > capacity:
+                    return None
+                found, opened = (capacity, opened), opened + 1
+            room, bin_ = found
+            # What is left of the tightest bin is tighter still, so it takes the next of this size too.
+            fit = min(number, room // size)
+            out.append((size, fit, bin_))
+            tree.add(room - fit * size, bin_)
+            number -= fit
     return out
 
 
-def plan(sizes: list[int], bins: int) -> list[int]:
-    """Bins of sizes in decreasing order at the least capacity, by doubling steps, at which best fit needs no more bins."""
-    own, total = 0, sum(sizes)
-    while own < min(len(sizes), bins - 1) and sizes[own] * (bins - own) > total:  # larger than an equal share of the rest
-        total -= sizes[own]
-        own += 1
-    rest, left = sizes[own:], bins - own
-    even = max([-(-total // left), *rest[:1]])
+def plan(sizes: list[tuple[int, int]], bins: int) -> list[Run]:
+    """Runs of (size, number) pairs in decreasing order at the least capacity, by doubling steps, at which best fit needs no more bins."""
+    own, rest, total = [], list(sizes), sum(size * number for size, number in sizes)
+    while rest and len(own) < bins - 1 and rest[0][0] * (bins - len(own)) > total:  # larger than an equal share of the rest
+        size, number = rest[0]
+        own.append((size, 1, len(own)))
+        total -= size
+        rest[:1] = [(size, number - 1)] if number > 1 else []
+    left = bins - len(own)
+    even = max([-(-total // left), *(size for size, _ in rest[:1])])
     for slack in (0, *(2**k for k in range(64))):
         if (found := best_fit_decreasing(rest, left, even + slack * max(1, even >> 16))) is not None:
-            return [*range(own), *(own + b for b in found)]
+            return own + [(size, number, len(own) + b) for size, number, b in found]
     raise AssertionError("unreachable: the capacity exceeds the total")
 
 
 def shards(docs: DataFrame, bins: int = 40) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.select(
-        "doc_id", (F.length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("digest"),
-    ).withColumn("bundle", F.pmod(F.xxhash64("digest"), F.lit(BUNDLES)).cast("int"))
-    groups = rows.groupBy("digest", "bundle").agg(F.sum("size").alias("bytes"))
-    total, n = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    large = F.col("bytes") * bins * LARGE > total
-    unit = F.when(large, F.col("digest")).otherwise(F.concat(F.lit("bundle "), F.col("bundle")))
-    units = groups.groupBy(unit.alias("unit")).agg(F.sum("bytes").alias("bytes")).collect()  # at most bins * LARGE + BUNDLES
-    units.sort(key=lambda u: (-u["bytes"], u["unit"]))
-    where = list(zip((u["unit"] for u in units), plan([u["bytes"] for u in units], bins), strict=True))
-    schema = T.StructType([T.StructField("unit", T.StringType()), T.StructField("shard", T.IntegerType())])
-    placed = F.broadcast(spark.createDataFrame(where, schema))  # bounded as the units are
-    single, bundled = placed.where(~F.col("unit").startswith("bundle ")), placed.where(F.col("unit").startswith("bundle "))
-    out = (
-        rows.join(single.select(F.col("unit").alias("digest"), F.col("shard").alias("own")), "digest", "left")
-        .join(bundled.select(F.substring("unit", 8, 9).cast("int").alias("bundle"), F.col("shard").alias("shared")), "bundle", "left")
-        .select("doc_id", "size", "text_crc32", F.coalesce("own", "shared").alias("shard"))
-    )
-    return numbered(out, "shard", max(1, -(-n // (bins * SLOT_ROWS))))
-
-
-def numbered(rows: DataFrame, key: str, salts: int) -> DataFrame:
-    """Adds slot, gapless from 0 within the key; a key is numbered by at least so many tasks."""
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(salts * 8)))
+    rows = docs.select("doc_id", (F.length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    groups = cut(rows.groupBy("digest", "size").agg(F.count("*").alias("n")).select("digest", "n", (F.col("size") * F.col("n")).alias("bytes")), "groups")
+    found = groups.groupBy("bytes").agg(F.count("*").alias("groups"), F.sum("n").alias("rows")).toArrow()  # one row for each size of a group
+    sizes = sorted(zip(found.column("bytes").to_pylist(), found.column("groups").to_pylist(), strict=True), reverse=True)
+    runs, upto = [], 0
+    for k, (size, number, bin_) in enumerate(placed := plan(sizes, bins)):
+        upto = number if not k or placed[k - 1][0] != size else upto + number
+        runs.append((size, upto, bin_))
+    table = pa.table([pa.array(x, t) for x, t in zip(zip(*runs, strict=True) if runs else ((),) * 3, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["bytes", "upto", "bin"])
+    by_size = docs.sparkSession.createDataFrame(table).groupBy("bytes").agg(F.array_sort(F.collect_list(F.struct("upto", "bin"))).alias("runs"))  # at most bins runs a size
+    ranked = numbered(groups, "bytes", ["digest"], max(16, sum(n for _, n in sizes) // SLOT_ROWS)).withColumnRenamed("slot", "rank")
+    own = F.get(F.filter("runs", lambda r: r["upto"] > F.col("rank")), F.lit(0))["bin"]
+    shard = ranked.join(by_size, "bytes").select("digest", own.alias("shard"))
+    out = rows.join(shard, "digest").select("doc_id", "size", "text_crc32", "shard")
+    return numbered(out, "shard", ["doc_id", "text_crc32"], 8 * max(1, -(-(sum(found.column("rows").to_pylist())) // (bins * SLOT_ROWS))))
+
+
+def numbered(rows: DataFrame, key: str, order: list[str], salts: int) -> DataFrame:
+    """Adds slot, gapless from 0 within the key; a key is numbered by as many tasks as there are salts."""
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     before = Window.partitionBy(key).orderBy("salt")
     start = rows.groupBy(key, "salt").agg(F.count("*").alias("n")).select(key, "salt", (F.sum("n").over(before) - F.col("n")).alias("start"))
-    within = F.row_number().over(Window.partitionBy(key, "salt").orderBy("doc_id", "text_crc32"))
+    within = F.row_number().over(Window.partitionBy(key, "salt").orderBy(*order))
     return rows.withColumn("at", within).join(start, [key, "salt"]).select(*(c for c in rows.columns if c != "salt"), (F.col("start") + F.col("at") - 1).alias("slot"))
