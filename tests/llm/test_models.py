@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lotwise.llm import hmm, toxicity
 
@@ -78,10 +79,84 @@ def test_every_round_sees_all_of_every_document(spark, monkeypatch):
     hmm.score(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string"))
     tokens = 6001 + 5 * 3
     assert len(seen) > 2
-    for start, step, emission in seen[1:]:  # the first are the random states
+    for start, step, emission in [seen[-1]]:  # the last round, over all documents
         assert (start, step, emission) == (pytest.approx(6), pytest.approx(tokens - 6), pytest.approx(tokens))
 
 
+def plain_model(sequences, shape, blocks):
+    """Stepwise Baum-Welch over lists, by sums over all state paths' recursions in plain Python."""
+    model = hmm.initial(shape)
+    tokens = sum(map(len, sequences))
+
+    def counts(some):
+        k = hmm.STATES
+        start, step, emission = np.zeros(k), np.zeros((k, k)), np.zeros((hmm.CLASSES, k))
+        for s in some:
+            alpha = [model.start * model.emit[s[0]]]
+            for x in s[1:]:
+                alpha.append((alpha[-1] @ model.step) * model.emit[x])
+            beta = [np.ones(k)]
+            for x in reversed(s[1:]):
+                beta.append(model.step @ (model.emit[x] * beta[-1]))
+            beta.reverse()
+            whole = alpha[-1].sum()
+            start += alpha[0] * beta[0] / whole
+            for t, x in enumerate(s):
+                emission[x] += alpha[t] * beta[t] / whole
+                if t:
+                    step += np.outer(alpha[t - 1], model.emit[x] * beta[t]) * model.step / whole
+        return np.concatenate([emission, step, start[None]])
+
+    def made(x):
+        return hmm.normalised(x[-1], x[hmm.CLASSES : -1], x[: hmm.CLASSES], shape)
+
+    sums, steps = None, 0
+    for _ in range(hmm.PASSES):
+        for block in range(hmm.BLOCKS):
+            some = [s for s, b in zip(sequences, blocks, strict=True) if b == block]
+            if some:
+                now = counts(some) * tokens / sum(map(len, some))
+                weight = (steps + 1) ** -hmm.FALL
+                sums = now if sums is None else (1 - weight) * sums + weight * now
+                model, steps = made(sums), steps + 1
+    return made(counts(sequences))
+
+
+def test_score_against_plain_python(spark):
+    """Whole scores of held-out and other texts: classes, training, likelihood and shares, redone without matrices."""
+    rng = random.Random(12)
+    texts = [(d, " ".join(rng.choice(WORDS[:14]) for _ in range(rng.randint(0, 9)))) for d in range(60)] + [(99, "Never met words")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in texts}
+    counts = Counter(w for d, t in texts if not held[d] for w in t.lower().split())
+    order = sorted(counts, key=lambda w: (-counts[w], w))
+    class_of = {w: 1 + k for k, w in enumerate(order)}
+
+    def k_of(w):
+        return class_of.get(w, hmm.suffix_class(w))
+
+    n_docs = sum(not x for x in held.values())
+    tokens, types = np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES)
+    tokens[0], types[0] = n_docs, 1
+    for w in order:
+        tokens[class_of[w]] += counts[w]
+        types[class_of[w]] += 1
+    sequences = [[*map(k_of, t.lower().split()), 0] for _, t in texts]
+    v = hmm.vocabulary(hmm.word_counts(docs.where(F.col("doc_id").isin([d for d, x in held.items() if not x]))), n_docs)
+    blocks = [r["block"] for r in hmm.coded(docs, v).collect()]
+    training = [(s, b) for (d, _), s, b in zip(texts, sequences, blocks, strict=True) if not held[d]]
+    model = plain_model([s for s, _ in training], tokens + types, [b for _, b in training])
+    want = {}
+    for (d, t), s in zip(texts, sequences, strict=True):
+        alpha = model.start * model.emit[s[0]]
+        for x in s[1:]:
+            alpha = (alpha @ model.step) * model.emit[x]
+        shares = sum(np.log10((counts[w] + 1) / (tokens[k_of(w)] + types[k_of(w)] + 1)) for w in t.lower().split() if k_of(w) > hmm.FREQUENT)
+        want[d] = np.log10(alpha.sum()) + shares
+    for r in hmm.score(docs).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], rel=1e-6)
+
+
 def test_language_model(docs, triples, nothing, monkeypatch):
     monkeypatch.setattr(hmm, "HEAD", 12)  # the other words take the join
     got = hmm.score(docs).collect()
@@ -115,7 +190,7 @@ def test_model_is_a_distribution_over_texts(spark, docs):
     v = hmm.vocabulary(counts, docs.count())
     mass = Counter()
     for w, n in counts.collect():
-        k = v.head[bytes(w)][1]
+        k = v.head[w][1]
         mass[k] += 10 ** v.share(n, k)
     for k, m in mass.items():
         assert m + (10 ** v.share(0, k) if k > hmm.FREQUENT else 0) == pytest.approx(1)
@@ -158,6 +233,75 @@ def test_toxicity(spark, nothing):
     assert {r["predicted"] for r in toxicity.toxicity(docs, none).collect()} == {0}
 
 
+def plain_kernel(u, v):
+    """Gap-weighted kernel of three characters by enumeration of all subsequences."""
+
+    def weights(w):
+        out = Counter()
+        for i, j, k in itertools.combinations(range(len(w)), 3):
+            if k - i < toxicity.SPAN:
+                out[w[i] + w[j] + w[k]] += toxicity.DECAY ** (k - i + 1)
+        return out
+
+    def dot(a, b):
+        return sum(x * b[t] for t, x in a.items())
+
+    a, b = weights(u), weights(v)
+    size = np.sqrt(dot(a, a) * dot(b, b))
+    return dot(a, b) / size if size else 0.0
+
+
+def test_kernel_against_enumeration():
+    rng = random.Random(4)
+    landmarks = ["worthless", "grumblenitwit", "sloppyfool", "ete"]
+    words = list(landmarks)
+    for w in landmarks * 12:  # gaps, inserted and lost characters
+        at = rng.randint(0, len(w))
+        words.append(w[:at] + rng.choice(["-", "x", "..", "é", ""]) + w[at + rng.randint(0, 1) :])
+    words += ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(0, 24))) for _ in range(100)]
+    got = toxicity.landmark_model(landmarks).matches(words)
+    for w, row in zip(words, got, strict=True):
+        for mark, value in zip(landmarks, row, strict=True):
+            want = plain_kernel(w, mark)
+            if abs(want - toxicity.FLOOR) > 0.04:  # codes of subsequences may collide
+                assert value ** (1 / toxicity.POWER) == pytest.approx(want if want > toxicity.FLOOR else 0, abs=0.04), (w, mark)
+
+
+def test_features_give_the_kernel_of_the_landmarks():
+    model = toxicity.landmark_model(["worthless", "worthles", "grumblenitwit", "sloppyfool", "sloppyfools", "dullardish"])
+    kernel = np.array([[plain_kernel(u, v) for v in model.landmarks] for u in model.landmarks])
+    kernel = np.where(kernel > toxicity.FLOOR, kernel, 0) ** toxicity.POWER
+    features = model.matches(model.landmarks) @ toxicity.whitening(model)
+    assert np.allclose(features @ features.T, kernel, atol=0.03)
+
+
+def test_svm_against_plain_descent():
+    rng = np.random.RandomState(6)
+    x = rng.randn(120, 4)
+    y = np.where(x @ [1, -2, 0.5, 0] + rng.randn(120) > 0.3, 1.0, -1.0)
+    cost = rng.uniform(0.1, 3, 120)
+
+    def loss(w):
+        return w[:4] @ w[:4] / 2 + 1e-6 * w[4] ** 2 / 2 + (cost * np.maximum(0, 1 - y * (x @ w[:4] + w[4])) ** 2).sum() / 2
+
+    w, step = np.zeros(5), 1e-3
+    for _ in range(20_000):
+        slack = cost * np.maximum(0, 1 - y * (x @ w[:4] + w[4])) * y
+        w = w - step * (np.append(w[:4], 1e-6 * w[4]) - np.append(slack @ x, slack.sum()))
+    got, bias = toxicity.svm(x, y, cost)
+    assert np.allclose(np.append(got, bias), w, atol=1e-3) and loss(np.append(got, bias)) <= loss(w) + 1e-6
+
+
+def test_training_is_bounded(spark):
+    """Rows that share a labelled id count once, and long documents give a bounded number of sentences."""
+    docs = spark.createDataFrame([(1, f"{k} " + "sloppyfool here. " * 500) for k in range(50)] + [(2, "clean words only")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, labels)
+    assert sorted((r["_id"], r["toxic"]) for r in rows.collect()) == [(1, 1), (2, 0)]
+    table = toxicity.described(rows, toxicity.landmark_model(["sloppyfool"]), {"sloppyfool"})
+    assert table.num_rows == toxicity.TRAIN_SENTENCES + 1
+
+
 def test_gapped_words_stay_near():
     model = toxicity.Model(["worthless"], np.zeros((toxicity.TABLE, 1), np.float32), np.ones(1), 0.0, 1.0, 0.0)
     word, code, weight = toxicity.triples(["worthless"])
@@ -166,9 +310,9 @@ def test_gapped_words_stay_near():
     assert same == pytest.approx(1, abs=1e-5) and same > gapped > other
 
 
-def test_spaced_and_dotted_insults():
+def test_spaced_and_dotted_insults(spark):
     rows = labelled(random.Random(9), 400)
-    model = toxicity.fit([t for _, t, _ in rows], [v for _, _, v in rows])
+    model = toxicity.fit(spark.createDataFrame(rows, "_id long, text string, toxic int"))
     insult = INSULTS[1]
     spelt = [" ".join(insult), ".".join(insult), ". ".join(insult), " . ".join(insult), "\n".join(insult), "slo.ppyfool", "slo ppy foo l", "slop!pyfool", "sl op py fo ol", "you are a s.l.o.p.p.y fo ol", "gr-umble.nitwit is what"]
     clean = ["amber basin cedar", "a b c d e f g", "it is as he and we are. So be it", "amber.Basin of cedar", "ledge! Marsh"]

@@ -71,3 +71,22 @@ def test_stages(spark, tmp_path):
             assert now.count() == pieces.count()
             assert Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in now.collect()) == Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in pieces.collect())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count()
+
+
+def test_stages_on_nothing_and_on_extra_columns(spark, tmp_path):
+    train = labelled(random.Random(3), 60)
+    extra = ", _copy string, _gone long, n_lines int, kept int, _id string, score double"
+    rows = [(d, t, "en", "s", len(t), "c", 1, 2, 3, "i", 0.5) for d, t, _ in train] + [(None, None, None, None, None, "c", 1, 2, 3, "i", 0.5)]
+    for name, some in (("nothing", []), ("extra", rows)):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(some, COLUMNS + extra).write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(d, 1, v) for d, _, v in train] if some else [], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        now = spark.read.parquet(f"{folder}/documents.parquet")
+        columns = now.columns
+        for k, (stage_name, stage) in enumerate(corpus_pipeline.STAGES):
+            stage(spark, now, folder).write.parquet(f"{folder}/{k}")
+            now = spark.read.parquet(f"{folder}/{k}")
+            if stage_name != "packing":
+                assert now.columns == columns
+                assert {tuple(r)[5:] for r in now.collect()} == ({("c", 1, 2, 3, "i", 0.5)} if some else set())
+        assert (now.count() > 0) == bool(some)
