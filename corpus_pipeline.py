@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences, in five stages over whole tables."""
+"""From raw documents to packed training sequences, in five stages over whole tables.
+
+Null and empty texts pass all stages (near dedup links them with nothing); a null id is an id like any other to line
+dedup and mixing and is linked with nothing. Very long texts are worked on whole. Of equal documents near dedup keeps the
+smallest id and all rows of it; other ties are those of the operators. Empty tables give empty tables. Extra columns of
+any name are kept by all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm import line_dedup, mixing, near_dups, packing, toxicity
-from lotwise.llm.common import cut, table
+from lotwise.llm.common import cut, remove, scratch, table
 from lotwise.llm.queries import tokenizer_path
 
 
@@ -17,12 +23,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat across documents; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    out = line_dedup.without_repeats(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id."""
+    """One document of each group of near copies, that of the smallest id; shingles of five words, as for all near duplicates but op6's contract."""
     return near_dups.keep_one(docs)
 
 
@@ -49,7 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark) as made:
+            docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            written = made.pop()
+        if before:
+            remove(spark, before)
+        before = written
     return STAGES[-1][1](spark, docs, sf_dir)
