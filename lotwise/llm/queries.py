@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, hmm, line_dedup, mixing, near_dups, neighbours, packing, secrets, sharding, toxicity
+from . import conversations, fingerprints, hmm, licenses, line_dedup, mixing, near_dups, neighbours, packing, secrets, sharding, spelling, toxicity
 from .common import table
 
 SHARDS = 40
@@ -62,6 +62,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of op4's base kinds, which SQL can express."""
     return secrets.secret_spans(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex")
@@ -72,7 +84,7 @@ def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sized(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_language_model, op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing)
+OPERATORS = (op1_language_model, op2_sharding, op3_fingerprints, op4_secret_scan, op5_mixing, op6_near_duplicates, op7_toxicity, op8_line_dedup, op9_nearest, op10_packing, op11_spelling_variants, op12_conversation_repair, op13_license_scan)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -82,5 +94,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_near_duplicates": near_dups.SQL, "op8_line_dedup": line_dedup.SQL, "op9_nearest": neighbours.SQL,
+        "op11_spelling_variants": spelling.SQL, "op12_conversation_repair": conversations.SQL, "op13_license_scan": licenses.SQL,
         "secret_counts": secrets.COUNTS_SQL, "mixing_targets": mixing.TARGETS_SQL,
     }
