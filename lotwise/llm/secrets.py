@@ -43,12 +43,12 @@ PATTERNS = {
     "access": re.compile(r"AKIA[A-Z0-9]+"),
     "github": re.compile(r"gh[pousr]_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
     "npm": re.compile(r"npm_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"),
-    "jwt": re.compile(r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
     "pem": re.compile(r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
 }
-#: What a failing jwt takes: a later start in the same run fails like the first.
-RUN = re.compile(r"[A-Za-z0-9_-]*")
+#: A token's header run and what follows it.
+RUN, TAIL = re.compile(r"[A-Za-z0-9_-]*"), re.compile(r"\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
+END = re.compile(r"[ \t\n\r]*\Z")
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_spans long"
@@ -66,19 +66,11 @@ def _crc_suffix(m: re.Match) -> bool:
     return base62(binascii.crc32(m[1].encode()), 6) == m[2]
 
 
-def _jwt_header(m: re.Match) -> bool:
-    try:
-        return "alg" in json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
-    except (ValueError, TypeError, RecursionError):  # not base64 or JSON, a number, or brackets in brackets without end
-        return False
-
-
 VALID = {
     "assign": lambda m: len(m[1]) >= 12,
     "access": lambda m: len(m[0]) >= 18,
     "github": _crc_suffix,
     "npm": _crc_suffix,
-    "jwt": _jwt_header,
     "pem": lambda m: True,
 }
 
@@ -92,6 +84,50 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
+class Headers:
+    """Which starts in a run of token characters open a token whose header is JSON with an algorithm.
+
+    Starts that lie four characters apart decode alike, so a run is decoded four times at most, however many starts it has.
+    """
+
+    def __init__(self, text: str, start: int):
+        self.text, self.end = text, RUN.match(text, start).end()
+        tail = TAIL.match(text, self.end)
+        self.token_end, self.decoded = tail and tail.end(), {}
+
+    def holds(self, start: int) -> bool:
+        if self.token_end is None or self.end - start < 4:
+            return False
+        first, header = self.decoded.setdefault(start % 4, (start, None))
+        if header is None:
+            run = self.text[start : self.end]
+            try:
+                header = base64.urlsafe_b64decode(run + "=" * (-len(run) % 4)).decode("latin-1")
+            except ValueError:
+                header = ""
+            self.decoded[start % 4] = first, header
+        at = (start - first) // 4 * 3
+        try:
+            value, end = json.JSONDecoder().raw_decode(header, at)
+            return "alg" in value and bool(END.match(header, end)) and bool(header[at:].encode("latin-1").decode())
+        except (ValueError, TypeError, RecursionError):  # no JSON, a number, bytes that are no text, or brackets in brackets without end
+            return False
+
+
+def tokens_of(text: str, starts: list[int]) -> list[tuple[int, int]]:
+    """(start, end) of the tokens with a valid header, leftmost first, that begin at one of the starts."""
+    out, end, run = [], 0, None
+    for start in starts:
+        if start < end or not text.startswith("eyJ", start):
+            continue
+        if run is None or start >= run.end:
+            run = Headers(text, start)
+        if run.holds(start):
+            end = run.token_end
+            out.append((start, end))
+    return out
+
+
 def scan(text: str | None) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind index, end), by start, then kind as listed."""
     if not text:
@@ -103,16 +139,19 @@ def scan(text: str | None) -> list[tuple[int, int, int]]:
     for at, (length, kind) in automaton().iter(low):
         hits.setdefault(kind, []).append(at - length + 1)
     for kind, starts in hits.items():
-        end, k, pattern, valid = 0, KINDS.index(kind), PATTERNS[kind], VALID[kind]
+        k = KINDS.index(kind)
+        if kind == "jwt":
+            spans += [(start, k, end) for start, end in tokens_of(text, sorted(starts))]
+            continue
+        end, pattern, valid = 0, PATTERNS[kind], VALID[kind]
         for start in sorted(starts):
-            if start < end:
+            if start < end or not (m := pattern.match(text, start)):
                 continue
-            if m := pattern.match(text, start):
-                end = m.end()  # a match whose check fails still takes its characters
-                if valid(m):
-                    spans.append((start, k, end))
-            elif kind == "jwt":
-                end = RUN.match(text, start).end()
+            good = valid(m)
+            if good:
+                spans.append((start, k, m.end()))
+            if good or k < BASE:  # a base match takes its characters even if its check fails
+                end = m.end()
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     spans.sort()
     return spans

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import re
 import time
 import zlib
@@ -133,6 +134,54 @@ def test_secrets(docs, nothing, spark):
     assert secrets.secret_spans(nothing).count() == 0
 
 
+def plain_added_kinds(text):
+    """The added kinds by trying every start, leftmost first, a valid match only taking its characters."""
+
+    def crc(m):
+        return secrets.base62(zlib.crc32(m[1].encode()), 6) == m[2]
+
+    def header(m):
+        try:
+            return "alg" in json.loads(base64.urlsafe_b64decode(m[1] + "=" * (-len(m[1]) % 4)))
+        except (ValueError, TypeError):
+            return False
+
+    token = r"{}([A-Za-z0-9]{{30}})([A-Za-z0-9]{{6}})(?![A-Za-z0-9])"
+    kinds = {
+        3: (token.format("gh[pousr]_"), crc), 4: (token.format("npm_"), crc),
+        5: (r"(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", header), 6: ("-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", lambda m: True),
+    }
+    out = []
+    for k, (pattern, valid) in kinds.items():
+        at = 0
+        while at < len(text):
+            m = re.compile(pattern).match(text, at)
+            if m and valid(m):
+                out.append((at, k, m.end()))
+                at = m.end()
+            else:
+                at += 1
+    return sorted(out)
+
+
+def test_no_secret_hides_behind_another():
+    rng = np.random.RandomState(11)
+    good = base64.urlsafe_b64encode(b'{"alg":"none"}').decode().rstrip("=")
+    wide = base64.urlsafe_b64encode('{"kid":"é","alg":"x"} '.encode()).decode().rstrip("=")
+    body = "A1b2C3d4E5f6G7h8I9j0K1l2M3n4"
+    sign = [f"{p}{body}{t}{secrets.base62(zlib.crc32((body + t).encode()), 6)}" for p in ("ghp_", "gho_", "npm_") for t in ("gh", "o5", "np")]
+    parts = [good, wide, "eyJ", "EYJ", "eYj", "eyJ0", "eyJx", ".", ".", ".", "_", "p", "sig", "-", " ", "é", body, "gho", "ghp_", "NPM_", "npm", *sign, sign[0][:-1] + "0", "-----BEGIN ", "-----begin ", "RSA ", "PRIVATE KEY-----", "token", "secret="]
+    for fixed in (f"EYJ_{good}.p.s", f"eyjx{good}.p.s", f"eyJx.{good}.p.s", f"eyJ0.{good}.p.s", f"eyJ{good}.p.s", f"eyJx{good}.p.s", "ghp_" + body + "aaaaagho_" + sign[3][4:]):
+        assert [s for s in secrets.scan(fixed) if s[1] > 2] == plain_added_kinds(fixed) != []
+    for _ in range(3000):
+        text = "".join(parts[k] for k in rng.randint(0, len(parts), rng.randint(1, 14)))
+        assert [s for s in secrets.scan(text) if s[1] > 2] == plain_added_kinds(text), text
+    for unit in ("eyJ", "eyJhIjoxfQ", good, "eyJhIjp7", "eyJ.", f"{good}x.", "ghp_", "-----BEGIN "):
+        began = time.time()
+        secrets.scan(unit * (1_000_000 // len(unit)))
+        assert time.time() - began < 10, unit
+
+
 def near_brute(triples, k, percent):
     sets = []
     for d, t, _ in triples:
