@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ BASE_SCHEMA = (
 BASE_KINDS = dict(f.split() for f in BASE_SCHEMA.split(", "))
 BASE = list(BASE_KINDS)
 ZEROS = {"bigint": 0, "int": 0, "double": 0.0, "string": ""}
+#: Namespace of the rows' ids.
+NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "lotwise:rows")
 UNIFIED = [*BASE[:-1], "lon", "fonte"]
 SNAPSHOT = ["uid", "internal_id", *UNIFIED, "full_item_json"]
 STAMPED = ["uid", "internal_id", "scrapy_date", *UNIFIED, "full_item_json"]
@@ -59,15 +63,25 @@ def stamped_uid(listing_id: Column, source: Column, stamp: Column) -> Column:
     return F.concat_ws("_", listing_id.cast("string"), source, stamp)
 
 
+def named_uuid(name: Column) -> Column:
+    """Name-based UUID (version 5) of a text: the same name has the same one in every run, retry and replay."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(NAMESPACE.hex)), name.cast("binary")))
+    variant = F.lower(F.hex(F.conv(F.substring(digest, 17, 1), 16, 10).cast("long").bitwiseAND(3).bitwiseOR(8)))
+    parts = [F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.concat(F.lit("5"), F.substring(digest, 14, 3)), F.concat(variant, F.substring(digest, 18, 3)), F.substring(digest, 21, 12)]
+    return F.when(name.isNotNull(), F.concat_ws("-", *parts))
+
+
 def snapshot_rows(unified: DataFrame) -> DataFrame:
-    """Unified rows as loaded into a snapshot's table; internal_id is random."""
-    return unified.withColumns({"uid": snapshot_uid(F.col("id"), F.col("fonte")), "internal_id": F.uuid(), "full_item_json": F.col("raw")}).select(*SNAPSHOT)
+    """Unified rows as loaded into a snapshot's table; internal_id follows from uid."""
+    uid = snapshot_uid(F.col("id"), F.col("fonte"))
+    return unified.withColumns({"uid": uid, "internal_id": named_uuid(uid), "full_item_json": F.col("raw")}).select(*SNAPSHOT)
 
 
 def stamped_rows(unified: DataFrame) -> DataFrame:
     """Unified rows as loaded into the fact table; also source_site, the file's own site."""
+    uid = stamped_uid(F.col("id"), F.col("fonte"), F.col("stamp"))
     cols = {
-        "uid": stamped_uid(F.col("id"), F.col("fonte"), F.col("stamp")), "internal_id": F.uuid(), "scrapy_date": stamp_to_timestamp(F.col("stamp")),
+        "uid": uid, "internal_id": named_uuid(uid), "scrapy_date": stamp_to_timestamp(F.col("stamp")),
         "full_item_json": F.col("raw"), "source_site": F.col("site"),
     }
     return unified.withColumns(cols).select(*STAMPED, "source_site")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..operators import dedupe, load, merge, records
+from ..operators.facts import FactTable, whole
 from ..operators.tables import fresh_folder
 from ..sources import bodies, snapshots
 from ..streaming import ingest
@@ -178,9 +179,9 @@ def f30_stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
             bodies.where(F.col("day") % 2 == half).drop("day").write.mode("append").partitionBy("file_name").text(files)
         come = spark.readStream.format("text").option("wholetext", True).option("maxFilesPerTrigger", 100).load(files)
         ingest.ingest_files(come.select("file_name", F.col("value").alias("body")), facts, state, SITES).awaitTermination()
-    table = load.read_facts(spark, facts)
-    every = table.groupBy(F.col("source_site").alias("site")).agg(F.count("*").alias("loaded"))
-    current = ingest.newest_facts(table).groupBy(F.col("source_site").alias("site")).agg(F.count("*").alias("listings"), F.sum("aluguel").alias("total"))
+    table = FactTable(spark, facts)
+    every = table.facts().groupBy(F.col("source_site").alias("site")).agg(F.count("*").alias("loaded"))
+    current = table.newest().groupBy(F.col("source_site").alias("site")).agg(F.count("*").alias("listings"), F.sum("aluguel").alias("total"))
     return current.join(every, "site").select("site", "listings", "total", "loaded")
 
 
@@ -226,3 +227,78 @@ def f80_large_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bodies.values(pieces).withColumn("id", F.try_variant_get("raw", "$.id", "bigint")).where("id IS NOT NULL").groupBy(flag).agg(F.count("*").alias("listings"), F.sum("id").alias("ids"))
     files = pieces.groupBy(flag).agg(F.coalesce(F.max("code"), F.lit("inserted")).alias("status"), (F.max("piece") > 1).alias("many_pieces"))
     return files.join(found, "flag", "left").select("flag", "status", F.coalesce("listings", F.lit(0).cast("bigint")).alias("listings"), "ids", "many_pieces")
+
+
+def event_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as snapshot files (path, file_name, day, body): every fiftieth value is no object, bodies of errors end too early."""
+    e = rows(spark, sf_dir)
+    value = F.when(F.col("event_id") % 50 == 0, '"text"').otherwise(F.to_json(F.struct(F.col("user_id").alias("id"), F.floor("value").alias("aluguel"))))
+    body = F.concat(F.lit("["), F.array_join(F.collect_list(value), ","), F.when(F.col("site") == "error", "").otherwise("]"))
+    return e.groupBy("file_name", "site", F.to_date("ts").alias("day")).agg(body.alias("body")).select(F.concat(F.lit("/in/"), "file_name").alias("path"), "file_name", "day", "body")
+
+
+ACCOUNTS = """
+e AS (SELECT event_type AS site, CAST(ts AS DATE) AS day, event_type = 'error' AS cut, event_id % 50 = 0 AS text, user_id = 0 AS zero FROM events),
+a AS (SELECT site, count(DISTINCT day) AS files, count(DISTINCT day) FILTER (cut) AS errors, count(*) FILTER (NOT cut) AS read, count(*) FILTER (NOT cut AND NOT text AND NOT zero) AS inserted, count(*) FILTER (NOT cut AND (text OR zero)) AS quarantined FROM e GROUP BY 1)"""
+
+
+@query(f"""WITH {ACCOUNTS} SELECT mode, a.*, read = inserted + quarantined AS whole, inserted AS in_table, quarantined + errors AS kept_out FROM a, (SELECT unnest(['batch', 'stream']) AS mode)""")
+def f81_load_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every row and file, loaded at once and by a stream in two runs: ledger, facts and quarantine agree."""
+    batch, stream, files, state = (fresh_folder(spark, n) for n in ("fact-table", "stream-table", "snapshot-files", "stream-state"))
+    made = event_bodies(spark, sf_dir)
+    FactTable(spark, batch).load(whole(made), sites=SITES)
+    for half in (0, 1):
+        made.where(F.dayofmonth("day") % 2 == half).select("file_name", F.col("body").alias("value")).write.mode("append").partitionBy("file_name").text(files)
+        come = spark.readStream.format("text").option("wholetext", True).load(files)
+        ingest.ingest_files(come.select("file_name", F.col("value").alias("body")), stream, state, SITES).awaitTermination()
+    out = None
+    for mode, path in (("batch", batch), ("stream", stream)):
+        table = FactTable(spark, path)
+        ledger = table.ledger().groupBy("site").agg(F.count("*").alias("files"), F.count_if(F.col("status") == "error").alias("errors"), F.sum("read").alias("read"), F.sum("rows").alias("inserted"), F.sum("quarantined").alias("quarantined"))
+        held = table.facts().groupBy(F.col("source_site").alias("site")).agg(F.count("*").alias("in_table"))
+        kept_out = table.quarantine().groupBy("site").agg(F.count("*").alias("kept_out"))
+        one = ledger.join(held, "site", "left").join(kept_out, "site", "left").select(
+            F.lit(mode).alias("mode"), "*", (F.col("read") == F.col("inserted") + F.col("quarantined")).alias("whole")).fillna(0, ["in_table", "kept_out"])
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"""WITH {ACCOUNTS.split("a AS (SELECT site, count")[0].rstrip().rstrip(",")}, f AS (SELECT site, day, count(*) FILTER (NOT text AND NOT zero) AS n, any_value(cut) AS cut FROM e GROUP BY 1, 2),
+b AS (SELECT batch, f.*, CASE WHEN cut THEN 'error' WHEN batch = 'b' AND day(day) % 2 = 0 THEN 'skipped_source_loaded' ELSE 'inserted' END AS status FROM f, (SELECT unnest(['a', 'b']) AS batch) WHERE batch = 'b' OR day(day) % 2 = 0)
+SELECT batch, site, status, count(*) AS files, CAST(sum(CASE WHEN status = 'inserted' THEN n ELSE 0 END) AS BIGINT) AS rows FROM b GROUP BY ALL""")
+def f82_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch, one that brings its files a second time from another folder beside new ones, and the second batch again: every file of each is accounted for once."""
+    table, made = FactTable(spark, fresh_folder(spark, "fact-table")), event_bodies(spark, sf_dir)
+    table.load(whole(made.where(F.dayofmonth("day") % 2 == 0)), "a", SITES)
+    for _ in range(2):
+        table.load(whole(made.withColumn("path", F.concat(F.lit("/copy"), "path"))), "b", SITES)
+    return table.ledger().groupBy("batch", "site", "status").agg(F.count("*").alias("files"), F.sum("rows").alias("rows"))
+
+
+@query(f"""WITH {ACCOUNTS.split("a AS (SELECT site, count")[0].rstrip().rstrip(",")}
+SELECT site, count(DISTINCT day) AS snapshots, count(*) AS listings, CAST(max(day) AS VARCHAR) AS newest FROM e WHERE NOT cut AND NOT text AND NOT zero AND day(day) % 3 <> 0 GROUP BY 1""")
+def f83_stopped_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that fails at one of its files leaves the table as it was."""
+    table, made = FactTable(spark, fresh_folder(spark, "fact-table")), event_bodies(spark, sf_dir)
+    table.load(whole(made.where(F.dayofmonth("day") % 3 != 0)), "good", SITES)
+    broken = F.when(F.col("file_name").contains("_click"), F.raise_error(F.lit("a file is gone")).cast("string")).otherwise(F.col("body"))
+    try:
+        table.load(whole(made.where(F.dayofmonth("day") % 3 == 0).withColumn("body", broken)), "bad", SITES)
+    except Exception as e:  # noqa: BLE001  whatever ends the job, the table must stay
+        if "a file is gone" not in str(e):
+            raise
+    every = table.facts().groupBy(F.col("source_site").alias("site")).agg(F.count_distinct("scrapy_date").alias("snapshots"), F.count("*").alias("listings"))
+    newest = table.newest().groupBy(F.col("source_site").alias("site")).agg(F.date_format(F.max("scrapy_date"), "yyyy-MM-dd").alias("newest"))
+    return every.join(newest, "site")
+
+
+@query("""WITH u AS (SELECT event_id, user_id || '_' || event_type || '_' || strftime(ts, '%Y-%m-%d') || '_00-00' AS uid FROM events),
+h AS (SELECT event_id, uid, sha1(unhex('NAMESPACE') || encode(uid)) AS h FROM u)
+SELECT event_id, uid, left(h, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || CASE WHEN substr(h, 17, 1) IN ('0', '4', '8', 'c') THEN '8' WHEN substr(h, 17, 1) IN ('1', '5', '9', 'd') THEN '9'
+ WHEN substr(h, 17, 1) IN ('2', '6', 'a', 'e') THEN 'a' ELSE 'b' END || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS internal_id FROM h""".replace("NAMESPACE", records.NAMESPACE.hex))
+def f84_stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of fact rows, the same in every run: name-based from the uid."""
+    e = rows(spark, sf_dir).select("event_id", F.col("user_id").alias("id"), F.col("site").alias("fonte"), "stamp")
+    uid = records.stamped_uid(F.col("id"), F.col("fonte"), F.col("stamp"))
+    return e.select("event_id", uid.alias("uid"), records.named_uuid(uid).alias("internal_id"))

@@ -2,44 +2,37 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import load, records
-from ..sources import snapshots
-
-
-def fact_rows(files: DataFrame, sites: list[str] | None = None) -> DataFrame:
-    """Stamped rows of snapshot files (file_name, body)."""
-    named = snapshots.loadable(files, sites)
-    rows = snapshots.listings(snapshots.explode_body(named))
-    valid, _ = records.split_valid(records.unified_from_raw(rows))
-    return records.stamped_rows(valid)
+from ..operators.facts import FactTable, whole
 
 
 def snapshot_stream(spark: SparkSession, directory: str, files_at_once: int | None = None) -> DataFrame:
-    """file_name and body of the files of a directory as they come; several snapshots may come at once."""
+    """path, file_name and body of the files of a directory as they come; several snapshots may come at once."""
     reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
     raw = (reader.option("maxFilesPerTrigger", files_at_once) if files_at_once else reader).load(directory)
-    return raw.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("body"))
+    return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("body"))
 
 
-def ingest(spark: SparkSession, directory: str, facts: str, checkpoint: str, sites: list[str] | None = None, quarantine: str | None = None, files_at_once: int | None = None):
+def ingest(spark: SparkSession, directory: str, facts: str, checkpoint: str, sites: list[str] | None = None, files_at_once: int | None = None):
     """Loads all files of a directory not seen yet into the fact table and ends."""
-    return ingest_files(snapshot_stream(spark, directory, files_at_once), facts, checkpoint, sites, quarantine)
+    return ingest_files(snapshot_stream(spark, directory, files_at_once), facts, checkpoint, sites)
 
 
-def ingest_files(files: DataFrame, facts: str, checkpoint: str, sites: list[str] | None = None, quarantine: str | None = None):
-    """Loads a stream of files (file_name, body) into the fact table. A batch that runs again replaces its own snapshots.
+def ingest_files(files: DataFrame, facts: str, checkpoint: str, sites: list[str] | None = None):
+    """Loads a stream of files (file_name, body, perhaps path) into the fact table, each batch as one transaction.
 
-    Files with an impossible stamp go to quarantine, a folder for each batch. Of files of one site and stamp that come
-    in different batches, the last batch's stays.
+    A batch that runs again after its commit changes nothing. Rows and files that are kept out go to quarantine with their
+    reason. Of files of one site and stamp the first that comes is loaded; the ledger names every other as skipped.
     """
 
     def batch(df: DataFrame, number: int) -> None:
-        if quarantine:
-            snapshots.impossible(df).write.mode("overwrite").json(f"{quarantine}/batch={number}")
-        load.append_facts(fact_rows(df, sites), facts)
+        spark = df.sparkSession
+        stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]  # a new checkpoint is a new stream
+        FactTable(spark, facts).load(whole(df), f"{stream}-{number}", sites)
 
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

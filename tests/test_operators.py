@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lotwise.operators import dedupe, extract, filters, load, merge, normalize, records, spatial
 from lotwise.sources import envelopes, pages, snapshots
+from lotwise.operators.facts import FactTable, whole
 from lotwise.streaming import ingest
 
 
@@ -271,13 +272,14 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     put("2026-06-02_00-00_zapimoveis.json", [{"id": 9}])
     put("2026-06-02_00-00_unknown.json", [{"id": 9}])
     put("2026-13-02_00-00_vivareal.json", [{"id": 9}])
-    ingest.ingest(spark, str(source), facts, state, quarantine=f"{tmp_path}/q", files_at_once=2).awaitTermination()
-    assert [(r["file_name"], r["code"]) for r in spark.read.json(f"{tmp_path}/q").collect()] == [("2026-13-02_00-00_vivareal.json", "impossible_stamp")]
-    assert load.read_facts(spark, facts).count() == 3
+    ingest.ingest(spark, str(source), facts, state, files_at_once=2).awaitTermination()
+    table = FactTable(spark, facts)
+    kept_out = {(r["file_name"], r["code"], r["listing_id"]) for r in table.quarantine().collect()}
+    assert kept_out == {("2026-13-02_00-00_vivareal.json", "impossible_stamp", None), ("2026-06-02_00-00_unknown.json", "unknown_site", None), ("2026-06-01_02-25_vivareal.json", "missing_id", "0")}
+    assert table.facts().count() == 3
     put("2026-05-01_00-00_vivareal.json", [{"id": 3}])  # comes late, is not the newest
     ingest.ingest(spark, str(source), facts, state).awaitTermination()
-    table = load.read_facts(spark, facts)
-    assert table.count() == 4 and load.duplicate_uids(table).count() == 0
-    assert {r["id"] for r in ingest.newest_facts(table).collect()} == {1, 2, 9}
-    load.append_facts(ingest.fact_rows(snapshots.read_files(spark, str(source))), facts)  # a replay changes nothing
-    assert load.read_facts(spark, facts).count() == 4
+    assert table.facts().count() == 4 and load.duplicate_uids(table.facts()).count() == 0
+    assert {r["id"] for r in table.newest().collect()} == {r["id"] for r in ingest.newest_facts(table.facts()).collect()} == {1, 2, 9}
+    again = table.load(whole(snapshots.read_files(spark, str(source))))  # a second load changes nothing
+    assert again["inserted"] == 0 and again["skipped_files"] == 3 and table.facts().count() == 4
