@@ -52,22 +52,38 @@ def widget_point(data: Column) -> Column:
     return F.coalesce(*at("$"), *at("$.location"), *at("$.location.location"))
 
 
-def embed_param(url: Column, name: str) -> Column:
-    """Decoded query parameter of an embedded map's link."""
-    return F.try_url_decode(F.parse_url(F.replace(url, F.lit("&amp;"), F.lit("&")), F.lit("QUERY"), F.lit(name)))
+def decoded(text: Column, plus: bool = True) -> Column:
+    """Percent-decoded text; what is no valid encoding stays as it is. A plus is a space only in query fields."""
+    spaced = F.replace(text, F.lit("+"), F.lit(" ")) if plus else text
+    return F.coalesce(F.try_url_decode(text if plus else F.replace(text, F.lit("+"), F.lit("%2B"))), spaced)
 
 
-MAP_LINK = r'https?://[^"\'\s<>]*google\.[^"\'\s<>]*/maps/embed[^"\'\s<>]*'
+def query_fields(url: Column) -> Column:
+    """array of struct(name, value) of a link's query, in order, without blank values. Any text is read, valid link or not."""
+    query = F.regexp_extract(F.trim(url), r"^[^?#]*\?([^#]*)", 1)
+    parts = F.transform(F.split(query, "&"), lambda p: F.struct(F.substring_index(p, "=", 1).alias("name"), F.when(p.contains("="), F.substring(p, F.instr(p, "=") + 1, F.length(p))).alias("value")))
+    return F.transform(F.filter(parts, lambda p: F.coalesce(p["value"] != "", F.lit(False))), lambda p: F.struct(decoded(p["name"]).alias("name"), decoded(p["value"]).alias("value")))
+
+
+def field_of(fields: Column, name: str) -> Column:
+    """The first value of a name, decoded a second time as links in pages are encoded twice."""
+    return decoded(F.trim(F.get(F.filter(fields, lambda f: f["name"] == name), F.lit(0))["value"]), plus=False)
+
+
+# Links of embedded maps, with or without a scheme.
+MAP_LINK = r"(?i)(?:https?:)?//(?:www\.)?google\.com/maps/embed[^\"'<>]+"
 
 
 def map_links(html: Column) -> Column:
-    return F.transform(F.regexp_extract_all(html, F.lit(MAP_LINK), F.lit(0)), lambda u: F.replace(u, F.lit("&amp;"), F.lit("&")))
+    return F.transform(F.regexp_extract_all(html, F.lit(MAP_LINK), F.lit(0)), lambda u: F.replace(F.replace(u, F.lit("&amp;"), F.lit("&")), F.lit("&#38;"), F.lit("&")))
 
 
 def map_link_params(html: Column) -> Column:
-    """struct(center, q) of the first map link that has any parameters."""
-    link = F.get(F.filter(map_links(html), lambda u: u.contains("?")), F.lit(0))
-    return F.struct(embed_param(link, "center").alias("center"), embed_param(link, "q").alias("q"))
+    """struct(center, q, key) of the first map link that has any parameters; key of the first that has one."""
+    fields = F.transform(map_links(html), query_fields)
+    first = F.get(F.filter(fields, lambda f: F.size(f) > 0), F.lit(0))
+    key = F.get(F.filter(F.transform(fields, lambda f: field_of(f, "key")), lambda k: F.trim(k) != ""), F.lit(0))
+    return F.struct(field_of(first, "center").alias("center"), field_of(first, "q").alias("q"), key.alias("key"))
 
 
 def geocoding_text(address: Column) -> Column:

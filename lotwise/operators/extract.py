@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, geo, numbers, texts
 from .filters import price_of, rental_row, text_at
+from .tables import written
 
 MAX_TEXT = 2_000_000
 NUMBER = r"(-?\d+\.?\d*)"
@@ -47,11 +48,39 @@ def found_int(text: Column, pattern: str) -> Column:
     return found(text, pattern).try_cast("bigint")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), where value is computed once however often use names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def without_element(html: Column, name: str) -> Column:
+    """Text with every <name ...> ... </name> replaced by a space, in time proportional to its length.
+
+    A start is closed only if a > and then a closing tag follow, so those behind the last such > cannot be and are left out of
+    the search; every other one is. What lies between that > and the last closing tag goes with an element open there.
+    """
+    close = f"</{name}>"
+
+    def replaced(t: Column) -> Column:
+        h, end, head = t["html"], t["end"], t["head"]
+        search = F.regexp_replace(F.concat(F.substring(h, F.lit(1), head), F.lit(close)), rf"(?is)<{name}[^>]*>.*?</{name}>", " ")
+        between = F.substring(h, head + 1, end - head)
+        whole = bound(search, lambda r: F.when(r.endswith(close), F.concat(F.left(r, F.length(r) - len(close)), between)).otherwise(r))
+        return F.when(end == 0, h).otherwise(F.concat(whole, F.substring(h, end + 1, F.length(h))))
+
+    end, head = F.length(F.regexp_extract(html, rf"(?is)^.*</{name}>", 0)), F.length(F.regexp_extract(html, rf"(?is)^(.*>)[^>]*</{name}>", 1))
+    return bound(F.struct(html.alias("html"), end.alias("end"), head.alias("head")), replaced)
+
+
 def plain_text(html: Column, limit: int | None = None) -> Column:
     """Text of a page: scripts, styles and tags out, spaces squeezed. A limit (MAX_TEXT is the usual one) bounds the characters read."""
-    t = F.regexp_replace(F.left(html, F.lit(limit)) if limit else html, r"(?is)<script[^>]*>.*?</script>", " ")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " "), r"<[^>]+>", " ")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+
+    def untagged(t: Column) -> Column:  # a tag ends at a >, so nothing behind the last one is searched
+        return bound(F.regexp_extract(t, r"(?s)^.*>", 0), lambda h: F.concat(F.regexp_replace(h, r"<[^>]+>", " "), F.substring(t, F.length(h) + 1, F.length(t))))
+
+    scripts = bound(F.left(html, F.lit(limit)) if limit else html, lambda t: without_element(t, "script"))
+    text = bound(bound(scripts, lambda t: without_element(t, "style")), untagged)
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
 def embedded_json(html: Column, marker: str) -> Column:
@@ -94,12 +123,42 @@ def listing_point(html: Column) -> Column:
     return geo.point(found(address, pattern).try_cast("double"), found(address, pattern, 2).try_cast("double"))
 
 
-def page_point(html: Column, json_point: Column, skip_maps: bool = False) -> Column:
-    """struct(lat, lon, source): the map link's center, then its q, the listing's point, the approximate one, any in the JSON."""
+def page_points(html: Column, json_point: Column, skip_maps: bool = False) -> list[tuple[Column, str]]:
+    """The points a page may give with their source labels, first choice first, without those that have to be looked up."""
     params = geo.map_link_params(html)
     tries = [] if skip_maps else [(geo.point_of_text(params["center"]), "maps_embed_center"), (geo.point_of_text(params["q"]), "maps_embed_q")]
-    tries += [(listing_point(html), "rsc_listing_point_lat_lon"), (approximate_point(html), "rsc_approximateLatLon"), (json_point, "__NEXT_DATA__")]
-    return F.coalesce(*(F.when(p.isNotNull(), F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), F.lit(s).alias("source"))) for p, s in tries))
+    return tries + [(listing_point(html), "rsc_listing_point_lat_lon"), (approximate_point(html), "rsc_approximateLatLon"), (json_point, "__NEXT_DATA__")]
+
+
+def first_point(tries: list[tuple[Column, Column | str]]) -> Column:
+    """struct(lat, lon, source) of the first point that is there."""
+    return F.coalesce(*(F.when(p.isNotNull(), F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), (F.lit(s) if isinstance(s, str) else s).alias("source"))) for p, s in tries))
+
+
+def page_point(html: Column, json_point: Column, skip_maps: bool = False) -> Column:
+    """struct(lat, lon, source): the map link's center, then its q, the listing's point, the approximate one, any in the JSON."""
+    return first_point(page_points(html, json_point, skip_maps))
+
+
+def resolved_points(pages: DataFrame, lookup: DataFrame) -> DataFrame:
+    """page_id, lat, lon, source of every page, as page_point, with addresses of map links looked up after the link's own points.
+
+    lookup (address, lat, lon) holds addresses as geocoding_text writes them. Only texts of pages whose link gives no point are
+    looked up, each once; those pages alone are joined with what was found, all others stay where they are.
+    """
+    found = element_fields(pages, ("html",)).withColumn("params", geo.map_link_params(F.col("html")))
+    (center, _), (q, _), *later = page_points(F.col("html"), geo.point(F.col("json_lat"), F.col("json_lon")))
+    link = first_point([(center, "maps_embed_center"), (q, "maps_embed_q")])
+    label = F.when(F.col("params.key").isNotNull(), "maps_embed_q_geocoded_google").otherwise("maps_embed_q_geocoded_nominatim")
+    found = found.select("page_id", link.alias("link"), first_point(later).alias("later"), F.when(link.isNull(), geo.geocoding_text(F.col("params.q"))).alias("address"), label.alias("label"))
+    found = written(found, "page-points")
+    asked = found.where("address IS NOT NULL")
+    known = lookup.select("address", geo.point(F.col("lat"), F.col("lon")).alias("place")).where("place IS NOT NULL")
+    known = known.join(asked.select("address").distinct(), "address").groupBy("address").agg(F.min("place").alias("place"))
+    point = F.coalesce("link", first_point([(F.col("place"), F.col("label"))]), "later")
+    none = F.lit(None).cast("struct<lat:double,lon:double>").alias("place")
+    rows = asked.join(known, "address", "left").select("page_id", "link", "later", "label", "place").unionByName(found.where("address IS NULL").select("page_id", "link", "later", "label", none))
+    return rows.select("page_id", point.alias("point")).select("page_id", "point.lat", "point.lon", "point.source")
 
 
 def snippets(html: Column) -> dict[str, Column]:

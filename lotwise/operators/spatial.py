@@ -91,15 +91,17 @@ def count_grid(points: DataFrame, bounds: dict[str, float], nx: int, ny: int) ->
 def adaptive_cells(points: DataFrame, cap: int, max_depth: int = MAX_DEPTH) -> DataFrame:
     """Splits the points' bounding box until no cell holds more than cap points or max_depth is reached.
 
-    Gives cell (a path of cell numbers), depth, the bounds and n of every leaf that holds points. Each level is one
-    count per cell; only points of cells that are still too full go on to the next.
+    Gives cell (a path of cell numbers), depth, the bounds and n of every leaf that holds points. Equal points are counted
+    first, so a hot place is one row with a weight from then on. Each level is one sum per cell; only places of cells that
+    are still too full go on to the next.
     """
     points = points.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
-    box = points.agg(F.max("x").alias("max_x"), F.max("y").alias("max_y"), F.min("x").alias("min_x"), F.min("y").alias("min_y")).first()
-    held = points.withColumns({"cell": F.lit("0"), **{b: F.lit(box[b]).cast("double") for b in BOUNDS}})
+    places = written(points.groupBy("x", "y").agg(F.count("*").alias("weight")), "places")
+    box = places.agg(F.max("x").alias("max_x"), F.max("y").alias("max_y"), F.min("x").alias("min_x"), F.min("y").alias("min_y")).first()
+    held = places.withColumns({"cell": F.lit("0"), **{b: F.lit(box[b]).cast("double") for b in BOUNDS}})
     leaves = None
     for depth in range(max_depth + 1):
-        cells = written(held.groupBy("cell", *BOUNDS).agg(F.count("*").alias("n")), "cells").withColumn("depth", F.lit(depth))
+        cells = written(held.groupBy("cell", *BOUNDS).agg(F.sum("weight").alias("n")), "cells").withColumn("depth", F.lit(depth))
         one_place = (F.col("max_x") <= F.col("min_x")) & (F.col("max_y") <= F.col("min_y"))
         full = (F.col("n") > cap) & ~one_place & (F.col("depth") < max_depth)
         done = cells.where(~full)
@@ -110,11 +112,43 @@ def adaptive_cells(points: DataFrame, cap: int, max_depth: int = MAX_DEPTH) -> D
         rows = held.join(open_, "cell")
         i, j = cell_of(F.col("x"), F.col("min_x"), F.col("dx"), F.col("nx")), cell_of(F.col("y"), F.col("min_y"), F.col("dy"), F.col("ny"))
         rows = rows.withColumns({"i": i, "j": j})
-        rows = rows.select("x", "y", F.concat_ws(".", "cell", F.col("i") * F.col("ny") + F.col("j")).alias("cell"), *(v.alias(k) for k, v in cell_bounds(F.col("i"), F.col("j")).items()))
-        held = written(rows, "points")
+        path = F.concat_ws(".", "cell", F.col("i") * F.col("ny") + F.col("j"))
+        held = written(rows.select("x", "y", "weight", path.alias("cell"), *(v.alias(k) for k, v in cell_bounds(F.col("i"), F.col("j")).items())), "places")
     return leaves
 
 
+def level_of(r: dict[str, Column]) -> Column:
+    """Exponent of the smallest grid of powers of two whose cells are as long as a rectangle's longer side; cell numbers stay below 2^51."""
+    side = F.greatest(r["max_x"] - r["min_x"], r["max_y"] - r["min_y"])
+    far = F.greatest(*(F.abs(v) for v in r.values()))
+    return F.greatest(F.ceil(F.log2(F.greatest(side, F.lit(1e-300)))), F.ceil(F.log2(F.greatest(far, F.lit(1e-290)))) - 50).cast("int")
+
+
+def in_rectangles(points: DataFrame, rectangles: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """Every pair of a point and a rectangle (max_x, max_y, min_x, min_y) that holds it, edges included, with all columns of both.
+
+    A rectangle lies in the grid whose cells are as long as its longer side, so it covers at most four of them, however
+    large it is; a point lies in one cell of each grid in use. Both are joined by grid and cell and then compared. Each
+    pair meets once. Grids in use are as many as there are different magnitudes of sides, about 1,100 at the very most.
+    Null coordinates and empty rectangles pair with nothing. Points in a hot cell are split by Spark's skew join.
+    """
+    b = {k: F.col(k).cast("double") for k in BOUNDS}
+    boxes = rectangles.where((b["min_x"] <= b["max_x"]) & (b["min_y"] <= b["max_y"])).withColumn("_level", level_of(b))
+    levels = sorted(r[0] for r in boxes.select("_level").distinct().collect())
+
+    def cell(value: Column, level: Column) -> Column:
+        return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+
+    def span(axis: str) -> Column:
+        return F.explode(F.sequence(cell(b[f"min_{axis}"], F.col("_level")), cell(b[f"max_{axis}"], F.col("_level"))))
+
+    boxes = boxes.withColumn("_i", span("x")).withColumn("_j", span("y"))
+    px, py = F.col(x).cast("double"), F.col(y).cast("double")
+    places = points.where(px.isNotNull() & py.isNotNull()).withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
+    places = places.withColumns({"_i": cell(px, F.col("_level")), "_j": cell(py, F.col("_level"))})
+    return places.join(boxes, ["_level", "_i", "_j"]).where(px.between(b["min_x"], b["max_x"]) & py.between(b["min_y"], b["max_y"])).drop("_level", "_i", "_j")
+
+
 def page_plan(cells: DataFrame, size: int, n: str = "n", max_pages: int = MAX_PAGES) -> DataFrame:
     """One row per page of each cell: page from 1 and offset; one page at least, max_pages at most."""
     pages = F.least(F.greatest(F.lit(1), F.ceil(F.col(n) / size)), F.lit(max_pages)).cast("int")

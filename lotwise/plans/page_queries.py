@@ -206,3 +206,33 @@ def f76_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         about["lat"].alias("about_lat"), about["lon"].alias("about_lon"), s["address"].alias("address"), s["amenities"].alias("amenities"), s["published"].alias("published"),
         extract.dated_sentence(s["published"], s["updated"]).alias("sentence"), F.try_variant_get(extract.next_data(h), "$.n", "bigint").alias("next"),
     )
+
+
+@query("""WITH o AS (SELECT o_orderkey AS page_id, o_orderkey % 8 AS kind, CAST(o_custkey % 80 AS DOUBLE) AS lat, CAST(-(o_custkey % 170) - 1 AS DOUBLE) AS lon, o_custkey, o_custkey % 3 <> 0 AS known,
+  o_orderkey % 8 IN (6, 7) OR (o_orderkey % 8 = 5 AND o_custkey % 80 = 0) AS none FROM orders)  -- a zero in a page's JSON is no coordinate
+SELECT page_id, CASE WHEN kind = 2 AND NOT known THEN 1.5 WHEN none THEN NULL ELSE lat END AS lat, CASE WHEN kind = 2 AND NOT known THEN 2.5 WHEN none THEN NULL ELSE lon END AS lon,
+ CASE kind WHEN 0 THEN 'maps_embed_center' WHEN 1 THEN 'maps_embed_q' WHEN 2 THEN CASE WHEN NOT known THEN 'rsc_listing_point_lat_lon' WHEN o_custkey % 2 = 0 THEN 'maps_embed_q_geocoded_google' ELSE 'maps_embed_q_geocoded_nominatim' END
+ WHEN 3 THEN 'rsc_listing_point_lat_lon' WHEN 4 THEN 'rsc_approximateLatLon' WHEN 5 THEN CASE WHEN NOT none THEN '__NEXT_DATA__' END END AS source FROM o""")
+def f86_resolved_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of pages made of orders: each source decides some, addresses come from a table of customers' places, a few links are no valid ones."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    lat, lon = (c % 80).cast("string"), F.concat(F.lit("-"), (c % 170 + 1).cast("string"))
+
+    def listing(x: Column, y: Column) -> Column:
+        return F.concat(F.lit('{"listing":{"address":{"point":{"lat":'), x, F.lit(',"lon":'), y, F.lit("}}}}"))
+
+    key = F.when(c % 2 == 0, F.lit("key=k&amp;")).otherwise("")
+    html = (
+        F.when(k % 8 == 0, F.concat(F.lit('<iframe src="//www.google.com/maps/embed/v1/place?q=Street|1&#38;center='), lat, F.lit("%2C"), lon, F.lit('"></iframe>'), listing(F.lit("1"), F.lit("1"))))
+        .when(k % 8 == 1, F.concat(F.lit('<iframe src="HTTPS://google.com/maps/embed/v1/place?'), key, F.lit("center=%20&amp;q="), lat, F.lit("%252C"), lon, F.lit("#x\"></iframe>")))
+        .when(k % 8 == 2, F.concat(F.lit('<a href="https://www.google.com/maps/embed/x"></a><iframe src="https://www.google.com/maps/embed/v1/place?'), key, F.lit("q=+Rua+A|B+%C3%A9+"), c.cast("string"), F.lit('+"></iframe>'), listing(F.lit("1.5"), F.lit("2.5"))))
+        .when(k % 8 == 3, F.concat(F.lit('<a href="https://www.google.com/maps/embed/v1/place?q=ab">'), listing(lat, lon), F.lit('"approximateLat":3,"approximateLon":4')))
+        .when(k % 8 == 4, F.concat(F.lit('"approximateLon":'), lon, F.lit(',"approximateLat":'), lat))
+        .when(k % 8 == 5, F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">{"props":{"at":{"lat":'), lat, F.lit(',"lon":'), lon, F.lit("}}}</script>")))
+        .when(k % 8 == 6, F.lit('<iframe src="https://www.google.com/maps/embed?pb=%"></iframe>')).otherwise("<p>no map</p>")
+    )
+    pages = spark.read.parquet(f"{sf_dir}/orders.parquet").select(k.alias("page_id"), F.lit("").alias("url"), html.alias("html"))
+    places = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 3 <> 0")
+    p = F.col("c_custkey")
+    lookup = places.select(F.concat(F.lit("Rua A|B é "), p, F.lit(", Brazil")).alias("address"), (p % 80).cast("double").alias("lat"), (-(p % 170) - 1).cast("double").alias("lon"))
+    return extract.resolved_points(pages, lookup)

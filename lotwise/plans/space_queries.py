@@ -20,7 +20,20 @@ def f24_grid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.count_grid(_points(spark, sf_dir), {"min_x": -0.5, "max_x": 0.5, "min_y": -0.5, "max_y": 0.5}, 3, 4)
 
 
-@query()
+@query("""WITH RECURSIVE p AS (SELECT CAST(l_extendedprice AS DOUBLE) AS x, CAST(l_quantity AS DOUBLE) AS y, count(*) AS w FROM lineitem WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY 1, 2),
+box AS (SELECT max(x) AS x1, max(y) AS y1, min(x) AS x0, min(y) AS y0 FROM p),
+l AS (
+  SELECT '0' AS cell, 0 AS depth, x1, y1, x0, y0, x, y, w, sum(w) OVER () AS n FROM p, box
+  UNION ALL
+  SELECT cell, depth, x1, y1, x0, y0, x, y, w, sum(w) OVER (PARTITION BY cell) AS n FROM (
+    SELECT cell || '.' || CAST(i * ny + j AS VARCHAR) AS cell, depth + 1 AS depth, CASE WHEN i < nx - 1 THEN x0 + (i + 1) * dx ELSE x1 END AS x1, CASE WHEN j < ny - 1 THEN y0 + (j + 1) * dy ELSE y1 END AS y1,
+      x0 + i * dx AS x0, y0 + j * dy AS y0, x, y, w FROM (
+      SELECT *, CASE WHEN dx > 0 THEN greatest(0, least(nx - 1, CAST(floor((x - x0) / dx) AS BIGINT))) ELSE 0 END AS i, CASE WHEN dy > 0 THEN greatest(0, least(ny - 1, CAST(floor((y - y0) / dy) AS BIGINT))) ELSE 0 END AS j FROM (
+        SELECT *, (x1 - x0) / nx AS dx, (y1 - y0) / ny AS dy FROM (
+          SELECT *, c // nx AS ny FROM (
+            SELECT *, CASE WHEN y1 > y0 THEN list_min(list_transform(list_filter(range(1, c + 1), lambda k: c % k = 0), lambda k: {'e': abs((k * k) / c::DOUBLE - (x1 - x0) / (y1 - y0)), 'nx': k})).nx ELSE c END AS nx FROM (
+              SELECT *, CAST(ceil(n / 1000.0) AS BIGINT) AS c FROM l WHERE n > 1000 AND depth < 24 AND NOT (x1 <= x0 AND y1 <= y0))))))))
+SELECT cell, depth, x1 AS max_x, y1 AS max_y, x0 AS min_x, y0 AS min_y, CAST(any_value(n) AS BIGINT) AS n FROM l WHERE n <= 1000 OR depth = 24 OR (x1 <= x0 AND y1 <= y0) GROUP BY cell, depth, x1, y1, x0, y0""")
 def f25_adaptive_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of at most 1,000 points of (extended price, quantity)."""
     points = read(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("y"))
@@ -58,3 +71,15 @@ def f38_split_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = r.select("s_suppkey", "r.*", F.struct("r.*").alias("box"))
     cells = spatial.split_grid(boxes, F.lit(7.2)).withColumnsRenamed({"min_x": "cell_x", "min_y": "cell_y"}).drop("max_x", "max_y")
     return cells.select("s_suppkey", "box.*", spatial.width(F.col("box")).alias("width"), spatial.height(F.col("box")).alias("height"), "i", "j", "cell_x", "cell_y")
+
+
+@query("""WITH r AS (SELECT s_suppkey, CAST((s_suppkey * 7919) % 90000 AS DOUBLE) AS min_x, CAST((s_suppkey * 31) % 50 AS DOUBLE) AS min_y, power(2.0, (s_suppkey % 14)) AS w, power(2.0, (s_suppkey % 6)) / 4 AS h FROM supplier),
+b AS (SELECT s_suppkey, min_x, min_y, min_x + w AS max_x, min_y + h AS max_y FROM r)
+SELECT s_suppkey, count(*) AS points, min(l_extendedprice) AS low, CAST(sum(l_partkey) AS BIGINT) AS parts FROM lineitem JOIN b ON l_extendedprice BETWEEN min_x AND max_x AND l_quantity BETWEEN min_y AND max_y GROUP BY 1""")
+def f85_points_in_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of (extended price, quantity) in rectangles of sizes between 1 by 1/4 and 8192 by 8 that overlap."""
+    k = F.col("s_suppkey")
+    r = read(spark, sf_dir, "supplier").select(k, ((k * 7919) % 90000).cast("double").alias("min_x"), ((k * 31) % 50).cast("double").alias("min_y"))
+    r = r.withColumns({"max_x": F.col("min_x") + F.pow(F.lit(2.0), k % 14), "max_y": F.col("min_y") + F.pow(F.lit(2.0), k % 6) / 4})
+    points = read(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity", "l_partkey")
+    return spatial.in_rectangles(points, r, "l_extendedprice", "l_quantity").groupBy("s_suppkey").agg(F.count("*").alias("points"), F.min("l_extendedprice").alias("low"), F.sum("l_partkey").alias("parts"))

@@ -104,7 +104,7 @@ def test_geo(over, spark):
     widgets = ['{"lat":1,"lng":2}', '{"coordinates":[2,1]}', '{"location":{"latitude":1,"longitude":2}}', "{}"]
     assert [p and tuple(p) for p in over(widgets, json(geo.widget_point))] == [(1.0, 2.0), (1.0, 2.0), (1.0, 2.0), None]
     html = '<iframe src="https://www.google.com/maps/embed/v1/place?key=k&amp;q=-19.9%2C-43.9&amp;center=1%2C2"></iframe>'
-    assert tuple(over([html], geo.map_link_params)[0]) == ("1,2", "-19.9,-43.9")
+    assert tuple(over([html], geo.map_link_params)[0]) == ("1,2", "-19.9,-43.9", "k")
     assert over([" ab", "Rua X, BH", "Rua X, Brasil"], geo.geocoding_text) == [None, "Rua X, BH, Brazil", "Rua X, Brasil"]
 
 
