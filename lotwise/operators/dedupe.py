@@ -21,6 +21,12 @@ def last_wins(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
     return _one(df, keys, [F.col(c).desc() for c in seq])
 
 
+def first_and_last(df: DataFrame, keys: list[str], seq: list[str], column: str, first: str, last: str) -> DataFrame:
+    """A column's value in the first and in the last row of each key in the order of seq, in one pass."""
+    order = F.struct(*seq)
+    return df.groupBy(*keys).agg(F.min_by(column, order).alias(first), F.max_by(column, order).alias(last))
+
+
 def with_priority(parts: list[DataFrame], key: str, seq: list[str] | None = None) -> DataFrame:
     """Union in which, of equal keys, the row of the earlier part stays; within a part the last by seq."""
     union = None

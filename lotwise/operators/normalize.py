@@ -29,11 +29,23 @@ def whole(value: Column, path: str) -> Column:
 
 
 def whole_first(value: Column, *paths: str) -> Column:
-    """parse_int of the first element of the first path with a truthy one."""
-    firsts = [numbers.parse_int_variant(arrays.first_of_variant(at(value, p, "variant")), None) for p in paths]
+    """parse_int of the first element of the first path with a truthy one; values that are no lists count as missing."""
+    firsts = [numbers.parse_int_variant(at(value, f"{p}[0]", "variant"), None) for p in paths]
     return F.coalesce(*(F.nullif(x, F.lit(0)) for x in firsts), F.lit(0).cast("bigint"))
 
 
+def strict_int(value: Column) -> Column:
+    """Number truncated, or text of digits alone; 0 without one."""
+    text = F.try_variant_get(value, "$", "string")
+    digits = F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(text).try_cast("bigint"))
+    return F.coalesce(F.when(F.schema_of_variant(value) == "STRING", digits).otherwise(numbers.parse_int_variant(value, None)), F.lit(0).cast("bigint"))
+
+
+def strict_first(value: Column, path: str) -> Column:
+    """strict_int of a list's first element or of a bare value."""
+    return strict_int(arrays.first_of_variant(at(value, path, "variant")))
+
+
 def flag(value: Column) -> Column:
     return value.isNotNull().cast("int")
 
@@ -110,19 +122,19 @@ def zap(v: Column) -> Fields:
     listing, prices = at(v, "listing", "variant"), at(v, "listing.pricingInfos", VARIANTS)
     rental, sale, address = price_of(prices, "RENTAL"), price_of(prices, "SALE"), at(v, "listing.address", "variant")
     either = F.coalesce(rental, sale)
-    medias = F.coalesce(at(v, "medias", VARIANTS), at(listing, "medias", VARIANTS))
-    photos = F.transform(image_links(medias), texts.fill_thumb)
+    photos = image_links(at(v, "medias", VARIANTS))
+    codes = at(listing, "amenities", "array<string>")
     lat = geo.given_coordinate(at(address, "point.lat", "double"), at(address, "point.approximateLat", "double"))
     lon = geo.given_coordinate(at(address, "point.lon", "double"), at(address, "point.approximateLon", "double"))
     return {
-        "id": whole(listing, "id"), "url": texts.prefixed_url(ZAP, at(v, "link.href")), "thumb": F.get(photos, F.lit(0)),
-        "aluguel": numbers.parse_int_variant(at(rental, "price", "variant")), "venda": numbers.parse_int_variant(at(sale, "price", "variant")),
-        "iptu": numbers.monthly_truncated(at(either, "yearlyIptu", "double")), "condominio": numbers.parse_int_variant(at(either, "monthlyCondoFee", "variant")),
-        "banheiros": whole_first(listing, "bathrooms"), "quartos": whole_first(listing, "bedrooms"), "vagas": whole_first(listing, "parkingSpaces"), "area": whole_first(listing, "usableAreas"),
-        "bairro": at(address, "neighborhood"), "tipo_imovel": texts.normalize_type(at(listing, "unitTypes[0]")), "endereco": zap_address(address), "lat": lat, "long": lon,
-        "amenidades": arrays.amenity_labels(at(listing, "amenities", "array<string>")), "andares": whole_first(listing, "floors"), "cidade": at(address, "city"), "estado": at(address, "stateAcronym"),
-        "enderecoRua": at(address, "street"), "enderecoNumero": at(address, "streetNumber"), "fotos": photos, "externalId": at(listing, "externalId"), "locationId": at(address, "locationId"),
-        "geoSource": F.when((lat != 0) | (lon != 0), "listing_page"), "isAbsoluteLocation": F.when((lat != 0) | (lon != 0), ~F.coalesce(at(address, "point.approximate", "boolean"), at(address, "approximateLocation", "boolean"), F.lit(False))),
+        "id": strict_int(at(listing, "id", "variant")), "url": texts.prefixed_url(ZAP, at(v, "link.href")), "thumb": texts.fill_thumb(F.get(photos, F.lit(0))),
+        "aluguel": strict_int(at(rental, "price", "variant")), "venda": strict_int(at(sale, "price", "variant")),
+        "iptu": numbers.monthly_truncated(geo.number_of(either, "$.yearlyIptu")), "condominio": strict_int(at(either, "monthlyCondoFee", "variant")),
+        "banheiros": strict_first(listing, "bathrooms"), "quartos": strict_first(listing, "bedrooms"), "vagas": strict_first(listing, "parkingSpaces"), "area": strict_first(listing, "usableAreas"),
+        "bairro": at(address, "neighborhood"), "tipo_imovel": texts.normalize_type(F.try_variant_get(arrays.first_of_variant(at(listing, "unitTypes", "variant")), "$", "string")), "endereco": zap_address(address), "lat": lat, "long": lon,
+        "amenidades": F.when(F.size(codes) > 0, codes), "andares": strict_first(listing, "floors"), "cidade": at(address, "city"), "estado": at(address, "stateAcronym"),
+        "enderecoRua": texts.clean_str(at(address, "street")), "enderecoNumero": texts.clean_str(at(address, "streetNumber")), "fotos": F.when(F.size(photos) > 0, photos), "externalId": at(listing, "externalId"), "locationId": at(address, "locationId"),
+        "geoSource": F.nullif(at(address, "point.source"), F.lit("")), "isAbsoluteLocation": F.when((lat != 0) | (lon != 0), ~F.coalesce(at(address, "approximateLocation", "boolean"), F.lit(False))),
         "publicadoHa": at(listing, "createdAt").try_cast("timestamp").cast("date"), "atualizadoHa": at(listing, "updatedAt").try_cast("timestamp").cast("date"),
     }
 

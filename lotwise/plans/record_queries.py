@@ -140,7 +140,8 @@ def f29_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT o_orderkey, c_custkey, coalesce(c_name, 'none') AS name FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY') c ON o_custkey = c_custkey""")
 def f35_geocode_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Looked-up places: distinct names of a supplied table, joined to every row."""
-    lookup = read(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'").select(F.concat(F.lit("Place "), F.col("c_custkey"), F.lit(", Brazil")).alias("address"), F.col("c_custkey").alias("lat"), F.col("c_name").alias("lon"))
+    kind = F.when(F.col("c_mktsegment") == "MACHINERY", "Place ").otherwise("Old place ")
+    lookup = read(spark, sf_dir, "customer").select(F.concat(kind, F.col("c_custkey"), F.lit(", Brazil")).alias("address"), F.col("c_custkey").alias("lat"), F.col("c_name").alias("lon"))
     o = read(spark, sf_dir, "orders").withColumn("place", F.concat(F.lit(" Place "), F.col("o_custkey"), F.lit(" ")))
     return merge.geocoded(o, "place", lookup).select("o_orderkey", F.col("lat").alias("c_custkey"), F.coalesce("lon", F.lit("none")).alias("name"))
 

@@ -87,18 +87,16 @@ SELECT f.user_id, f.event_type, f.day, f.event_id AS first_event, l.event_id AS
 ON f.user_id = l.user_id AND f.event_type = l.event_type AND f.day = l.day AND f.a = 1 AND l.z = 1""")
 def f08_first_and_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    keys, seq = ["user_id", "event_type", "day"], ["ts", "event_id"]
-    first = dedupe.first_wins(e, keys, seq).select(*keys, F.col("event_id").alias("first_event"))
-    return first.join(dedupe.last_wins(e, keys, seq).select(*keys, F.col("event_id").alias("last_event")), keys)
+    return dedupe.first_and_last(e, ["user_id", "event_type", "day"], ["ts", "event_id"], "event_id", "first_event", "last_event")
 
 
-@query("""WITH f AS (SELECT event_type, user_id, min(CAST(ts AS DATE)) AS day FROM events GROUP BY 1, 2),
-n AS (SELECT day, count(*) AS new_ids FROM f WHERE event_type = 'view' GROUP BY 1),
-p AS (SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events WHERE event_type = 'view' GROUP BY 1),
+@query("""WITH f AS (SELECT user_id, min(CAST(ts AS DATE)) AS day FROM events GROUP BY 1),
+n AS (SELECT day, count(*) AS new_ids FROM f GROUP BY 1),
+p AS (SELECT CAST(ts AS DATE) AS day, count(*) AS rows FROM events GROUP BY 1),
 j AS (SELECT p.day, rows, coalesce(new_ids, 0) AS new_ids FROM p LEFT JOIN n ON p.day = n.day)
 SELECT day, rows, new_ids, coalesce(day = (SELECT min(day) FROM j WHERE new_ids = 0), FALSE) AS saturated FROM j""")
 def f13_new_ids_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").where("event_type = 'view'").select("user_id", F.to_date("ts").alias("day"))
+    e = read(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
     return dedupe.new_per_page(e, "user_id", "day")
 
 
@@ -185,12 +183,11 @@ def f30_stream_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current.join(every, "site").select("site", "listings", "total", "loaded")
 
 
-@query("""SELECT id, max_by(fonte, p) AS fonte FROM (SELECT user_id AS id, 'sale' AS fonte, 2 AS p FROM events WHERE event_type = 'purchase'
-UNION ALL SELECT user_id, 'rent', 1 FROM events WHERE event_type = 'view') GROUP BY id""")
+@query("""SELECT user_id AS id, CASE WHEN bool_or(event_type IN ('purchase', 'signup')) THEN 'sale' ELSE 'rent' END AS fonte FROM events GROUP BY 1""")
 def f33_combine_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events")
-    sale = e.where("event_type = 'purchase'").select(F.col("user_id").alias("id"), F.lit("sale").alias("fonte"))
-    rent = e.where("event_type = 'view'").select(F.col("user_id").alias("id"), F.lit("rent").alias("fonte"))
+    sale = e.where("event_type IN ('purchase', 'signup')").select(F.col("user_id").alias("id"), F.lit("sale").alias("fonte"))
+    rent = e.where("event_type NOT IN ('purchase', 'signup')").select(F.col("user_id").alias("id"), F.lit("rent").alias("fonte"))
     return snapshots.combine_legacy(rent, sale, "id")
 
 

@@ -97,22 +97,27 @@ def f46_casamineira_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH o AS (SELECT *, o_orderkey AS k, o_custkey AS c FROM orders)
-SELECT k AS id, CASE WHEN k % 2 = 0 THEN 'https://www.zapimoveis.com.br/z/' || k ELSE '' END AS url, 'http://t/?action=fit-in&dimension=614x297&n=' || k AS thumb, CAST(CASE WHEN k % 3 > 0 THEN c ELSE 0 END AS INT) AS aluguel, CAST(k AS INT) AS venda,
- CAST(trunc((CASE WHEN k % 3 > 0 THEN c ELSE k END) / 12.0) AS INT) AS iptu, CAST(CASE WHEN k % 3 > 0 THEN c % 50 ELSE k % 50 END AS INT) AS condominio, CAST(k % 3 + 1 AS BIGINT) AS andares, 'Rua ' || c || ', ' || k % 99 || ', ' || o_orderpriority || ', BH, MG' AS endereco,
- (k % 2)::DOUBLE AS lat, 0.0::DOUBLE AS long, ['Piscina', 'Sala 12H'] AS amenidades, CASE WHEN k % 2 = 1 THEN 'listing_page' END AS "geoSource", CASE WHEN k % 2 = 1 THEN c % 2 = 0 END AS "isAbsoluteLocation",
+SELECT k AS id, CASE WHEN k % 2 = 0 THEN 'https://www.zapimoveis.com.br/z/' || k ELSE '' END AS url, 'http://t/?action=fit-in&dimension=614x297&n=' || k AS thumb, 'http://t/?action={action}&dimension={width}x{height}&n=' || k AS photo,
+ CAST(CASE WHEN k % 3 > 0 THEN c ELSE 0 END AS INT) AS aluguel, CAST(CASE WHEN k % 7 = 0 THEN 0 ELSE k END AS INT) AS venda,
+ CAST(CASE WHEN k % 3 > 0 THEN trunc(c / 12.0) ELSE 0 END AS INT) AS iptu, CAST(CASE WHEN k % 3 > 0 THEN c % 50 ELSE k % 50 END AS INT) AS condominio, CAST(k % 3 + 1 AS BIGINT) AS andares, CAST(k % 5 AS INT) AS quartos,
+ 'Rua ' || c || ', ' || k % 99 || ', ' || o_orderpriority || ', BH, MG' AS endereco,
+ (k % 2)::DOUBLE AS lat, 0.0::DOUBLE AS long, CASE WHEN k % 4 > 0 THEN ['POOL', '', 'SALA_12H'] END AS amenidades, CASE WHEN c % 3 > 0 THEN 'GOOGLE' END AS "geoSource", CASE WHEN k % 2 = 1 THEN c % 2 = 0 END AS "isAbsoluteLocation",
  CAST(CAST(o_orderdate AS TIMESTAMP) + INTERVAL 3 HOUR + INTERVAL 23 HOUR AS DATE) AS "publicadoHa" FROM o""")
 def f47_zap_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings of the list API: a sale's price with a decimal part or a tax as text counts as none, bare values stand for lists."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
-    sale = obj(businessType=F.lit("SALE"), price=k.cast("string"), yearlyIptu=k.cast("string"), monthlyCondoFee=(k % 50).cast("string"))
-    rental = F.when(k % 3 > 0, obj(businessType=F.lit("RENTAL"), price=c.cast("string"), yearlyIptu=c.cast("string"), monthlyCondoFee=(c % 50).cast("string")))
-    point = obj(lat=(k % 2).cast("double"), lon=F.lit(0.0), approximate=c % 2 == 1)
-    address = obj(street=F.concat(F.lit("Rua "), c), streetNumber=(k % 99).cast("string"), neighborhood=F.col("o_orderpriority"), city=F.lit("BH"), stateAcronym=F.lit("MG"), point=point)
-    medias = F.array(obj(type=F.lit("IMAGE"), url=F.concat(F.lit("http://t/?" + texts.THUMB_TEMPLATE + "&n="), k)))
+    price = F.when(k % 7 == 0, F.concat(k.cast("string"), F.lit(".50"))).otherwise(k.cast("string"))
+    sale = obj(businessType=F.lit("SALE"), price=price, yearlyIptu=F.parse_json(F.concat(F.lit('"'), k, F.lit('"'))), monthlyCondoFee=(k % 50).cast("string"))
+    rental = F.when(k % 3 > 0, obj(businessType=F.lit("RENTAL"), price=c.cast("string"), yearlyIptu=F.parse_json(c.cast("string")), monthlyCondoFee=(c % 50).cast("string")))
+    point = obj(lat=(k % 2).cast("double"), lon=F.lit(0.0), source=F.when(c % 3 > 0, F.lit("GOOGLE")))
+    address = obj(street=F.concat(F.lit("Rua "), c), streetNumber=(k % 99).cast("string"), neighborhood=F.col("o_orderpriority"), city=F.lit("BH"), stateAcronym=F.lit("MG"), point=point, approximateLocation=c % 2 == 1)
+    medias = F.array(obj(type=F.lit("VIDEO"), url=F.lit("v")), obj(type=F.lit("IMAGE"), url=F.concat(F.lit("http://t/?action={action}&dimension={width}x{height}&n="), k)))
     created = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T23:00:00-03:00"))
-    listing = obj(id=k.cast("string"), pricingInfos=present(sale, rental), address=address, amenities=F.array(F.lit("POOL"), F.lit(""), F.lit("SALA_12H")), floors=F.array(k % 3 + 1), createdAt=created)
+    codes = F.when(k % 4 > 0, F.array(F.lit("POOL"), F.lit(""), F.lit("SALA_12H"))).otherwise(F.array().cast("array<string>"))
+    listing = obj(id=k.cast("string"), pricingInfos=present(sale, rental), address=address, amenities=codes, floors=F.array(k % 3 + 1), bedrooms=k % 5, createdAt=created)
     rows = dressed(read(spark, sf_dir, "orders"), listing=listing, medias=medias, link=obj(href=F.when(k % 2 == 0, F.concat(F.lit("/z/"), k))))
-    out = normalize.records(rows, normalize.zap)
-    return out.select("id", "url", "thumb", "aluguel", "venda", "iptu", "condominio", "andares", "endereco", "lat", "long", "amenidades", "geoSource", "isAbsoluteLocation", "publicadoHa")
+    out = normalize.records(rows, normalize.zap).withColumn("photo", F.get("fotos", F.lit(0)))
+    return out.select("id", "url", "thumb", "photo", "aluguel", "venda", "iptu", "condominio", "andares", "quartos", "endereco", "lat", "long", "amenidades", "geoSource", "isAbsoluteLocation", "publicadoHa")
 
 
 @query("""WITH r AS (SELECT *, c_custkey AS k FROM customer)

@@ -92,7 +92,7 @@ def explode_body(files: DataFrame) -> DataFrame:
     """One row per listing: columns of files but body, key, pos and raw (variant). Of equal keys the last stays.
 
     The body's root is an object of listings by id or an array of listings; other roots give no rows. A body is one
-    value of at most 2 GB and is parsed by one task: larger exports have to come as lines (json_lines).
+    value of at most 2 GB and is parsed by one task: larger ones are read by bodies.cut_bodies, lines by json_lines.
     """
     kept = [c for c in files.columns if c != "body"]
     body, root = F.col("body"), F.left(F.ltrim("body"), F.lit(1))
@@ -100,7 +100,7 @@ def explode_body(files: DataFrame) -> DataFrame:
     listed = F.transform(F.from_json(body, "array<variant>"), lambda x: F.struct(F.lit(None).cast("string").alias("key"), x.alias("raw")))
     rows = files.select(*kept, F.posexplode(F.when(root == "{", by_key).when(root == "[", listed)).alias("pos", "item")).select(*kept, "pos", "item.key", "item.raw")
     same = F.coalesce(F.concat(F.lit("="), F.col("key")), F.col("pos").cast("string"))
-    return rows.withColumn("_last", F.max("pos").over(Window.partitionBy("file_name", same))).where("pos = _last").drop("_last")
+    return rows.withColumn("_last", F.max("pos").over(Window.partitionBy("path" if "path" in kept else "file_name", same))).where("pos = _last").drop("_last")
 
 
 def json_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -129,7 +129,11 @@ def test_other_sources(variants):
     c = normalize.records(variants(posting), normalize.casamineira).first()
     assert (c["id"], c["url"], c["aluguel"], c["venda"], c["iptu"], c["condominio"], c["banheiros"], c["area"], c["bairro"], c["endereco"], c["thumb"], c["tipo_imovel"], c["long"]) == (7, "https://www.casamineira.com.br/imovel.html", 10, 0, 4, 6, 2, 70, "L", "A", "p", "Casa", 2.0)
     z = normalize.records(variants({"listing": {"id": "5", "pricingInfos": [{"businessType": "SALE", "price": "9", "yearlyIptu": "24", "monthlyCondoFee": "8"}], "address": {"street": "R", "point": {"lat": 1.0, "lon": 2.0}}, "amenities": ["POOL"], "createdAt": "2026-01-02T23:00:00-03:00"}, "link": {"href": ""}}), normalize.zap).first()
-    assert (z["id"], z["url"], z["venda"], z["iptu"], z["condominio"], z["amenidades"], z["publicadoHa"], z["geoSource"], z["isAbsoluteLocation"]) == (5, "", 9, 2, 8, ["Piscina"], dt.date(2026, 1, 3), "listing_page", True)
+    assert (z["id"], z["url"], z["venda"], z["iptu"], z["condominio"], z["amenidades"], z["publicadoHa"], z["geoSource"], z["isAbsoluteLocation"]) == (5, "", 9, 0, 8, ["POOL"], dt.date(2026, 1, 3), None, True)
+    bare = {"listing": {"bedrooms": 3, "bathrooms": ["2"], "floors": [], "amenities": [], "pricingInfos": [{"businessType": "SALE", "price": "1.200", "yearlyIptu": 30}], "address": {"approximateLocation": True, "point": {"approximateLat": 1.0, "source": "G"}}}}
+    z, v = (normalize.records(variants(bare), f).first() for f in (normalize.zap, normalize.vivareal))
+    assert (z["quartos"], z["banheiros"], z["andares"], z["venda"], z["iptu"], z["amenidades"], z["geoSource"], z["isAbsoluteLocation"], z["lat"]) == (3, 2, 0, 0, 2, None, "G", False, 1.0)
+    assert (v["quartos"], v["banheiros"]) == (0, 2)  # a bare value is no list
 
 
 def test_card_and_point(variants):
