@@ -31,9 +31,10 @@ score.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, in_fold
 
-#: Training documents of each label, and sentences of each; they bound what the driver fits.
+#: Training documents of each label, and sentences of each; they bound what one task fits.
 TRAIN_DOCS, TRAIN_SENTENCES = 3000, 32
 #: Partitions of the training documents.
 TRAIN_PARTS = 24
@@ -298,8 +299,17 @@ def typical(counts: DataFrame, n_toxic: int, n_clean: int) -> list[str]:
     return [r["word"] for r in found.select("word").collect()]
 
 
-def held_words(train: DataFrame, pool: list[str]) -> np.ndarray:
-    """Which words of the pool each toxic training document holds, a row of booleans each, by id."""
+def in_one_task(rows: DataFrame, use: Callable[[pa.Table], object]) -> object:
+    """use(table) of rows whose number a parameter bounds, worked out by an executor, so that the driver holds what comes of it alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(use(pa.Table.from_batches(batches)))], pa.binary())], ["made"])
+
+    return pickle.loads(rows.repartition(1).mapInArrow(run, "made binary").first()["made"])
+
+
+def chosen_landmarks(train: DataFrame, pool: list[str]) -> list[str]:
+    """choose_landmarks() over the toxic training documents, by id: TRAIN_DOCS rows of POOL bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = {w: k for k, w in enumerate(pool)}
@@ -309,20 +319,21 @@ def held_words(train: DataFrame, pool: list[str]) -> np.ndarray:
                 row[[at[w] for w in at.keys() & {w for s in sentences_of(text.as_py() or "") for w in s}]] = True
             yield pa.RecordBatch.from_arrays([b.column("_id"), pa.array([x.tobytes() for x in np.packbits(held, 1)], pa.binary())], ["_id", "held"])
 
-    rows = train.where("toxic = 1").mapInArrow(run, "_id long, held binary").toArrow().sort_by("_id")  # TRAIN_DOCS rows of POOL bits
-    bits = np.frombuffer(b"".join(rows.column("held").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
-    return np.unpackbits(bits, 1, len(pool)).astype(bool)
+    def choose(rows: pa.Table) -> list[str]:
+        bits = np.frombuffer(b"".join(rows.sort_by("_id").column("held").to_pylist()), np.uint8).reshape(rows.num_rows, -1)
+        return choose_landmarks(pool, np.unpackbits(bits, 1, len(pool)).astype(bool))
+
+    return in_one_task(train.where("toxic = 1").mapInArrow(run, "_id long, held binary"), choose)
 
 
-def described(train: DataFrame, model: Model, known: set[str]) -> pa.Table:
-    """_id, toxic, at, blank, marked, matches of the training documents' sentences that match best, by _id and at.
+def described(train: DataFrame, landmarks: list[str], known: set[str]) -> DataFrame:
+    """_id, toxic, at, blank, marked, matches of the training documents' sentences that match the landmarks best.
 
     A document's first row also holds the number of its sentences without any match; matches are null where it has none.
     """
-    shared = train.sparkSession.sparkContext.broadcast((model, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, rows = Matcher(shared.value[0]), []
+        matcher, rows = Matcher(landmark_model(landmarks)), []
         for b in batches:
             for doc, text, toxic in zip(b.column("_id").to_pylist(), b.column("text"), b.column("toxic").to_pylist(), strict=True):
                 split = sentences_of(text.as_py() or "")
@@ -331,15 +342,13 @@ def described(train: DataFrame, model: Model, known: set[str]) -> pa.Table:
                 blank = len(split) - len(some)
                 some = np.sort(some[np.argsort(-found[some].max(1), kind="stable")[:TRAIN_SENTENCES]]) if len(some) else some
                 for k, i in enumerate(some):
-                    rows.append((doc, toxic, k, 0 if k else blank, not shared.value[1].isdisjoint(split[i]), found[i].tobytes()))
+                    rows.append((doc, toxic, k, 0 if k else blank, not known.isdisjoint(split[i]), found[i].tobytes()))
                 if not len(some):
                     rows.append((doc, toxic, 0, blank, False, None))
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["_id", "toxic", "at", "blank", "marked", "matches"])
 
-    out = train.mapInArrow(run, "_id long, toxic int, at int, blank long, marked boolean, matches binary").toArrow()
-    shared.unpersist()
-    return out.sort_by([("_id", "ascending"), ("at", "ascending")])
+    return train.mapInArrow(run, "_id long, toxic int, at int, blank long, marked boolean, matches binary")
 
 
 def choose_landmarks(pool: list[str], held: np.ndarray) -> list[str]:
@@ -372,25 +381,19 @@ def whitening(model: Model) -> np.ndarray:
     return vectors[:, keep] / np.sqrt(values[keep])
 
 
-def fit(train: DataFrame) -> Model:
-    """Model from whole labelled documents (_id, text, toxic), one row for each id."""
-    sizes = dict(train.groupBy("toxic").count().collect())
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    signal = typical(word_documents(train), n_toxic, n_clean) if n_toxic and n_clean else []
-    if not signal:
-        return empty_model()
-    model = landmark_model(choose_landmarks(signal, held_words(train, signal)))
-    rows = described(train, model, set(signal[:500]))
+def fitted(landmarks: list[str], rows: pa.Table) -> tuple[np.ndarray, float, float, float]:
+    """Weights, bias, slope and offset of the described training sentences, 2 * TRAIN_DOCS * TRAIN_SENTENCES rows at most."""
+    model, rows = landmark_model(landmarks), rows.sort_by([("_id", "ascending"), ("at", "ascending")])
     ids, doc = np.unique(rows.column("_id").to_numpy(), return_inverse=True)
     y = np.zeros(len(ids), int)
     y[doc] = rows.column("toxic").to_numpy()
     filled = rows.column("matches").is_valid().to_numpy()
     owner, marked = doc[filled], rows.column("marked").to_numpy()[filled]
-    matches = np.frombuffer(b"".join(rows.column("matches").drop_null().to_pylist()), np.float32).reshape(-1, len(model.landmarks))
+    matches = np.frombuffer(b"".join(rows.column("matches").drop_null().to_pylist()), np.float32).reshape(-1, len(landmarks))
     # Sentences without any match are all alike: those of clean documents count as one row with their number as its weight.
     blank = int(rows.column("blank").to_numpy()[rows.column("toxic").to_numpy() == 0].sum())
     whiten = whitening(model)
-    feats = np.concatenate([matches, np.zeros((1, len(model.landmarks)), np.float32)]) @ whiten
+    feats = np.concatenate([matches, np.zeros((1, len(landmarks)), np.float32)]) @ whiten
     negative = np.append(y[owner] == 0, True)
     number = np.append(np.ones(len(owner)), max(1, blank))
     marked = np.append(marked, False)
@@ -405,8 +408,20 @@ def fit(train: DataFrame) -> Model:
         top = np.full(len(y), -np.inf)
         np.maximum.at(top, owner, margins)
         marked[:-1] |= (margins == top[owner]) & (margins > -0.5)  # each toxic document keeps its worst sentence unless it looks clean
-    model.weights, model.bias = whiten @ w, bias
-    model.slope, model.offset = logistic(np.maximum(top, bias), y)
+    return whiten @ w, bias, *logistic(np.maximum(top, bias), y)
+
+
+def fit(train: DataFrame) -> Model:
+    """Model from whole labelled documents (_id, text, toxic), one row for each id."""
+    sizes = dict(train.groupBy("toxic").count().collect())
+    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
+    signal = typical(word_documents(train), n_toxic, n_clean) if n_toxic and n_clean else []
+    if not signal:
+        return empty_model()
+    landmarks = chosen_landmarks(train, signal)
+    model = landmark_model(landmarks)
+    made = in_one_task(described(train, landmarks, set(signal[:500])), lambda rows: fitted(landmarks, rows))
+    model.weights, model.bias, model.slope, model.offset = made
     return model
 
 

@@ -298,7 +298,7 @@ def test_training_is_bounded(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
     rows = toxicity.training_rows(docs, labels)
     assert sorted((r["_id"], r["toxic"]) for r in rows.collect()) == [(1, 1), (2, 0)]
-    table = toxicity.described(rows, toxicity.landmark_model(["sloppyfool"]), {"sloppyfool"})
+    table = toxicity.described(rows, ["sloppyfool"], {"sloppyfool"}).toArrow().sort_by([("_id", "ascending"), ("at", "ascending")])
     assert table.num_rows == toxicity.TRAIN_SENTENCES + 1
 
 
