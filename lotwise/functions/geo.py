@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import bound
 from .texts import first_truthy
 
 
@@ -80,10 +81,13 @@ def map_links(html: Column) -> Column:
 
 def map_link_params(html: Column) -> Column:
     """struct(center, q, key) of the first map link that has any parameters; key of the first that has one."""
-    fields = F.transform(map_links(html), query_fields)
-    first = F.get(F.filter(fields, lambda f: F.size(f) > 0), F.lit(0))
-    key = F.get(F.filter(F.transform(fields, lambda f: field_of(f, "key")), lambda k: F.trim(k) != ""), F.lit(0))
-    return F.struct(field_of(first, "center").alias("center"), field_of(first, "q").alias("q"), key.alias("key"))
+
+    def named(fields: Column) -> Column:
+        key = F.get(F.filter(F.transform(fields, lambda f: field_of(f, "key")), lambda k: F.trim(k) != ""), F.lit(0))
+        first = F.get(F.filter(fields, lambda f: F.size(f) > 0), F.lit(0))
+        return bound(first, lambda f: F.struct(field_of(f, "center").alias("center"), field_of(f, "q").alias("q"), key.alias("key")))
+
+    return bound(F.transform(map_links(html), query_fields), named)
 
 
 def geocoding_text(address: Column) -> Column:

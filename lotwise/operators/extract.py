@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, geo, numbers, texts
+from ..functions.arrays import bound
 from .filters import price_of, rental_row, text_at
 from .tables import written
 
@@ -48,11 +49,6 @@ def found_int(text: Column, pattern: str) -> Column:
     return found(text, pattern).try_cast("bigint")
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), where value is computed once however often use names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def without_element(html: Column, name: str) -> Column:
     """Text with every <name ...> ... </name> replaced by a space, in time proportional to its length.
 
@@ -123,21 +119,28 @@ def listing_point(html: Column) -> Column:
     return geo.point(found(address, pattern).try_cast("double"), found(address, pattern, 2).try_cast("double"))
 
 
-def page_points(html: Column, json_point: Column, skip_maps: bool = False) -> list[tuple[Column, str]]:
-    """The points a page may give with their source labels, first choice first, without those that have to be looked up."""
-    params = geo.map_link_params(html)
-    tries = [] if skip_maps else [(geo.point_of_text(params["center"]), "maps_embed_center"), (geo.point_of_text(params["q"]), "maps_embed_q")]
-    return tries + [(listing_point(html), "rsc_listing_point_lat_lon"), (approximate_point(html), "rsc_approximateLatLon"), (json_point, "__NEXT_DATA__")]
+def page_points(html: Column, params: Column, json_point: Column) -> list[tuple[Column, str]]:
+    """The points a page may give with their source labels, first choice first, without those that have to be looked up; params of its map link."""
+    return [
+        (geo.point_of_text(params["center"]), "maps_embed_center"), (geo.point_of_text(params["q"]), "maps_embed_q"),
+        (listing_point(html), "rsc_listing_point_lat_lon"), (approximate_point(html), "rsc_approximateLatLon"), (json_point, "__NEXT_DATA__"),
+    ]
 
 
 def first_point(tries: list[tuple[Column, Column | str]]) -> Column:
-    """struct(lat, lon, source) of the first point that is there."""
-    return F.coalesce(*(F.when(p.isNotNull(), F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), (F.lit(s) if isinstance(s, str) else s).alias("source"))) for p, s in tries))
+    """struct(lat, lon, source) of the first point that is there; later ones are worked out only without one."""
+
+    def labelled(point: Column, source: Column) -> Column:
+        return bound(point, lambda p: F.when(p.isNotNull(), F.struct(p["lat"].alias("lat"), p["lon"].alias("lon"), source.alias("source"))))
+
+    return F.coalesce(*(labelled(p, F.lit(s) if isinstance(s, str) else s) for p, s in tries))
 
 
 def page_point(html: Column, json_point: Column, skip_maps: bool = False) -> Column:
     """struct(lat, lon, source): the map link's center, then its q, the listing's point, the approximate one, any in the JSON."""
-    return first_point(page_points(html, json_point, skip_maps))
+    if skip_maps:
+        return first_point(page_points(html, F.lit(None).cast("struct<center:string,q:string>"), json_point)[2:])
+    return bound(geo.map_link_params(html), lambda params: first_point(page_points(html, params, json_point)))
 
 
 def resolved_points(pages: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -147,8 +150,8 @@ def resolved_points(pages: DataFrame, lookup: DataFrame) -> DataFrame:
     looked up, each once; those pages alone are joined with what was found, all others stay where they are.
     """
     found = element_fields(pages, ("html",)).withColumn("params", geo.map_link_params(F.col("html")))
-    (center, _), (q, _), *later = page_points(F.col("html"), geo.point(F.col("json_lat"), F.col("json_lon")))
-    link = first_point([(center, "maps_embed_center"), (q, "maps_embed_q")])
+    tries = page_points(F.col("html"), F.col("params"), geo.point(F.col("json_lat"), F.col("json_lon")))
+    link, later = first_point(tries[:2]), tries[2:]
     label = F.when(F.col("params.key").isNotNull(), "maps_embed_q_geocoded_google").otherwise("maps_embed_q_geocoded_nominatim")
     found = found.select("page_id", link.alias("link"), first_point(later).alias("later"), F.when(link.isNull(), geo.geocoding_text(F.col("params.q"))).alias("address"), label.alias("label"))
     found = written(found, "page-points")
@@ -509,6 +512,8 @@ def detail_records(pages: DataFrame, as_of: Column) -> DataFrame:
 
     updated = F.coalesce(f["atualizadoHa"], dates.relative_date(html, "atualizado", as_of), dates.iso_to_utc_date(text_at(best, "$.updatedAt")), snippets(html)["updated"])
     street, no, district, city, state = text("enderecoRua", "street"), text("enderecoNumero", "streetNumber"), text("bairro", "neighborhood"), text("cidade", "city"), text("estado", "stateAcronym", "state")
+    rows = rows.withColumn("found_point", point)
+    point = F.col("found_point")
     return rows.select(
         "page_id", f["id"].alias("id"), "url", F.coalesce(F.get(f["fotos"], F.lit(0)), F.lit("")).alias("thumb"), *(number(c).alias(c) for c in ("aluguel", "iptu", "condominio", "banheiros", "vagas", "area")),
         F.lit(0).alias("venda"), F.coalesce(f["quartos"], F.lit(0).cast("bigint")).try_cast("int").alias("quartos"), district.alias("bairro"), F.coalesce(f["tipo_imovel"], F.lit("")).alias("tipo_imovel"),

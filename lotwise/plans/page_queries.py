@@ -131,13 +131,13 @@ def f72_property_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT k AS page_id, k AS id, 'http://p/' || k AS url, 'p' || k AS thumb, CAST(CASE k % 4 WHEN 0 THEN k + 1 WHEN 1 THEN k + 2 WHEN 2 THEN k + 3 ELSE k + 5 END AS INT) AS aluguel, CAST(k % 700 + 1 AS INT) AS condominio,
  CAST(CASE WHEN k % 2 = 0 THEN 0 ELSE k % 90 + 1 END AS INT) AS iptu, CAST(k % 300 AS INT) AS area, 2 AS banheiros, 1 AS vagas, CAST(k % 5 AS INT) AS quartos, CASE WHEN k % 2 = 0 THEN 'Rua ' ELSE 'C ' END || c_name AS "enderecoRua",
  CAST(k % 99 AS VARCHAR) AS "enderecoNumero", c_mktsegment AS bairro, 'BH' AS cidade, 'MG' AS estado, CASE WHEN k % 2 = 0 THEN 'Rua ' ELSE 'C ' END || c_name || ', ' || k % 99 || ', ' || c_mktsegment || ', BH, MG' AS endereco,
- CASE WHEN k % 3 = 0 THEN (k % 80)::DOUBLE ELSE NULL END AS page_lat, 'E' || k AS "externalId", ['Piscina', 'Sala 12H'] AS amenidades, 'HOME' AS tipo_imovel, DATE '2026-01-03' AS "publicadoHa", CASE WHEN k % 2 = 0 THEN DATE '2026-02-02' END AS "atualizadoHa" FROM c""")
+ CASE WHEN k % 3 = 0 OR k % 80 > 0 THEN (k % 80)::DOUBLE ELSE 0 END AS lat, CASE WHEN k % 3 = 0 THEN -(k % 170)::DOUBLE WHEN k % 80 > 0 THEN -43.5 ELSE 0 END + 0.0 AS long, CASE WHEN k % 3 = 0 THEN 'page_json' WHEN k % 80 > 0 THEN '__NEXT_DATA__' END AS "geoSource", 'E' || k AS "externalId", ['Piscina', 'Sala 12H'] AS amenidades, 'HOME' AS tipo_imovel, DATE '2026-01-03' AS "publicadoHa", CASE WHEN k % 2 = 0 THEN DATE '2026-02-02' END AS "atualizadoHa" FROM c""")
 def f73_detail_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rich records: the page's JSON first, then listings anywhere in it, elements and texts, field by field."""
     d = extract.detail_records(detail_pages(spark, sf_dir), F.lit("2026-06-01"))
     return d.select(
         "page_id", "id", "url", "thumb", "aluguel", "condominio", "iptu", "area", "banheiros", "vagas", "quartos", "enderecoRua", "enderecoNumero", "bairro", "cidade", "estado", "endereco",
-        F.when(F.col("geoSource") == "page_json", F.col("lat")).alias("page_lat"), "externalId", "amenidades", "tipo_imovel", "publicadoHa", "atualizadoHa",
+        "lat", (F.col("long") + 0.0).alias("long"), "geoSource", "externalId", "amenidades", "tipo_imovel", "publicadoHa", "atualizadoHa",
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import texts
 from ..operators import dedupe, load, merge, records
@@ -299,3 +300,21 @@ def f84_stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = rows(spark, sf_dir).select("event_id", F.col("user_id").alias("id"), F.col("site").alias("fonte"), "stamp")
     uid = records.stamped_uid(F.col("id"), F.col("fonte"), F.col("stamp"))
     return e.select("event_id", uid.alias("uid"), records.named_uuid(uid).alias("internal_id"))
+
+
+@query("""SELECT o_orderstatus AS folder, '2024-01-01_00-00_vivareal.json' AS file_name, count(*) AS listings, CAST(sum(o_custkey) AS BIGINT) AS total FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""")
+def f87_explicit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two files of one name in two folders, given one by one, beside a third that is not: rows of equal keys stay apart."""
+    path, name = fresh_folder(spark, "given"), "2024-01-01_00-00_vivareal.json"
+    o, where = read(spark, sf_dir, "orders"), spark._jvm.org.apache.hadoop.fs.Path
+    fs, found = where(path).getFileSystem(spark._jsc.hadoopConfiguration()), {}
+    for status in ("F", "O", "P"):
+        rows = o.where(F.col("o_orderstatus") == status).select(F.col("o_orderkey").alias("k"), F.concat(F.lit(',"k'), F.row_number().over(Window.orderBy("o_orderkey")), F.lit('":'), F.to_json(F.struct(F.col("o_custkey").alias("id")))).alias("value"))
+        ends = spark.createDataFrame([(-1, '{"first":0'), (2**62, "}")], "k long, value string")
+        rows.unionByName(ends).repartition(1).sortWithinPartitions("k").select("value").write.text(f"{path}/{status}")
+        part = next(s.getPath() for s in fs.listStatus(where(f"{path}/{status}")) if s.getPath().getName().startswith("part-"))
+        found[status] = f"{path}/{status}/{name}"
+        fs.rename(part, where(found[status]))
+    rows = snapshots.listings(snapshots.explode_body(snapshots.read_files(spark, [found["F"], found["O"]])))
+    folder = F.element_at(F.split("path", "/"), -2)
+    return rows.groupBy(folder.alias("folder"), "file_name").agg(F.count("*").alias("listings"), F.sum(F.try_variant_get("raw", "$.id", "bigint")).alias("total"))
