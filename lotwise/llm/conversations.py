@@ -12,8 +12,8 @@ by its inserts, so among equal costs the order of prefixes decides, and tables a
 longer than a block is searched block by block for every pair of border states, and the blocks' answers are joined from
 the left, which is exact for the same reason and bounds the search's memory.
 
-Rows of a conversation pass their task one by one in order; held are one letter a row and the answers of four states.
-Texts are hashed as they pass in a second run, since SHA-256 takes its bytes in order; nothing collects a conversation.
+One shuffle brings a conversation's rows to a task, where they pass in order twice, for the search and for the hash; held are
+one letter a row and the answers of four states, never its texts. SHA-256 takes its bytes in order, so one task it must be.
 
 A null conv_id is a conversation of its own; null turns come first; null roles and texts are one space. Rows of one turn are
 ordered by role, then text. Equal rows are repeats of each other. An empty role has no initial and fits nowhere. Empty texts
@@ -29,8 +29,7 @@ from itertools import product
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-from .common import cut
+from pyspark.sql.window import Window
 
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
 #: Rows searched at once.
@@ -56,15 +55,27 @@ def damaged(conversations: DataFrame) -> DataFrame:
     return rows.drop("copy")
 
 
+def combined(rows: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text, times: equal rows of a batch are counted before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = ["conv_id", "turn", "role", "text"]
+        for b in batches:
+            found = pa.Table.from_batches([b]).group_by(keys).aggregate([([], "count_all")])
+            yield from found.select([*keys, "count_all"]).rename_columns([*keys, "times"]).to_batches()
+
+    return rows.select(*(F.col(c).cast(t).alias(c) for c, t in (("conv_id", "long"), ("turn", "long"), ("role", "string"), ("text", "string")))).mapInArrow(run, "conv_id long, turn long, role string, text string, times long")
+
+
 def tagged(rows: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text, times (equal rows of the turn), code and rest: role initial (- for none) and fault initial of the first of them and of the others; null role, null codes.
+    """conv_id, turn, role, text, times (equal rows of the turn), pos, code and rest: role initial (- for none) and fault initial of the first of them and of the others; null role, null codes.
 
-    Equal rows are counted before they meet, so that a row repeated without end is one row of the shuffle.
+    One shuffle by conversation serves the count, the search for repeats and the order.
     """
-    same = rows.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("times"))
-    same = same.withColumns({"r1": F.xxhash64("role", "text"), "r2": F.xxhash64(F.lit(1), "role", "text")})
-    first = same.groupBy("conv_id", "r1", "r2").agg(F.min(F.struct("turn")).alias("first"))  # a null turn is the least
-    out = same.alias("s").join(first.alias("f"), F.expr("s.conv_id <=> f.conv_id AND s.r1 = f.r1 AND s.r2 = f.r2")).select("s.*", F.expr("NOT (s.turn <=> f.first.turn)").alias("again"))
+    same = combined(rows).repartition("conv_id").groupBy("conv_id", "turn", "role", "text").agg(F.sum("times").alias("times"))
+    turn = F.col("turn").asc_nulls_first()
+    met = Window.partitionBy("conv_id", F.xxhash64("role", "text"), F.xxhash64(F.lit(1), "role", "text")).orderBy(turn)
+    out = same.withColumn("again", F.row_number().over(met) > 1).withColumn("pos", F.row_number().over(Window.partitionBy("conv_id").orderBy(turn, "role", "text")))
     last = F.right(F.regexp_replace("text", r"[ \t\n\x0B\f\r]+$", ""), F.lit(1))
     kind = F.when(F.left("role", F.lit(1)).isin("s", "u", "a"), F.left("role", F.lit(1))).otherwise("-")
 
@@ -72,7 +83,7 @@ def tagged(rows: DataFrame) -> DataFrame:
         fault = F.when(~F.col("text").rlike(BLANK), "b").when(repeated, "d").when(~last.isin(".", "!", "?"), "t").otherwise("-")
         return F.when(F.col("role").isNotNull(), F.concat(kind, fault))
 
-    return out.select("conv_id", "turn", "role", "text", "times", code(F.col("again")).alias("code"), code(F.lit(True)).alias("rest"))
+    return out.select("conv_id", "turn", "role", "text", "times", "pos", code(F.col("again")).alias("code"), code(F.lit(True)).alias("rest"))
 
 
 def edits(state: int, code: str) -> Iterator[tuple[str, int, int]]:
@@ -152,7 +163,7 @@ class Conversation:
 
     def __init__(self):
         self.search, self.faults, self.illegal, self.before = Search(), dict.fromkeys("bdt", 0), 0, ""
-        self.turns = self.low = self.high = None
+        self.turns = self.low = self.high = self.answer = None
 
     def add(self, turn: int | None, code: str) -> None:
         initial = code[0]
@@ -169,44 +180,10 @@ class Conversation:
         self.search.add(code)
 
     def row(self) -> tuple:
+        if self.answer is None:  # all rows have passed
+            self.answer = self.search.answer()
         gaps = 0 if self.turns is None else self.high - self.low + 1 - self.turns
-        return gaps, *self.faults.values(), self.illegal, *self.search.answer()
-
-
-AUDITS = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
-KINDS = [pa.int64()] * 7 + [pa.string()]
-
-
-def audits(coded: DataFrame) -> DataFrame:
-    """One row a conversation: faults and the cheapest edits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, known, done = None, None, []
-
-        def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), KINDS)], [c.split()[0] for c in AUDITS.split(", ")])
-            done.clear()
-            return out
-
-        for b in batches:
-            for conv, turn, times, code, rest in zip(*(c.to_pylist() for c in b.columns)):
-                if known is None or conv != current:
-                    if known:
-                        done.append((current, *known.row()))
-                    current, known = conv, Conversation()
-                if code is not None:
-                    known.add(turn, code)
-                    for _ in range(times - 1):
-                        known.add(turn, rest)
-            if len(done) >= 1000:
-                yield flush()
-        if known:
-            done.append((current, *known.row()))
-        if done:
-            yield flush()
-
-    order = coded.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "text")
-    return order.select("conv_id", "turn", "times", "code", "rest").mapInArrow(run, AUDITS)
+        return gaps, *self.faults.values(), self.illegal, *self.answer
 
 
 class Repair:
@@ -243,39 +220,54 @@ class Repair:
         return self.sha.hexdigest()
 
 
-def digests(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(conv_id, repaired_sha256): a conversation's audit comes before its rows, which are hashed as they pass."""
+REPAIRED = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
+KINDS = [pa.int64()] * 7 + [pa.string()] * 2
+
+
+def repaired(rows: DataFrame) -> DataFrame:
+    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation. Rows with null role only name their conversation.
+
+    A conversation's rows pass twice, first without role and text for the search, then with them for the hash.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, known, done = None, None, []
+        current, known, repair, done = None, None, None, []
+
+        def close() -> None:
+            found = known.row()
+            done.append((current, *found, (repair or Repair(found[-1])).digest()))
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), KINDS)], [c.split()[0] for c in REPAIRED.split(", ")])
+            done.clear()
+            return out
+
         for b in batches:
-            for conv, audit, role, text, times in zip(*(c.to_pylist() for c in b.columns)):
-                if audit is not None:
+            for conv, phase, turn, role, text, times, code, rest in zip(*(c.to_pylist() for c in b.columns)):
+                if known is None or conv != current:
                     if known:
-                        done.append((current, known.digest()))
-                    current, known = conv, Repair(audit)
-                else:
+                        close()
+                    current, known, repair = conv, Conversation(), None
+                if phase == 0 and code is not None:
+                    known.add(turn, code)
+                    for _ in range(times - 1):
+                        known.add(turn, rest)
+                elif phase == 1 and role is not None:
+                    repair = repair or Repair(known.row()[-1])
                     for _ in range(times):
-                        known.add(role, text)
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), (pa.int64(), pa.string()))], ["conv_id", "repaired_sha256"])
-                done = []
+                        repair.add(role, text)
+            if len(done) >= 1000:
+                yield flush()
         if known:
-            yield pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([known.digest()], pa.string())], ["conv_id", "repaired_sha256"])
-
-    first = found.select("conv_id", F.lit(None).cast("long").alias("turn"), F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text"), F.lit(1).cast("long").alias("times"), "audit")
-    both = first.unionByName(rows.where("role IS NOT NULL").select("conv_id", "turn", "role", "text", "times", F.lit(None).cast("string").alias("audit")))
-    order = both.repartition("conv_id").sortWithinPartitions("conv_id", F.col("audit").isNull(), F.col("turn").asc_nulls_first(), "role", "text")
-    return order.select("conv_id", "audit", "role", "text", "times").mapInArrow(run, "conv_id long, repaired_sha256 string")
+            close()
+        if done:
+            yield flush()
 
+    twice = tagged(rows).withColumn("phase", F.explode(F.array(F.lit(0), F.lit(1))))
+    full = F.col("phase") == 1
+    twice = twice.select("conv_id", "phase", "pos", "turn", *(F.when(full, F.col(c)).alias(c) for c in ("role", "text")), "times", "code", "rest").sortWithinPartitions("conv_id", "phase", "pos")
+    return twice.drop("pos").mapInArrow(run, REPAIRED)
 
-def repaired(rows: DataFrame) -> DataFrame:
-    """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation. Rows with null role only name their conversation."""
-    rows = cut(tagged(rows), "conversation-rows")
-    found = cut(audits(rows), "audits")
-    sums = digests(rows, found)
-    out = found.alias("f").join(sums.alias("s"), F.expr("f.conv_id <=> s.conv_id"))
-    return out.select("f.*", "s.repaired_sha256")
 
 
 #: DuckDB SQL for repaired over the damaged conversations: the cheapest audit to each role state, row by row.
