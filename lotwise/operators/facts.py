@@ -8,7 +8,7 @@ again from the other's manifest.
 
 Every row is accounted for: inserted, or in quarantine with a reason; every file is inserted, skipped_source_loaded, or error
 with its reason. The ledger keeps a line for each file and batch. A batch that comes again after its commit changes nothing.
-The driver holds one manifest line for each snapshot, never a listing.
+The driver holds one manifest line for each snapshot and each batch, never a listing.
 """
 
 from __future__ import annotations
