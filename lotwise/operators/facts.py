@@ -4,7 +4,7 @@ A load tags every row and file of its bodies once and writes that; facts, quaran
 folder of the load's own, and nothing reads them before the manifest names them. The manifest has a line for each loaded
 snapshot (stamp, site, folder, rows, batch), so readers find the newest snapshot of a site without reading facts, and
 a load that ends midway leaves the table as it was. Writers that commit at once meet at the rename: the later one starts
-again from the other's manifest.
+again from the other's manifest. The folder lies on a file system whose rename is atomic and fails where the target exists.
 
 Every row is accounted for: inserted, or in quarantine with a reason; every file is inserted, skipped_source_loaded, or error
 with its reason. The ledger keeps a line for each file and batch. A batch that comes again after its commit changes nothing.
