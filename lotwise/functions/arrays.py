@@ -2,19 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .once import bound, unless
 from .texts import amenity_label
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), where value is computed once however often use names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def first_value(values: Column) -> Column:
     return F.get(values, F.lit(0))
 
@@ -39,10 +33,10 @@ def amenity_item_label(item: Column) -> Column:
     """A text, or the first text among name, label, text, description and title of an object."""
     own = F.when(F.schema_of_variant(item) == "STRING", F.try_variant_get(item, "$", "string"))
     fields = [F.try_variant_get(item, f"$.{k}", "string") for k in ("name", "label", "text", "description", "title")]
-    return F.coalesce(*(F.nullif(F.trim(x), F.lit("")) for x in (own, *fields)))
+    return F.coalesce(*(unless(F.trim(x), "") for x in (own, *fields)))
 
 
 def amenity_labels(codes: Column) -> Column:
     """Labels of codes without blanks; null if none is left."""
     labels = F.filter(F.transform(codes, amenity_label), lambda x: x != "")
-    return F.when(F.size(labels) > 0, labels)
+    return bound(labels, lambda found: F.when(F.size(found) > 0, found))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .once import bound, unless
 from .texts import strip_accents_lower
 
 STAMP = "yyyy-MM-dd_HH-mm"
@@ -48,10 +49,14 @@ def unit_seconds(unit: Column) -> Column:
 def relative_date(text: Column, kind: str, as_of: Column) -> Column:
     """Day of 'publicado há N unidade' (or 'atualizado') counted back from a time; null if that is before year 1."""
     pattern = PHRASE.format(kind=kind)
-    n = F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")).try_cast("bigint")
     now = F.unix_timestamp(as_of.cast("timestamp"))
-    then = F.try_subtract(now, F.try_multiply(n, unit_seconds(F.regexp_extract(text, pattern, 2))))
-    return F.timestamp_seconds(F.when(then >= YEAR_1, then)).cast("date")
+
+    def day(phrase: Column) -> Column:
+        n = unless(F.regexp_extract(phrase, pattern, 1), "").try_cast("bigint")
+        then = F.try_subtract(now, F.try_multiply(n, unit_seconds(F.regexp_extract(phrase, pattern, 2))))
+        return bound(then, lambda t: F.timestamp_seconds(F.when(t >= YEAR_1, t)).cast("date"))
+
+    return bound(F.regexp_extract(text, pattern, 0), day)
 
 
 def calendar_date(text: Column, kind: str, as_of: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .arrays import bound
+from .once import bound
 from .texts import first_truthy
 
 
@@ -15,7 +15,8 @@ def valid_point(lat: Column, lon: Column) -> Column:
 
 def point(lat: Column, lon: Column) -> Column:
     """struct(lat, lon), or null if either is missing or out of range."""
-    return F.when(valid_point(lat, lon), F.struct(lat.cast("double").alias("lat"), lon.cast("double").alias("lon")))
+    pair = F.struct(lat.alias("lat"), lon.alias("lon"))
+    return bound(pair, lambda p: F.when(valid_point(p["lat"], p["lon"]), F.struct(p["lat"].cast("double").alias("lat"), p["lon"].cast("double").alias("lon"))))
 
 
 def number_of(value: Column, path: str) -> Column:

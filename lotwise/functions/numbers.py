@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .once import unless
+
 WHOLE = r"^\s*[+-]?\d+([eE][+-]?\d+)?\s*$"
 DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 #: The leftmost alternative wins, so 1234 without a dot gives 123.
@@ -12,7 +14,7 @@ GROUPED = r"(\d{1,3}(?:\.\d{3})*|\d+)"
 
 
 def _double(text: Column, pattern: str) -> Column:
-    return F.when(text.rlike(pattern), F.trim(text).try_cast("double"))
+    return F.trim(F.regexp_extract(text, pattern, 0)).try_cast("double")
 
 
 def parse_int(text: Column, default: int | None = 0) -> Column:
@@ -39,12 +41,12 @@ def to_int(text: Column) -> Column:
 
 def parse_first_int(text: Column) -> Column:
     """The first number with dots between thousands."""
-    return F.replace(F.nullif(F.regexp_extract(text, GROUPED, 1), F.lit("")), F.lit("."), F.lit("")).try_cast("bigint")
+    return F.replace(unless(F.regexp_extract(text, GROUPED, 1), ""), F.lit("."), F.lit("")).try_cast("bigint")
 
 
 def parse_int_digits(text: Column) -> Column:
     """All digits of the text as one number."""
-    return F.nullif(F.regexp_replace(text, "[^0-9]", ""), F.lit("")).try_cast("bigint")
+    return unless(F.regexp_replace(text, "[^0-9]", ""), "").try_cast("bigint")
 
 
 def text_to_float(text: Column) -> Column:

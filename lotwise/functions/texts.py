@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .once import bound, unless
+
 # Texts that mean "absent".
 SENTINELS = ["", "$undefined", "undefined", "null", "None"]
 # Texts of invalid fields.
@@ -84,7 +86,7 @@ def street_number(text: Column) -> Column:
 
 def address_line(*parts: Column) -> Column:
     """The parts that hold a text, joined by commas."""
-    return F.concat_ws(", ", *(F.nullif(p, F.lit("")) for p in parts))
+    return F.concat_ws(", ", *(unless(p, "") for p in parts))
 
 
 def full_address(street: Column, number: Column, district: Column, city: Column, state: Column) -> Column:
@@ -147,8 +149,12 @@ def legacy_table_name(base: str, file_name: Column) -> Column:
 
 def decode_fragment(text: Column) -> Column:
     """The inside of a JSON string literal, decoded; where that fails, only its slashes."""
-    decoded = F.get(F.from_json(F.concat(F.lit('["'), text, F.lit('"]')), "array<string>"), F.lit(0))
-    return F.when(text.isNull(), "").otherwise(F.coalesce(decoded, F.replace(text, F.lit("\\/"), F.lit("/"))))
+
+    def decoded(t: Column) -> Column:
+        literal = F.get(F.from_json(F.concat(F.lit('["'), t, F.lit('"]')), "array<string>"), F.lit(0))
+        return F.coalesce(literal, F.replace(t, F.lit("\\/"), F.lit("/")), F.lit(""))
+
+    return bound(text, decoded)
 
 
 def source_label(stamp: Column, site: Column) -> Column:

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import arrays, dates, geo, numbers, texts
-from ..functions.arrays import bound
+from ..functions.once import bound, unless
 from .filters import price_of, rental_row, text_at
 from .tables import written
 
 MAX_TEXT = 2_000_000
+#: A length that takes the rest of any text.
+REST = 2**31 - 1
 NUMBER = r"(-?\d+\.?\d*)"
 # Patterns of the JSON and the texts of pages. QUOTED is possessive, so a long text takes no stack.
 QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
@@ -42,7 +44,7 @@ VARIANTS = "array<variant>"
 
 def found(text: Column, pattern: str, group: int = 1) -> Column:
     """A pattern's group, or null without a match."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    return unless(F.regexp_extract(text, pattern, group), "")
 
 
 def found_int(text: Column, pattern: str) -> Column:
@@ -62,7 +64,7 @@ def without_element(html: Column, name: str) -> Column:
         search = F.regexp_replace(F.concat(F.substring(h, F.lit(1), head), F.lit(close)), rf"(?is)<{name}[^>]*>.*?</{name}>", " ")
         between = F.substring(h, head + 1, end - head)
         whole = bound(search, lambda r: F.when(r.endswith(close), F.concat(F.left(r, F.length(r) - len(close)), between)).otherwise(r))
-        return F.when(end == 0, h).otherwise(F.concat(whole, F.substring(h, end + 1, F.length(h))))
+        return F.when(end == 0, h).otherwise(F.concat(whole, F.substring(h, end + 1, F.lit(REST))))
 
     end, head = F.length(F.regexp_extract(html, rf"(?is)^.*</{name}>", 0)), F.length(F.regexp_extract(html, rf"(?is)^(.*>)[^>]*</{name}>", 1))
     return bound(F.struct(html.alias("html"), end.alias("end"), head.alias("head")), replaced)
@@ -72,7 +74,7 @@ def plain_text(html: Column, limit: int | None = None) -> Column:
     """Text of a page: scripts, styles and tags out, spaces squeezed. A limit (MAX_TEXT is the usual one) bounds the characters read."""
 
     def untagged(t: Column) -> Column:  # a tag ends at a >, so nothing behind the last one is searched
-        return bound(F.regexp_extract(t, r"(?s)^.*>", 0), lambda h: F.concat(F.regexp_replace(h, r"<[^>]+>", " "), F.substring(t, F.length(h) + 1, F.length(t))))
+        return bound(F.regexp_extract(t, r"(?s)^.*>", 0), lambda h: F.concat(F.regexp_replace(h, r"<[^>]+>", " "), F.substring(t, F.length(h) + 1, F.lit(REST))))
 
     scripts = bound(F.left(html, F.lit(limit)) if limit else html, lambda t: without_element(t, "script"))
     text = bound(bound(scripts, lambda t: without_element(t, "style")), untagged)
@@ -90,10 +92,14 @@ def next_data(html: Column) -> Column:
     return F.try_parse_json(found(html, r'(?is)<script[^>]*id="__NEXT_DATA__"[^>]*>(.*?)</script>'))
 
 
+def text_from(text: Column, pattern: str, size: int) -> Column:
+    """So many characters from a pattern's start on, or null without a match."""
+    return F.substring(text, unless(F.regexp_instr(text, F.lit(pattern)), 0), F.lit(size))
+
+
 def listing_chunk(html: Column, size: int = LISTING_TEXT) -> Column:
     """Text from the listing's start on, or an empty one."""
-    start = F.regexp_instr(html, F.lit(LISTING))
-    return F.when(start > 0, F.substring(html, start, F.lit(size))).otherwise("")
+    return F.coalesce(text_from(html, LISTING, size), F.lit(""))
 
 
 def quoted_field(chunk: Column, name: str) -> Column:
@@ -105,18 +111,19 @@ def approximate_point(html: Column) -> Column:
     """approximateLat and approximateLon in either order."""
     lat, lon = f'"approximateLat"\\s*:\\s*{NUMBER}', f'"approximateLon"\\s*:\\s*{NUMBER}'
     one, two = f"{lat}\\s*,\\s*{lon}", f"{lon}\\s*,\\s*{lat}"
-    first = found(html, one)
-    return F.when(
-        first.isNotNull(), geo.point(first.try_cast("double"), found(html, one, 2).try_cast("double"))
-    ).otherwise(geo.point(found(html, two, 2).try_cast("double"), found(html, two).try_cast("double")))
+
+    def point(text: Column, pattern: str, lat_group: int) -> Column:
+        return geo.point(found(text, pattern, lat_group).try_cast("double"), found(text, pattern, 3 - lat_group).try_cast("double"))
+
+    other = bound(F.regexp_extract(html, two, 0), lambda t: point(t, two, 2))
+    return bound(found(html, one, 0), lambda t: F.when(t.isNotNull(), point(t, one, 1)).otherwise(other))
 
 
 def listing_point(html: Column) -> Column:
     """Point of the listing's address: the text is narrowed step by step, so no pattern can run away."""
-    chunk = listing_chunk(html, 60_000)
-    address = F.when(F.regexp_instr(chunk, F.lit(r'"address"\s*:\s*\{')) > 0, F.substring(chunk, F.regexp_instr(chunk, F.lit(r'"address"\s*:\s*\{')), F.lit(20_000)))
+    address = bound(text_from(html, LISTING, 60_000), lambda chunk: text_from(chunk, r'"address"\s*:\s*\{', 20_000))
     pattern = f'"point"\\s*:\\s*\\{{\\s*"lat"\\s*:\\s*{NUMBER}\\s*,\\s*"lon"\\s*:\\s*{NUMBER}'
-    return geo.point(found(address, pattern).try_cast("double"), found(address, pattern, 2).try_cast("double"))
+    return bound(F.regexp_extract(address, pattern, 0), lambda t: geo.point(found(t, pattern).try_cast("double"), found(t, pattern, 2).try_cast("double")))
 
 
 def page_points(html: Column, params: Column, json_point: Column) -> list[tuple[Column, str]]:
@@ -189,7 +196,7 @@ def price_patterns(html: Column) -> dict[str, Column]:
 def dated_sentence(published: Column, updated: Column) -> Column:
     """'publicado em D, atualizado em D.' of the days that are there."""
     parts = F.concat_ws(", ", F.concat(F.lit("publicado em "), published.cast("string")), F.concat(F.lit("atualizado em "), updated.cast("string")))
-    return F.when(parts != "", F.concat(parts, F.lit(".")))
+    return F.concat(unless(parts, ""), F.lit("."))
 
 
 # The pass over a page's elements. It needs nesting, so it is the library's one Python step.
@@ -227,6 +234,9 @@ class Tree(HTMLParser):
         self.root = self.now = Node("", {}, None)
         self.nodes: list[Node] = []
 
+    def updatepos(self, i, j):  # lines are counted for messages only
+        return j
+
     def handle_starttag(self, tag, attrs):
         node = Node(tag, {k: v or "" for k, v in attrs}, self.now)
         self.now.children.append(node)
@@ -295,11 +305,9 @@ def any_point(data: object) -> tuple[float, float] | None:
     return None
 
 
-def tooltip_price(nodes: list[Node], label: str, any_case: bool) -> str | None:
+def tooltip_price(tooltips: list[Node], label: str, any_case: bool) -> str | None:
     """Value text beside the first tooltip with a label whose value reads as a price."""
-    for node in nodes:
-        if "value-item__tooltip-wrapper" not in node.attrs.get("class", "").split():
-            continue
+    for node in tooltips:
         title = node.text()
         if label not in (title.lower() if any_case else title) or node.parent is None:
             continue
@@ -322,33 +330,41 @@ def pass_over(html: str | None) -> dict:
     tree.close()
     nodes = tree.nodes
 
+    tags: dict[str, Node] = {}
+    marked: dict[tuple[str, str], Node] = {}
+    for n in nodes:
+        tags.setdefault(n.tag, n)
+        for pair in n.attrs.items():
+            marked.setdefault(pair, n)
+
     def first(test) -> Node | None:
         return next((n for n in nodes if test(n)), None)
 
-    def text_of(test) -> str | None:
-        node = first(test)
+    def text_of(node: Node | None) -> str | None:
         return node.text() if node else None
 
-    def by(name: str, value: str):
-        return lambda n: n.attrs.get(name) == value
+    def by(name: str, value: str) -> Node | None:
+        return marked.get((name, value))
 
     out = dict.fromkeys(PASS_FIELDS)
-    out["title"], out["heading"] = text_of(lambda n: n.tag == "title"), text_of(lambda n: n.tag == "h1")
+    out["title"], out["heading"] = text_of(tags.get("title")), text_of(tags.get("h1"))
     out["links"] = sum(n.tag == "a" and "href" in n.attrs for n in nodes)
-    for test in (by("data-testid", "location-address"), by("data-cy", "ldp-overview-address"), by("data-cy", "property-address"), lambda n: "Address" in n.attrs.get("data-cy", "") and "property" in n.attrs.get("data-cy", "")):
-        t = text_of(test)
+    other = first(lambda n: "Address" in n.attrs.get("data-cy", "") and "property" in n.attrs.get("data-cy", ""))
+    for node in (by("data-testid", "location-address"), by("data-cy", "ldp-overview-address"), by("data-cy", "property-address"), other):
+        t = text_of(node)
         if t and len(t) > 12 and ("," in t or "-" in t):
             out["address"] = t
             break
     out["area"], out["bathrooms"], out["parking"] = (text_of(by("itemprop", p)) for p in ("floorSize", "numberOfBathroomsTotal", "numberOfParkingSpaces"))
     out["fee_text"], out["tax_text"] = text_of(by("data-testid", "condoFee")), text_of(by("data-testid", "iptu"))
-    out["fee_tooltip"], out["tax_tooltip"] = tooltip_price(nodes, "Condomínio", False), tooltip_price(nodes, "iptu", True)
+    tooltips = [n for n in nodes if "value-item__tooltip-wrapper" in n.attrs.get("class", "").split()]
+    out["fee_tooltip"], out["tax_tooltip"] = tooltip_price(tooltips, "Condomínio", False), tooltip_price(tooltips, "iptu", True)
     ld = (re.search(r'"price"\s*:\s*(\d+)', n.text()) for n in nodes if n.tag == "script" and n.attrs.get("type") == "application/ld+json")
     out["ld_price"] = next((m[1] for m in ld if m), None)
     out["price_section"] = text_of(by("id", "price-section"))
     phrase = first(lambda n: any(isinstance(c, str) and "publicado" in c.lower() for c in n.children))
     out["published_phrase"] = phrase.text() if phrase else None
-    data = first(by("id", "__NEXT_DATA__"))
+    data = by("id", "__NEXT_DATA__")
     if data:
         try:
             parsed = json.loads(data.text())
@@ -411,15 +427,19 @@ def page_node(data: Column) -> Column:
 
 
 def truthy_text(value: Column, *paths: str) -> Column:
-    return F.coalesce(*(F.nullif(F.trim(F.try_variant_get(value, p, "string")), F.lit("")) for p in paths))
+    return F.coalesce(*(unless(F.trim(F.try_variant_get(value, p, "string")), "") for p in paths))
+
 
+def with_page_parts(rows: DataFrame) -> DataFrame:
+    """Adds node, node_listing, node_price and node_address to rows with data: the parts of its JSON that many fields stand in, each looked up once."""
+    rows = rows.withColumn("node", page_node(F.col("data")))
+    rows = rows.withColumns({"node_listing": F.try_variant_get("node", "$.listing", "variant"), "node_price": rental_row(F.try_variant_get("node", "$.prices", VARIANTS))})
+    return rows.withColumn("node_address", F.coalesce(F.try_variant_get("node_listing", "$.address", "variant"), F.try_variant_get("node", "$.address", "variant")))
 
-def page_fields(page: Column, data: Column) -> dict[str, Column]:
-    """Fields of the page node; a few stand only below baseData.pageData of the whole JSON."""
-    listing = F.try_variant_get(page, "$.listing", "variant")
-    own = F.try_variant_get(listing, "$.address", "variant")
-    address = F.coalesce(own, F.try_variant_get(page, "$.address", "variant"))
-    price = rental_row(F.try_variant_get(page, "$.prices", VARIANTS))
+
+def page_fields() -> dict[str, Column]:
+    """Fields of the page node of rows with_page_parts; a few stand only below baseData.pageData of the whole JSON."""
+    page, data, listing, address, price = (F.col(c) for c in ("node", "data", "node_listing", "node_address", "node_price"))
     number = truthy_text(address, "$.streetNumber")
     base = "$.baseData.pageData"
 
@@ -431,7 +451,7 @@ def page_fields(page: Column, data: Column) -> dict[str, Column]:
 
     codes = F.coalesce(F.try_variant_get(listing, "$.amenities.values", "array<string>"), F.try_variant_get(page, "$.amenities", "array<string>"))
     point = geo.point(geo.number_of(address, "$.point.lat"), geo.number_of(address, "$.point.lon"))
-    photos = arrays.image_urls(F.try_variant_get(data, f"{base}.listing.imageList", VARIANTS))
+    photos = bound(arrays.image_urls(F.try_variant_get(data, f"{base}.listing.imageList", VARIANTS)), lambda links: F.when(F.size(links) > 0, links))
     return {
         "id": F.coalesce(F.try_variant_get(data, f"{base}.listingId", "string").try_cast("bigint"), F.lit(0).cast("bigint")),
         "aluguel": F.coalesce(*whole(listing, "$.prices.rent", "$.prices.mainValue"), *whole(price, "$.price", "$.rentalInfo.monthlyRentalTotalPrice"), tracked("rentalPrices")),
@@ -439,9 +459,9 @@ def page_fields(page: Column, data: Column) -> dict[str, Column]:
         "iptu": F.coalesce(*whole(listing, "$.prices.iptu"), *whole(price, "$.iptu", "$.yearlyIptu"), tracked("iptuPrices")),
         "area": F.coalesce(tracked("usableAreas"), *whole(listing, "$.amenities.usableAreas[0]")), "banheiros": F.coalesce(tracked("bathrooms"), *whole(listing, "$.amenities.bathrooms[0]")),
         "vagas": F.coalesce(tracked("parkingSpaces"), *whole(listing, "$.amenities.parkingSpaces[0]")), "quartos": tracked("bedrooms"),
-        "enderecoRua": truthy_text(address, "$.street"), "enderecoNumero": F.when(~F.lower(number).contains("undefined"), number), "bairro": truthy_text(address, "$.neighborhood"),
+        "enderecoRua": truthy_text(address, "$.street"), "enderecoNumero": bound(number, lambda n: F.when(~F.lower(n).contains("undefined"), n)), "bairro": truthy_text(address, "$.neighborhood"),
         "cidade": truthy_text(address, "$.city"), "estado": truthy_text(address, "$.stateAcronym", "$.state"), "endereco": F.coalesce(truthy_text(address, "$.fullAddress"), truthy_text(page, "$.formattedAddress")),
-        "locationId": truthy_text(data, f"{base}.address.locationId"), "externalId": truthy_text(data, f"{base}.listing.externalId"), "fotos": F.when(F.size(photos) > 0, photos),
+        "locationId": truthy_text(data, f"{base}.address.locationId"), "externalId": truthy_text(data, f"{base}.listing.externalId"), "fotos": photos,
         "amenidades": arrays.amenity_labels(codes), "tipo_imovel": F.trim(F.try_variant_get(data, f"{base}.listingTrackingData.unitTypes[0]", "string")), "point": point,
         "publicadoHa": dates.iso_to_utc_date(truthy_text(page, "$.createdAt")), "atualizadoHa": dates.iso_to_utc_date(truthy_text(page, "$.updatedAt")),
     }
@@ -497,28 +517,28 @@ def detail_records(pages: DataFrame, as_of: Column) -> DataFrame:
     rows = element_fields(pages, ("url", "html")).withColumn("text", plain_text(F.col("html")))
     rows = rows.withColumns({f"d_{k}": v for k, v in property_columns().items()}).drop("text")
     rows = rows.withColumns({"data": embedded_json(F.col("html"), "locationId"), "chunk": listing_chunk(F.col("html")), "best": F.try_parse_json("best_listing")})
-    rows = rows.withColumn("node", page_node(F.col("data")))
-    f, html, best, chunk = page_fields(F.col("node"), F.col("data")), F.col("html"), F.col("best"), F.col("chunk")
+    rows = with_page_parts(rows)
+    f, html, best, chunk = page_fields(), F.col("html"), F.col("best"), F.col("chunk")
     json_point = geo.point(F.col("json_lat"), F.col("json_lon"))
-    point = F.coalesce(F.when(f["point"].isNotNull(), F.struct(f["point"]["lat"].alias("lat"), f["point"]["lon"].alias("lon"), F.lit("page_json").alias("source"))), page_point(html, json_point))
+    point = F.coalesce(first_point([(f["point"], "page_json")]), page_point(html, json_point))
 
     def text(name: str, *json_names: str) -> Column:
         """A text of the page JSON, the best listing's address, or the listing's text."""
         other = truthy_text(best, *(f"$.address.{n}" for n in json_names))
-        return F.coalesce(f[name], other, *(F.nullif(quoted_field(chunk, n), F.lit("")) for n in json_names))
+        return F.coalesce(f[name], other, *(unless(quoted_field(chunk, n), "") for n in json_names))
 
     def number(name: str) -> Column:
-        return F.coalesce(F.nullif(f[name], F.lit(0)), F.nullif(F.col(f"d_{name}"), F.lit(0)), F.lit(0).cast("bigint")).try_cast("int")
+        return F.coalesce(unless(f[name], 0), unless(F.col(f"d_{name}"), 0), F.lit(0).cast("bigint")).try_cast("int")
 
     updated = F.coalesce(f["atualizadoHa"], dates.relative_date(html, "atualizado", as_of), dates.iso_to_utc_date(text_at(best, "$.updatedAt")), snippets(html)["updated"])
-    street, no, district, city, state = text("enderecoRua", "street"), text("enderecoNumero", "streetNumber"), text("bairro", "neighborhood"), text("cidade", "city"), text("estado", "stateAcronym", "state")
-    rows = rows.withColumn("found_point", point)
-    point = F.col("found_point")
+    places = {"street": text("enderecoRua", "street"), "no": text("enderecoNumero", "streetNumber"), "district": text("bairro", "neighborhood"), "city": text("cidade", "city"), "state": text("estado", "stateAcronym", "state")}
+    rows = rows.withColumns({"found_point": point, "photos": f["fotos"], **{f"found_{k}": v for k, v in places.items()}})
+    point, photos, street, no, district, city, state = (F.col(c) for c in ("found_point", "photos", *(f"found_{k}" for k in places)))
     return rows.select(
-        "page_id", f["id"].alias("id"), "url", F.coalesce(F.get(f["fotos"], F.lit(0)), F.lit("")).alias("thumb"), *(number(c).alias(c) for c in ("aluguel", "iptu", "condominio", "banheiros", "vagas", "area")),
+        "page_id", f["id"].alias("id"), "url", F.coalesce(F.get(photos, F.lit(0)), F.lit("")).alias("thumb"), *(number(c).alias(c) for c in ("aluguel", "iptu", "condominio", "banheiros", "vagas", "area")),
         F.lit(0).alias("venda"), F.coalesce(f["quartos"], F.lit(0).cast("bigint")).try_cast("int").alias("quartos"), district.alias("bairro"), F.coalesce(f["tipo_imovel"], F.lit("")).alias("tipo_imovel"),
         texts.address_line(street, no, district, city, state).alias("endereco"), F.coalesce(point["lat"], F.lit(0.0)).alias("lat"), F.coalesce(point["lon"], F.lit(0.0)).alias("long"), point["source"].alias("geoSource"),
-        f["amenidades"].alias("amenidades"), city.alias("cidade"), state.alias("estado"), street.alias("enderecoRua"), no.alias("enderecoNumero"), f["fotos"].alias("fotos"), f["externalId"].alias("externalId"), f["locationId"].alias("locationId"),
+        f["amenidades"].alias("amenidades"), city.alias("cidade"), state.alias("estado"), street.alias("enderecoRua"), no.alias("enderecoNumero"), photos.alias("fotos"), f["externalId"].alias("externalId"), f["locationId"].alias("locationId"),
         F.coalesce(f["publicadoHa"], dates.relative_date(F.col("published_phrase"), "publicado", as_of)).alias("publicadoHa"), updated.alias("atualizadoHa"), F.lit(True).alias("isAbsoluteLocation"),
     )
 

@@ -27,3 +27,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt evenly over as many tasks as a shuffle has: for small rows that much work is done on, since a small file is read by few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import extract
+from ..operators.tables import spread
 from ..sources import envelopes
 from ..sources.pages import cards, points, read_pages
 from .registry import query
@@ -103,7 +104,8 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         '<div><span class="value-item__tooltip-wrapper">o IPTU</span><i><b class="value-item__value">', F.when(k % 2 == 0, F.lit("Isento")).otherwise(text("R$ ", k % 90 + 1)), "</b></i></div>",
         F.when(k % 2 == 0, text('<span itemprop="floorSize">', k % 300, " m²</span>")).otherwise(text("<p>com ", k % 300, " m² e ")), "2 banheiros, 1 vaga</p><p>Publicado há 2 meses</p>", '<script id="__NEXT_DATA__" type="application/json">', F.to_json(best), "</script></body></html>",
     )
-    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("page_id"), text("http://p/", k).alias("url"), html.alias("html"))
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(k, name, "c_mktsegment")
+    return spread(customers).select(k.alias("page_id"), text("http://p/", k).alias("url"), html.alias("html"))
 
 
 @query("""SELECT c_custkey AS page_id, 'T ' || c_custkey || ' & U' AS title, 'Casa ' || c_name AS heading, 1 AS links, CASE WHEN length('Rua ' || c_name || ' - Centro') > 12 THEN 'Rua ' || c_name || ' - Centro' END AS address,
