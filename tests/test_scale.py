@@ -7,7 +7,7 @@ from lotwise.plans import registry
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["f70_page_elements", "f71_best_listings", "f73_detail_records"])
+@pytest.mark.parametrize("name", ["f70_page_elements", "f71_best_listings", "f72_property_data", "f73_detail_records"])
 def test_pages_of_a_small_file_are_worked_on_by_all_tasks(spark, name):
     assert registry.queries()[name](spark, SF).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
