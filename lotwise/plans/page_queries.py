@@ -199,14 +199,14 @@ def f76_page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         'x "listing" : {"street":"Rua \\u00e9 ', k, '",', point, '"createdAt":"', day, 'T01:00:00Z","amenities":{"values":["POOL","X_Y"]}} ', about, ' "formattedAddress":"A ', c, '" "updatedAt":"2026-06-02T00:00:00Z"',
         '<script id="__NEXT_DATA__" type="application/json">{"n":', c, "}</script>",
     )
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(k.alias("page_id"), html.alias("html"))
-    h = F.col("html")
-    s, found = extract.snippets(h), extract.page_point(h, F.lit(None).cast("struct<lat:double,lon:double>"))
-    about = extract.approximate_point(h)
+    rows = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(k, c)).select(k.alias("page_id"), html.alias("html"))
+    h, n = F.col("html"), F.col("page_id")
+    s, point, about = extract.snippets(h), extract.page_point(h, F.lit(None).cast("struct<lat:double,lon:double>")), extract.approximate_point(h)
+    rows = rows.withColumns({"point": point, "about": about, "published": s["published"]})  # each named more than once below
     return rows.select(
-        "page_id", extract.quoted_field(extract.listing_chunk(h), "street").alias("street"), F.when(F.col("page_id") % 3 == 0, found["lat"]).otherwise(-(F.col("page_id") % 80).cast("double")).alias("lat"), found["source"].alias("source"),
-        about["lat"].alias("about_lat"), about["lon"].alias("about_lon"), s["address"].alias("address"), s["amenities"].alias("amenities"), s["published"].alias("published"),
-        extract.dated_sentence(s["published"], s["updated"]).alias("sentence"), F.try_variant_get(extract.next_data(h), "$.n", "bigint").alias("next"),
+        n, extract.quoted_field(extract.listing_chunk(h), "street").alias("street"), F.when(n % 3 == 0, F.col("point.lat")).otherwise(-(n % 80).cast("double")).alias("lat"), F.col("point.source").alias("source"),
+        F.col("about.lat").alias("about_lat"), F.col("about.lon").alias("about_lon"), s["address"].alias("address"), s["amenities"].alias("amenities"), F.col("published"),
+        extract.dated_sentence(F.col("published"), s["updated"]).alias("sentence"), F.try_variant_get(extract.next_data(h), "$.n", "bigint").alias("next"),
     )
 
 

@@ -7,12 +7,12 @@ from lotwise.plans import registry
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["f70_page_elements", "f71_best_listings", "f72_property_data", "f73_detail_records"])
+@pytest.mark.parametrize("name", ["f70_page_elements", "f71_best_listings", "f72_property_data", "f73_detail_records", "f76_page_texts"])
 def test_pages_of_a_small_file_are_worked_on_by_all_tasks(spark, name):
     assert registry.queries()[name](spark, SF).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@pytest.mark.parametrize(("name", "most"), [("f73_detail_records", 100)])
+@pytest.mark.parametrize(("name", "most"), [("f73_detail_records", 100), ("f76_page_texts", 40)])
 def test_patterns_are_searched_once(spark, name, most):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract(") + plan.count("regexp_instr(") <= most
