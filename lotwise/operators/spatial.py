@@ -117,36 +117,51 @@ def adaptive_cells(points: DataFrame, cap: int, max_depth: int = MAX_DEPTH) -> D
     return leaves
 
 
-def level_of(r: dict[str, Column]) -> Column:
-    """Exponent of the smallest grid of powers of two whose cells are as long as a rectangle's longer side; cell numbers stay below 2^51."""
-    side = F.greatest(r["max_x"] - r["min_x"], r["max_y"] - r["min_y"])
-    far = F.greatest(*(F.abs(v) for v in r.values()))
-    return F.greatest(F.ceil(F.log2(F.greatest(side, F.lit(1e-300)))), F.ceil(F.log2(F.greatest(far, F.lit(1e-290)))) - 50).cast("int")
+#: Grids that points may be dealt to; with more in use, neighbouring ones share the coarser.
+MAX_GRIDS = 64
+
+
+def level_of(low: Column, high: Column) -> Column:
+    """Exponent of the smallest power of two that is as long as a side; cell numbers stay below 2^51."""
+    far = F.greatest(F.abs(low), F.abs(high))
+    return F.greatest(F.ceil(F.log2(F.greatest(high - low, F.lit(1e-300)))), F.ceil(F.log2(F.greatest(far, F.lit(1e-290)))) - 50).cast("int")
 
 
 def in_rectangles(points: DataFrame, rectangles: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     """Every pair of a point and a rectangle (max_x, max_y, min_x, min_y) that holds it, edges included, with all columns of both.
 
-    A rectangle lies in the grid whose cells are as long as its longer side, so it covers at most four of them, however
-    large it is; a point lies in one cell of each grid in use. Both are joined by grid and cell and then compared. Each
-    pair meets once. Grids in use are as many as there are different magnitudes of sides, about 1,100 at the very most.
-    Null coordinates and empty rectangles pair with nothing. Points in a hot cell are split by Spark's skew join.
+    A rectangle lies in the grid whose cells are as wide and as high as itself, rounded up to powers of two, so it covers at
+    most four of them, however large or flat it is; a point lies in one cell of each grid in use. Both are joined by grid and
+    cell and then compared. Each pair meets once. If more than MAX_GRIDS grids are in use, exponents are rounded up to
+    multiples of 2, 4, ... until there are no more. Null coordinates and empty rectangles pair with nothing. Points in a hot
+    cell are split by Spark's skew join.
     """
     b = {k: F.col(k).cast("double") for k in BOUNDS}
-    boxes = rectangles.where((b["min_x"] <= b["max_x"]) & (b["min_y"] <= b["max_y"])).withColumn("_level", level_of(b))
-    levels = sorted(r[0] for r in boxes.select("_level").distinct().collect())
+    boxes = rectangles.where((b["min_x"] <= b["max_x"]) & (b["min_y"] <= b["max_y"]))
+    boxes = boxes.withColumns({"_lx": level_of(b["min_x"], b["max_x"]), "_ly": level_of(b["min_y"], b["max_y"])})
+    used, step = {(r[0], r[1]) for r in boxes.select("_lx", "_ly").distinct().collect()}, 1
+
+    def rounded(level: int, step: int) -> int:
+        return -(-level // step) * step
+
+    while len({(rounded(i, step), rounded(j, step)) for i, j in used}) > MAX_GRIDS:
+        step *= 2
+    grids = sorted({(rounded(i, step), rounded(j, step)) for i, j in used})
+    boxes = boxes.withColumns({c: (F.ceil(F.col(c) / step) * step).cast("int") for c in ("_lx", "_ly")})
 
-    def cell(value: Column, level: Column) -> Column:
-        return F.floor(value / F.pow(F.lit(2.0), level)).cast("bigint")
+    def cell(value: Column, level: str) -> Column:
+        return F.floor(value / F.pow(F.lit(2.0), F.col(level))).cast("bigint")
 
     def span(axis: str) -> Column:
-        return F.explode(F.sequence(cell(b[f"min_{axis}"], F.col("_level")), cell(b[f"max_{axis}"], F.col("_level"))))
+        return F.explode(F.sequence(cell(b[f"min_{axis}"], f"_l{axis}"), cell(b[f"max_{axis}"], f"_l{axis}")))
 
     boxes = boxes.withColumn("_i", span("x")).withColumn("_j", span("y"))
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    places = points.where(px.isNotNull() & py.isNotNull()).withColumn("_level", F.explode(F.array(*map(F.lit, levels)).cast("array<int>")))
-    places = places.withColumns({"_i": cell(px, F.col("_level")), "_j": cell(py, F.col("_level"))})
-    return places.join(boxes, ["_level", "_i", "_j"]).where(px.between(b["min_x"], b["max_x"]) & py.between(b["min_y"], b["max_y"])).drop("_level", "_i", "_j")
+    each = F.array(*(F.struct(F.lit(i).alias("_lx"), F.lit(j).alias("_ly")) for i, j in grids)).cast("array<struct<_lx:int,_ly:int>>")
+    places = points.where(px.isNotNull() & py.isNotNull()).withColumn("_grid", F.explode(each)).withColumns({"_lx": F.col("_grid._lx"), "_ly": F.col("_grid._ly")}).drop("_grid")
+    places = places.withColumns({"_i": cell(px, "_lx"), "_j": cell(py, "_ly")})
+    keys = ["_lx", "_ly", "_i", "_j"]
+    return places.join(boxes, keys).where(px.between(b["min_x"], b["max_x"]) & py.between(b["min_y"], b["max_y"])).drop(*keys)
 
 
 def page_plan(cells: DataFrame, size: int, n: str = "n", max_pages: int = MAX_PAGES) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from lotwise.operators import spatial
 from lotwise.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -16,3 +17,25 @@ def test_pages_of_a_small_file_are_worked_on_by_all_tasks(spark, name):
 def test_patterns_are_searched_once(spark, name, most):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract(") + plan.count("regexp_instr(") <= most
+
+
+def test_flat_rectangles_meet_few_points_that_they_do_not_hold(spark):
+    """Rectangles of 1,024 by 1 that lie above each other: a cell as high as they are wide would hold all points."""
+    r = spark.range(64).selectExpr("id AS r", "0D AS min_x", "1000D AS max_x", "CAST(id * 8 AS DOUBLE) AS min_y", "CAST(id * 8 + 1 AS DOUBLE) AS max_y")
+    p = spark.range(5_000).selectExpr("CAST(id % 1000 AS DOUBLE) AS x", "CAST(id % 512 AS DOUBLE) AS y")
+    out = spatial.in_rectangles(p, r)
+    assert out.count() == sum(k % 512 % 8 < 2 for k in range(5_000))
+    met = spatial.in_rectangles(p, r, "x", "y")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ly" in met
+
+
+def test_equal_points_meet_rectangles_once(spark, tmp_path):
+    """A table repeated under other keys has as many different points, so no more rows go to the join."""
+    line = spark.read.parquet(f"{SF}/lineitem.parquet")
+    spark.read.parquet(f"{SF}/supplier.parquet").write.parquet(f"{tmp_path}/supplier.parquet")
+    for _ in range(5):
+        line.write.mode("append").parquet(f"{tmp_path}/lineitem.parquet")
+    one, five = ({r["s_suppkey"]: r for r in registry.queries()["f85_points_in_rectangles"](spark, d).collect()} for d in (SF, str(tmp_path)))
+    assert {k: (5 * r["points"], r["low"], 5 * r["parts"]) for k, r in one.items()} == {k: (r["points"], r["low"], r["parts"]) for k, r in five.items()}
+    plan = registry.queries()["f85_points_in_rectangles"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.rindex("Aggregate [l_extendedprice")
