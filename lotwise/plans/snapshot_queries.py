@@ -202,15 +202,21 @@ def f34_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("key").agg(F.max(F.try_variant_get("raw", "$.id", "bigint")).alias("id"), F.count("*").alias("copies"))
 
 
-def body_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Line items as one root object for each return flag, every order a key that comes once a line; flag R's body lacks its end."""
+#: Order keys of one body, as a power of two: a file is written by one task, so more orders make more files and not longer ones.
+BODY_ORDERS = 20
+
+
+def body_lines(spark: SparkSession, sf_dir: str, path: str, orders: int = BODY_ORDERS) -> None:
+    """Line items as one root object for each return flag and range of order keys, every order a key that comes once a line; bodies of flag R lack their end."""
     item = F.struct(F.col("l_partkey").alias("id"), F.col("l_quantity").alias("n"), F.lit('a "quoted} {text\\').alias("t"), F.struct(F.col("l_linestatus").alias("status")).alias("by"))
-    rows = read(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_orderkey").alias("o"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("l"), F.concat(F.lit(',"'), "l_orderkey", F.lit('":'), F.to_json(item)).alias("value"))
-    flags = rows.select("l_returnflag").distinct()
-    first = flags.select("l_returnflag", F.lit(-1).cast("long").alias("o"), F.lit(None).alias("l"), F.lit('{"-1":null').alias("value"))
-    last = flags.where("l_returnflag <> 'R'").select("l_returnflag", F.lit(2**62).alias("o"), F.lit(None).alias("l"), F.lit("}").alias("value"))
-    lines = rows.unionByName(first).unionByName(last).repartition("l_returnflag").sortWithinPartitions("l_returnflag", "o", "l")
-    lines.select("l_returnflag", "value").write.partitionBy("l_returnflag").text(path)
+    body = [F.col("l_returnflag"), F.shiftright(F.col("l_orderkey"), orders).alias("part")]
+    rows = read(spark, sf_dir, "lineitem").select(*body, F.col("l_orderkey").alias("o"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("l"), F.concat(F.lit(',"'), "l_orderkey", F.lit('":'), F.to_json(item)).alias("value"))
+    bodies = rows.select("l_returnflag", "part").distinct()
+    first = bodies.select("l_returnflag", "part", F.lit(-(2**62)).alias("o"), F.lit(None).alias("l"), F.lit('{"-1":null').alias("value"))
+    last = bodies.where("l_returnflag <> 'R'").select("l_returnflag", "part", F.lit(2**62).alias("o"), F.lit(None).alias("l"), F.lit("}").alias("value"))
+    tasks = max(2 * bodies.count(), int(spark.conf.get("spark.sql.shuffle.partitions")))  # so a task's share does not grow with the table
+    lines = rows.unionByName(first).unionByName(last).repartition(tasks, "l_returnflag", "part").sortWithinPartitions("l_returnflag", "part", "o", "l")
+    lines.select("l_returnflag", "part", "value").write.partitionBy("l_returnflag", "part").text(path)
 
 
 @query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem)
@@ -220,7 +226,7 @@ def f80_large_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies of one root object each, read in blocks by many tasks: of equal keys the last stays, a cut-off body gives an error."""
     path = fresh_folder(spark, "large-bodies")
     body_lines(spark, sf_dir, path)
-    pieces = bodies.cut_bodies(spark, f"{path}/*/*.txt", 1 << 20, 1 << 16)
+    pieces = bodies.cut_bodies(spark, f"{path}/*/*/*.txt", 1 << 20, 1 << 16)
     flag = F.regexp_extract("path", "l_returnflag=([A-Z])", 1).alias("flag")
     found = bodies.values(pieces).withColumn("id", F.try_variant_get("raw", "$.id", "bigint")).where("id IS NOT NULL").groupBy(flag).agg(F.count("*").alias("listings"), F.sum("id").alias("ids"))
     files = pieces.groupBy(flag).agg(F.coalesce(F.max("code"), F.lit("inserted")).alias("status"), (F.max("piece") > 1).alias("many_pieces"))

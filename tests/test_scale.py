@@ -1,9 +1,11 @@
 """Costs that must not depend on how few files or groups the rows come in."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lotwise.operators import spatial
-from lotwise.plans import registry
+from lotwise.plans import registry, snapshot_queries
+from lotwise.sources import bodies
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,3 +41,17 @@ def test_equal_points_meet_rectangles_once(spark, tmp_path):
     assert {k: (5 * r["points"], r["low"], 5 * r["parts"]) for k, r in one.items()} == {k: (r["points"], r["low"], r["parts"]) for k, r in five.items()}
     plan = registry.queries()["f85_points_in_rectangles"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join") < plan.rindex("Aggregate [l_extendedprice")
+
+
+def test_bodies_grow_in_number_and_not_in_length(spark, tmp_path):
+    """Twice the orders make twice the files, each whole; a longer file would be sorted and written by one task."""
+    keys = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey").distinct().count()
+    snapshot_queries.body_lines(spark, SF, f"{tmp_path}/many", 8)
+    snapshot_queries.body_lines(spark, SF, f"{tmp_path}/one")
+    many, one = (spark.read.text(f"{tmp_path}/{n}/*/*/*.txt").groupBy(F.input_file_name()).count().collect() for n in ("many", "one"))
+    assert len(one) == 3 and len(many) >= 3 * (keys // 256)
+    assert max(r["count"] for r in many) < max(r["count"] for r in one) / 3
+    pieces = bodies.cut_bodies(spark, f"{tmp_path}/many/*/*/*.txt", 1 << 14, 1 << 10)
+    assert {r["code"] for r in pieces.where("path LIKE '%returnflag=R%'").select("code").collect()} == {"cut_off"}
+    got = bodies.values(pieces).select(F.try_variant_get("raw", "$.id", "bigint").alias("id")).where("id IS NOT NULL").count()
+    assert got == spark.read.parquet(f"{SF}/lineitem.parquet").where("l_returnflag <> 'R'").select("l_returnflag", "l_orderkey").distinct().count()
