@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -156,7 +157,7 @@ def resolved_points(pages: DataFrame, lookup: DataFrame) -> DataFrame:
     lookup (address, lat, lon) holds addresses as geocoding_text writes them. Only texts of pages whose link gives no point are
     looked up, each once; those pages alone are joined with what was found, all others stay where they are.
     """
-    found = element_fields(pages, ("html",)).withColumn("params", geo.map_link_params(F.col("html")))
+    found = element_fields(pages, ("html",), ("json_lat", "json_lon")).withColumn("params", geo.map_link_params(F.col("html")))
     tries = page_points(F.col("html"), F.col("params"), geo.point(F.col("json_lat"), F.col("json_lon")))
     link, later = first_point(tries[:2]), tries[2:]
     label = F.when(F.col("params.key").isNotNull(), "maps_embed_q_geocoded_google").otherwise("maps_embed_q_geocoded_nominatim")
@@ -206,15 +207,32 @@ PASS_FIELDS = [
     "title", "heading", "links", "address", "area", "bathrooms", "parking", "fee_text", "tax_text", "fee_tooltip", "tax_tooltip",
     "ld_price", "price_section", "published_phrase", "best_listing", "json_lat", "json_lon",
 ]
-PASS_SCHEMA = "page_id long, " + ", ".join(f"{f} {'long' if f == 'links' else 'double' if f.startswith('json_') else 'string'}" for f in PASS_FIELDS)
+JSON_FIELDS = {"best_listing", "json_lat", "json_lon"}
+PRICE_FIELDS = ["fee_text", "tax_text", "best_listing"]
+PROPERTY_FIELDS = ["area", "bathrooms", "parking", "fee_text", "tax_text", "fee_tooltip", "tax_tooltip", "ld_price", "price_section"]
+# Attributes and tags in the plain forms that leave no doubt; all others are left to HTMLParser.
+BLANK, NAME, VALUE, TAG = r"[ \t\n\r\f]", r"[a-zA-Z_:@][-a-zA-Z0-9_:.@]*+", r""""[^"]*+"|'[^']*+'|[^\s"'<>=`]++""", r"[a-zA-Z][-a-zA-Z0-9:]*+"
+ATTRIBUTES = f"(?:{BLANK}+{NAME}(?:=(?:{VALUE}))?+)*+{BLANK}*+"
+#: A text and what follows it: an end tag, a script or style with its body, a start tag, a comment or a document type.
+PIECE = re.compile(
+    rf"([^<]*+)<(?:/({TAG})>|((script|style){ATTRIBUTES}>)([^<]*+(?:<(?!/\s*+(?i:script|style))[^<]*+)*+)</\4>"
+    rf"|((?!(?i:script|style)[\s/>]){TAG}{ATTRIBUTES}/?>)|!(?:--[^<>-]*+--|(?i:doctype) [a-zA-Z]++)>)"
+)
+ATTRIBUTE_OF, TAG_OF = re.compile(f"{BLANK}+({NAME})(?:=({VALUE}))?+"), re.compile(TAG)
+#: Start tags a worker keeps, and the longest of them; they bound its memory.
+KEPT_TAGS, KEPT_TAG = 10_000, 500
 
 
 class Node:
+    __slots__ = ("tag", "attrs", "parent", "children")
+
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
 
     def text(self) -> str:
         """Texts below, each trimmed, joined by spaces; scripts and styles left out."""
+        if len(self.children) == 1 and isinstance(self.children[0], str):
+            return " ".join(self.children[0].split())
         parts, stack = [], [self]
         while stack:
             x = stack.pop()
@@ -260,6 +278,76 @@ class Tree(HTMLParser):
         self.now.children.append(data)
 
 
+def parsed(html: str) -> list[Node]:
+    """Elements of a page as HTMLParser finds them."""
+    tree = Tree()
+    tree.feed(html)
+    tree.close()
+    return tree.nodes
+
+
+def start_tag(source: str, kept: dict[str, tuple]) -> tuple[str, dict[str, str], bool] | None:
+    """Name, attributes and whether it holds what follows, of a plain start tag without its <; kept holds tags met before."""
+    if made := kept.get(source):
+        return made
+    if "&" in source:
+        nodes = parsed(f"<{source}")
+        if len(nodes) != 1 or nodes[0].children:
+            return None
+        tag, attrs = nodes[0].tag, nodes[0].attrs
+    else:
+        tag, attrs = TAG_OF.match(source)[0], {}
+        for name, value in ATTRIBUTE_OF.findall(source, len(tag)):
+            attrs[name.lower()] = value[1:-1] if value[:1] in ("'", '"') else value
+        tag = tag.lower()
+    made = tag, attrs, tag not in VOID and not (source.endswith("/>") and self_closing(source))
+    if len(source) <= KEPT_TAG:
+        if len(kept) >= KEPT_TAGS:
+            kept.clear()
+        kept[source] = made
+    return made
+
+
+def self_closing(source: str) -> bool:
+    """Whether a plain start tag's last slash is not the end of a value without quotes."""
+    last = None
+    for last in ATTRIBUTE_OF.finditer(source):
+        pass
+    return last is None or last.end() < len(source) - 1
+
+
+def plain_elements(html: str, kept: dict[str, tuple]) -> list[Node] | None:
+    """Elements of a page in document order, the same as parsed() gives in a fraction of its time; None if the page has other than plain forms."""
+    nodes, now, at, match = [], Node("", {}, None), 0, PIECE.match
+    while m := match(html, at):
+        at = m.end()
+        text, end, raw, _, body, start = m.groups()
+        if text:
+            now.children.append(unescape(text) if "&" in text else text)
+        if end:
+            end, node = end.lower(), now
+            while node.parent and node.tag != end:
+                node = node.parent
+            now = node.parent or now
+        elif source := start or raw:
+            made = start_tag(source, kept)
+            if made is None:
+                return None
+            node = Node(made[0], made[1], now)
+            now.children.append(node)
+            nodes.append(node)
+            if raw:
+                if body:
+                    node.children.append(body)
+            elif made[2]:
+                now = node
+    if html.find("<", at) >= 0:
+        return None
+    if at < len(html):
+        now.children.append(unescape(html[at:]))
+    return nodes
+
+
 def walk_json(value: object, limit: int) -> Iterator[dict]:
     """All objects of a JSON value down to a depth, outer ones first, in order."""
     stack = [(value, 0)]
@@ -267,10 +355,11 @@ def walk_json(value: object, limit: int) -> Iterator[dict]:
         x, depth = stack.pop()
         if depth > limit:
             continue
-        inner = x.values() if isinstance(x, dict) else x if isinstance(x, list) else ()
         if isinstance(x, dict):
             yield x
-        stack.extend((y, depth + 1) for y in reversed(list(inner)))
+            x = list(x.values())
+        if isinstance(x, list):
+            stack.extend((y, depth + 1) for y in reversed(x) if isinstance(y, (dict, list)))
 
 
 def is_listing(x: dict) -> bool:
@@ -279,11 +368,14 @@ def is_listing(x: dict) -> bool:
     return isinstance(address, dict) and bool(address.get("street")) and bool(priced)
 
 
+COMPACT, WRITTEN = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")), json.JSONEncoder(ensure_ascii=False)
+
+
 def weight(x: dict) -> int:
     """Length of the object's compact JSON, and 50 for each amenity up to 500."""
     listed = x.get("amenities") or x.get("features") or x.get("conveniences") or []
     values = listed.get("values") if isinstance(listed, dict) else listed
-    return len(json.dumps(x, ensure_ascii=False, separators=(",", ":"))) + min(500, 50 * len(values) if isinstance(values, list) else 0)
+    return len(COMPACT.encode(x)) + min(500, 50 * len(values) if isinstance(values, list) else 0)
 
 
 def best_listing(data: object) -> dict | None:
@@ -323,22 +415,39 @@ def tooltip_price(tooltips: list[Node], label: str, any_case: bool) -> str | Non
     return None
 
 
-def pass_over(html: str | None) -> dict:
-    """The element fields of one page. A page that is not HTML has none."""
-    tree = Tree()
-    tree.feed(html or "")
-    tree.close()
-    nodes = tree.nodes
+def json_fields(nodes: list[Node]) -> dict:
+    """The fields of the page's JSON element; a page without one has none."""
+    data = next((n for n in nodes if n.attrs.get("id") == "__NEXT_DATA__"), None)
+    if data is None:
+        return {}
+    try:
+        read = json.loads(data.text())
+    except ValueError:
+        read = None
+    listing, point = best_listing(read), any_point(read) or (None, None)
+    return {"best_listing": WRITTEN.encode(listing) if listing else None, "json_lat": point[0], "json_lon": point[1]}
+
 
+def element_texts(nodes: list[Node]) -> dict:
+    """The fields of a page's elements."""
     tags: dict[str, Node] = {}
     marked: dict[tuple[str, str], Node] = {}
+    links, other, phrase, tooltips, priced = 0, None, None, [], []
     for n in nodes:
         tags.setdefault(n.tag, n)
-        for pair in n.attrs.items():
-            marked.setdefault(pair, n)
-
-    def first(test) -> Node | None:
-        return next((n for n in nodes if test(n)), None)
+        if n.attrs:
+            for pair in n.attrs.items():
+                marked.setdefault(pair, n)
+            links += n.tag == "a" and "href" in n.attrs
+            cy = n.attrs.get("data-cy")
+            if cy and other is None and "Address" in cy and "property" in cy:
+                other = n
+            if "value-item__tooltip-wrapper" in n.attrs.get("class", "").split():
+                tooltips.append(n)
+            if n.tag == "script" and n.attrs.get("type") == "application/ld+json":
+                priced.append(n)
+        if phrase is None and any(isinstance(c, str) and "publicado" in c.lower() for c in n.children):
+            phrase = n
 
     def text_of(node: Node | None) -> str | None:
         return node.text() if node else None
@@ -346,10 +455,7 @@ def pass_over(html: str | None) -> dict:
     def by(name: str, value: str) -> Node | None:
         return marked.get((name, value))
 
-    out = dict.fromkeys(PASS_FIELDS)
-    out["title"], out["heading"] = text_of(tags.get("title")), text_of(tags.get("h1"))
-    out["links"] = sum(n.tag == "a" and "href" in n.attrs for n in nodes)
-    other = first(lambda n: "Address" in n.attrs.get("data-cy", "") and "property" in n.attrs.get("data-cy", ""))
+    out = {"title": text_of(tags.get("title")), "heading": text_of(tags.get("h1")), "links": links}
     for node in (by("data-testid", "location-address"), by("data-cy", "ldp-overview-address"), by("data-cy", "property-address"), other):
         t = text_of(node)
         if t and len(t) > 12 and ("," in t or "-" in t):
@@ -357,40 +463,41 @@ def pass_over(html: str | None) -> dict:
             break
     out["area"], out["bathrooms"], out["parking"] = (text_of(by("itemprop", p)) for p in ("floorSize", "numberOfBathroomsTotal", "numberOfParkingSpaces"))
     out["fee_text"], out["tax_text"] = text_of(by("data-testid", "condoFee")), text_of(by("data-testid", "iptu"))
-    tooltips = [n for n in nodes if "value-item__tooltip-wrapper" in n.attrs.get("class", "").split()]
     out["fee_tooltip"], out["tax_tooltip"] = tooltip_price(tooltips, "Condomínio", False), tooltip_price(tooltips, "iptu", True)
-    ld = (re.search(r'"price"\s*:\s*(\d+)', n.text()) for n in nodes if n.tag == "script" and n.attrs.get("type") == "application/ld+json")
+    ld = (re.search(r'"price"\s*:\s*(\d+)', n.text()) for n in priced)
     out["ld_price"] = next((m[1] for m in ld if m), None)
     out["price_section"] = text_of(by("id", "price-section"))
-    phrase = first(lambda n: any(isinstance(c, str) and "publicado" in c.lower() for c in n.children))
-    out["published_phrase"] = phrase.text() if phrase else None
-    data = by("id", "__NEXT_DATA__")
-    if data:
-        try:
-            parsed = json.loads(data.text())
-        except ValueError:
-            parsed = None
-        if listing := best_listing(parsed):
-            out["best_listing"] = json.dumps(listing, ensure_ascii=False)
-        out["json_lat"], out["json_lon"] = any_point(parsed) or (None, None)
+    out["published_phrase"] = text_of(phrase)
     return out
 
 
-def element_fields(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """page_id and PASS_FIELDS of every page, each parsed once; keep names text columns that go along (no join brings them back)."""
+def pass_over(html: str | None, fields: Collection[str] = PASS_FIELDS, kept: dict[str, tuple] | None = None) -> dict:
+    """The element fields of one page, or some of them. A page that is not HTML has none. kept: start tags met before."""
+    nodes = plain_elements(html or "", {} if kept is None else kept)
+    if nodes is None:
+        nodes = parsed(html)
+    found = {} if JSON_FIELDS.isdisjoint(fields) else json_fields(nodes)
+    if not JSON_FIELDS.issuperset(fields):
+        found |= element_texts(nodes)
+    return {f: found.get(f) for f in fields}
+
+
+def element_fields(pages: DataFrame, keep: tuple[str, ...] = (), fields: Collection[str] = PASS_FIELDS) -> DataFrame:
+    """page_id and the fields of every page, each parsed once; keep names text columns that go along (no join brings them back)."""
+    kinds = {f: ("long", pa.int64()) if f == "links" else ("double", pa.float64()) if f.startswith("json_") else ("string", pa.string()) for f in fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64() if f == "links" else pa.float64() if f.startswith("json_") else pa.string() for f in PASS_FIELDS]
+        kept: dict[str, tuple] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, 100):
                 b = whole.slice(at, 100)
-                rows = [pass_over(h) for h in b.column("html").to_pylist()]
-                made = [pa.array([r[f] for r in rows], k) for f, k in zip(PASS_FIELDS, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column("page_id"), *made, *(b.column(c) for c in keep)], ["page_id", *PASS_FIELDS, *keep])
+                rows = [pass_over(h, fields, kept) for h in b.column("html").to_pylist()]
+                made = [pa.array([r[f] for r in rows], kind) for f, (_, kind) in kinds.items()]
+                yield pa.RecordBatch.from_arrays([b.column("page_id"), *made, *(b.column(c) for c in keep)], ["page_id", *kinds, *keep])
 
     columns = dict.fromkeys(["html", *keep])
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), *(F.col(c).cast("string").alias(c) for c in columns))
-    return rows.mapInArrow(run, PASS_SCHEMA + "".join(f", {c} string" for c in keep))
+    return rows.mapInArrow(run, ", ".join(["page_id long", *(f"{f} {name}" for f, (name, _) in kinds.items()), *(f"{c} string" for c in keep)]))
 
 
 def property_columns() -> dict[str, Column]:
@@ -514,7 +621,7 @@ def listing_amenities(listing: Column) -> Column:
 
 def detail_records(pages: DataFrame, as_of: Column) -> DataFrame:
     """A rich record of every detail page: the page's JSON first, then its elements and texts, field by field."""
-    rows = element_fields(pages, ("url", "html")).withColumn("text", plain_text(F.col("html")))
+    rows = element_fields(pages, ("url", "html"), [*PROPERTY_FIELDS, "published_phrase", *sorted(JSON_FIELDS)]).withColumn("text", plain_text(F.col("html")))
     rows = rows.withColumns({f"d_{k}": v for k, v in property_columns().items()}).drop("text")
     rows = rows.withColumns({"data": embedded_json(F.col("html"), "locationId"), "chunk": listing_chunk(F.col("html")), "best": F.try_parse_json("best_listing")})
     rows = with_page_parts(rows)

@@ -52,7 +52,7 @@ def f41_script_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def f42_monthly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rent, fee, tax and total of every page: listing JSON, fragments, elements and texts in turn."""
-    rows = extract.monthly_prices(extract.element_fields(_pages(spark, sf_dir), ("html",)))
+    rows = extract.monthly_prices(extract.element_fields(_pages(spark, sf_dir), ("html",), extract.PRICE_FIELDS))
     return rows.select("page_id", "rent", "fee", "tax", "total")
 
 
@@ -119,7 +119,7 @@ def f70_page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT c_custkey AS page_id, 'C ' || c_name AS street, c_custkey + 10 AS rent, CASE WHEN c_custkey % 80 > 0 THEN (c_custkey % 80)::DOUBLE END AS json_lat, CASE WHEN c_custkey % 80 > 0 THEN -43.5::DOUBLE END AS json_lon FROM customer""")
 def f71_best_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The weightiest object that looks like a listing, and the first point anywhere in a page's JSON, where a zero is no coordinate."""
-    e = extract.element_fields(detail_pages(spark, sf_dir)).withColumn("best", F.try_parse_json("best_listing"))
+    e = extract.element_fields(detail_pages(spark, sf_dir), fields=("best_listing", "json_lat", "json_lon")).withColumn("best", F.try_parse_json("best_listing"))
     return e.select("page_id", F.try_variant_get("best", "$.address.street", "string").alias("street"), F.try_variant_get("best", "$.prices.rent", "bigint").alias("rent"), "json_lat", "json_lon")
 
 
@@ -164,7 +164,7 @@ def priced_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT k AS page_id, CASE WHEN written THEN CAST(left(k::VARCHAR, 3) AS BIGINT) ELSE k END AS rent, k % 50 AS fee, k % 100 AS tax, CASE WHEN written THEN CAST(left((k + 9)::VARCHAR, 3) AS BIGINT) ELSE k + 9 END AS total FROM o""")
 def f74_monthly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rent, fee, tax and total wherever a page has them; a number in a text without dots counts by its first three digits."""
-    rows = extract.monthly_prices(extract.element_fields(priced_pages(spark, sf_dir), ("html",)))
+    rows = extract.monthly_prices(extract.element_fields(priced_pages(spark, sf_dir), ("html",), extract.PRICE_FIELDS))
     return rows.select("page_id", "rent", "fee", "tax", "total")
 
 

@@ -1,9 +1,11 @@
 """Costs that must not depend on how few files or groups the rows come in."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators import spatial
+from lotwise.operators import extract, spatial
 from lotwise.plans import registry, snapshot_queries
 from lotwise.sources import bodies
 
@@ -21,6 +23,39 @@ def test_patterns_are_searched_once(spark, name, most):
     assert plan.count("regexp_extract(") + plan.count("regexp_instr(") <= most
 
 
+ODD_PAGES = [
+    "<p>a<b x=1 y='2' z>c</p>d</b>e", "<a href=/x/>t</a><br/>u<i x='&amp;'>&lt;v</i>", "<div/>a<DIV Class=\"q\">b</div>", "<script>var t='</p>';</script><p>a", "<script>a</SCRIPT>b", "<script src=a/>b</script>c", "<script>open",
+    "a < b <p x =1>c", "<b x=\"1\"y=\"2\">d", "<a x=1\xa0y>e</a>", "<!-- a --><!DOCTYPE html><!--a-b-->f", "<p/ >g</p x>h</>", "&am", "<p>a&", "<", "",
+]
+
+
+@pytest.mark.parametrize("html", ODD_PAGES)
+def test_plain_elements_are_those_of_the_html_parser(html):
+    def shape(nodes):
+        at = {id(n): k for k, n in enumerate(nodes)}
+        return [(n.tag, n.attrs, at.get(id(n.parent)), [c if isinstance(c, str) else at[id(c)] for c in n.children]) for n in nodes]
+
+    found = extract.plain_elements(html, {})
+    assert found is None or shape(found) == shape(extract.parsed(html))
+
+
+def test_plain_pages_are_split_by_one_pattern(monkeypatch):
+    """HTMLParser took most of the time of every page; only pages with other than plain forms need it."""
+    html = '<!DOCTYPE html><html><title>T &amp; U</title><script>x("</p>")</script><p data-testid="location-address">Rua Longa, 1 - B</p><script id="__NEXT_DATA__" type=\'a\'>{"lat": 1, "lon": 2}</script>'
+    monkeypatch.setattr(extract, "parsed", lambda html: pytest.fail("parsed"))
+    made = extract.pass_over(html)
+    assert (made["title"], made["address"], made["json_lat"], made["json_lon"], made["links"]) == ("T & U", "Rua Longa, 1 - B", 1.0, 2.0, 0)
+
+
+@pytest.mark.parametrize(("name", "fields"), [
+    ("f71_best_listings", {"best_listing", "json_lat", "json_lon"}),
+])
+def test_pages_are_asked_for_the_fields_of_a_query_alone(spark, name, fields):
+    plan = registry.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+    asked = re.search(r"MapInArrow run\(.*?\)#\d+, \[(.*?)\]", plan)[1]
+    assert {f.split("#")[0] for f in asked.split(", ")} - {"page_id", "html"} == fields
+
+
 def test_flat_rectangles_meet_few_points_that_they_do_not_hold(spark):
     """Rectangles of 1,024 by 1 that lie above each other: a cell as high as they are wide would hold all points."""
     r = spark.range(64).selectExpr("id AS r", "0D AS min_x", "1000D AS max_x", "CAST(id * 8 AS DOUBLE) AS min_y", "CAST(id * 8 + 1 AS DOUBLE) AS max_y")
