@@ -112,8 +112,8 @@ def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
  CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 300 || ' m²' END AS area, 'R$ ' || (c_custkey % 700 + 1) AS fee_tooltip, CASE WHEN c_custkey % 2 = 0 THEN 'Isento' ELSE 'R$ ' || (c_custkey % 90 + 1) END AS tax_tooltip,
  CAST(c_custkey + 5 AS VARCHAR) AS ld_price, 'Publicado há 2 meses' AS published_phrase FROM customer""")
 def f70_page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = extract.element_fields(detail_pages(spark, sf_dir))
-    return e.select("page_id", "title", "heading", F.col("links").cast("int").alias("links"), "address", "area", "fee_tooltip", "tax_tooltip", "ld_price", "published_phrase")
+    fields = ("title", "heading", "links", "address", "area", "fee_tooltip", "tax_tooltip", "ld_price", "published_phrase")
+    return extract.element_fields(detail_pages(spark, sf_dir), fields=fields).withColumn("links", F.col("links").cast("int"))
 
 
 @query("""SELECT c_custkey AS page_id, 'C ' || c_name AS street, c_custkey + 10 AS rent, CASE WHEN c_custkey % 80 > 0 THEN (c_custkey % 80)::DOUBLE END AS json_lat, CASE WHEN c_custkey % 80 > 0 THEN -43.5::DOUBLE END AS json_lon FROM customer""")
