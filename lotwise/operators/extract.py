@@ -520,7 +520,7 @@ def property_columns() -> dict[str, Column]:
 
 def property_data(pages: DataFrame) -> DataFrame:
     """page_id and the property columns: a page's elements first, then its text, then its scripts."""
-    rows = element_fields(pages, ("html",)).withColumn("text", plain_text(F.col("html")))
+    rows = element_fields(pages, ("html",), PROPERTY_FIELDS).withColumn("text", plain_text(F.col("html")))
     return rows.select("page_id", *(v.alias(k) for k, v in property_columns().items()))
 
 

@@ -50,6 +50,7 @@ def test_plain_pages_are_split_by_one_pattern(monkeypatch):
 @pytest.mark.parametrize(("name", "fields"), [
     ("f70_page_elements", {"title", "heading", "links", "address", "area", "fee_tooltip", "tax_tooltip", "ld_price", "published_phrase"}),
     ("f71_best_listings", {"best_listing", "json_lat", "json_lon"}),
+    ("f72_property_data", set(extract.PROPERTY_FIELDS)),
 ])
 def test_pages_are_asked_for_the_fields_of_a_query_alone(spark, name, fields):
     plan = registry.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()
