@@ -36,6 +36,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -91,62 +92,89 @@ def words_of(sentence: str, run: list[str]) -> list[str]:
     """
     out = []
     for w in sentence.split():
-        plain = w.isalnum()
-        if not plain:
+        if not w.isalnum():
             w = w.strip(",;:|\"'()[]{}.!?")
-            plain = w.isalnum()
-        if plain and FRAGMENT < len(w) <= WORD:  # most words
-            out.append(w)
-            run.clear()
-            continue
-        out += parts_of(w)
-        pieces = [w] if plain else PIECE.findall(w)
-        if len(pieces) > 1:
-            out += parts_of("".join(pieces))
-            if "!" in w:
-                out += parts_of("".join(PIECE.findall(w.replace("!", "i"))))
-            if any(c in w for c in ".!?"):  # marks that may also have ended a sentence
+            if not w.isalnum():
+                pieces = PIECE.findall(w)
+                out += marked_readings(w, pieces)
                 for p in pieces:
-                    out += parts_of(p)
-        for p in pieces:
-            if len(p) > FRAGMENT or p.isdigit():
-                run.clear()
+                    add_windows(p, run, out)
                 continue
-            run.append(p)
-            del run[:-WORD]
-            window = p
-            for before in reversed(run[:-1]):
-                window = before + window
-                if len(window) > WORD:
-                    break
-                if len(window) >= 3:
-                    out.append(window)
+        size = len(w)
+        if size <= FRAGMENT:
+            out.append(w)
+            add_windows(w, run, out)
+            continue
+        if size <= WORD:  # most words
+            out.append(w)
+        else:
+            out += parts_of(w)
+        if run:
+            run.clear()
+    return out
+
+
+def marked_readings(word: str, pieces: list[str]) -> list[str]:
+    """A word with marks inside as it stands, closed up, with i for exclamation marks, and by its pieces where marks may also have ended a sentence."""
+    out = parts_of(word)
+    if len(pieces) > 1:
+        out += parts_of("".join(pieces))
+        if "!" in word:
+            out += parts_of("".join(PIECE.findall(word.replace("!", "i"))))
+        if any(c in word for c in ".!?"):
+            for p in pieces:
+                out += parts_of(p)
     return out
 
 
+def add_windows(piece: str, run: list[str], out: list[str]) -> None:
+    """Adds a piece to the run of fragments, and to out the windows that end with it; a long piece or a number ends the run."""
+    if len(piece) > FRAGMENT or piece.isdigit():
+        run.clear()
+        return
+    run.append(piece)
+    if len(run) < 2:
+        return
+    del run[:-WORD]
+    window = piece
+    for before in run[-2::-1]:
+        window = before + window
+        if len(window) > WORD:
+            break
+        if len(window) >= 3:
+            out.append(window)
+
+
 def sentences_of(text: str) -> list[list[str]]:
     run: list[str] = []
     return [w for s in SENTENCE.split(text.lower()) if (w := words_of(s, run))]
 
 
+def characters(words: list[str]) -> np.ndarray:
+    """All characters of words, one after another, mixed."""
+    return (np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4") * np.uint32(2654435761)) >> np.uint32(16)
+
+
+def spans(chars: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(k, j, codes): the code of the characters at 0, j and k from each place on, for all pairs 0 < j < k < SPAN."""
+    n, ahead = len(chars), chars * np.uint32(31)
+    for k in range(2, min(SPAN, n)):
+        for j in range(1, k):
+            code = (ahead[: n - k] + chars[j : n - k + j]) * np.uint32(1009) + chars[k:]
+            yield k, j, (code * np.uint32(2246822519)) >> np.uint32(17)
+
+
 def subsequences(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, code, weight) of every subsequence of three characters, at most SPAN apart."""
-    n = len(words)
-    lengths = np.fromiter(map(len, words), np.int64, n)
-    width = int(lengths.max(initial=0))
-    chars = np.zeros((n, width + SPAN), np.uint32)
-    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
-    chars[np.repeat(np.arange(n), lengths), np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
-    mixed = (chars * np.uint32(2654435761)) >> np.uint32(16)
-    rows, codes, weights = [], [], []
-    for k in range(2, SPAN):
-        r, i = np.nonzero(np.arange(width)[None, :] + k < lengths[:, None])
-        last = mixed[r, i + k]
-        for j in range(1, k):
-            code = (mixed[r, i] * np.uint32(31) + mixed[r, i + j]) * np.uint32(1009) + last
-            rows.append(r)
-            codes.append(((code * np.uint32(2246822519)) >> np.uint32(17)).astype(np.int64))
-            weights.append(np.full(len(r), DECAY ** (k + 1)))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    chars = characters(words)
+    word, left = np.repeat(np.arange(len(words)), lengths), np.repeat(np.cumsum(lengths), lengths) - np.arange(len(chars))
+    rows, codes, weights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+    for k, _, code in spans(chars):
+        at = np.flatnonzero(left[:-k] > k)
+        rows.append(word[at])
+        codes.append(code[at].astype(np.int64))
+        weights.append(np.full(len(at), DECAY ** (k + 1)))
     return np.concatenate(rows), np.concatenate(codes), np.concatenate(weights)
 
 
@@ -174,22 +202,51 @@ class Model:
     offset: float
     empty: bool = False
 
+    @cached_property
+    def weighted(self) -> tuple[np.ndarray, ...]:
+        """(used, first, landmark, value): which codes any landmark holds, and for each code from which place on its landmarks and values stand."""
+        code, landmark = np.nonzero(self.table)
+        return self.table.any(1), np.searchsorted(code, np.arange(TABLE + 1)), landmark, self.table[code, landmark].astype(float)
+
+    def reaching(self, words: list[str]) -> np.ndarray:
+        """Places of the words that may reach FLOOR: only of these the codes are sorted and summed.
+
+        Weights of equal codes add up, so they give the same product with a landmark unsummed, and a norm that is no greater.
+        That norm follows from the length.
+        """
+        n = len(words)
+        lengths = np.fromiter(map(len, words), np.int64, n)
+        chars = characters(words)
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(chars))  # characters to the word's end
+        used, first, landmark, value = self.weighted
+        places, codes, weights = [], [], []
+        for k, j, code in spans(chars):
+            at = np.flatnonzero(used[code] & (left[:-k] > k))
+            places.append(at)
+            codes.append(code[at])
+            weights.append(np.full(len(at), DECAY ** (k + 1)))
+        if not places:
+            return np.zeros(0, np.int64)
+        place, code, weight = np.concatenate(places), np.concatenate(codes), np.concatenate(weights)
+        size = first[code + 1] - first[code]
+        entry = np.repeat(first[code] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        word = np.repeat(np.repeat(np.arange(n), lengths)[place], size)
+        products = np.bincount(word * len(self.landmarks) + landmark[entry], np.repeat(weight, size) * value[entry], n * len(self.landmarks)).reshape(n, -1)
+        norm = sum((k - 1) * np.maximum(lengths - k, 0) * DECAY ** (2 * k + 2) for k in range(2, SPAN))
+        return np.flatnonzero((products.max(1) > 0) & (products.max(1) >= 0.999 * FLOOR * np.sqrt(norm)))
+
     def matches(self, words: list[str]) -> np.ndarray:
         """Kernel values of words with the landmarks."""
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        row, code, weight = subsequences(words)
-        used = self.table.any(1)
-        # By the Cauchy-Schwarz inequality a word reaches FLOOR only if its shared subsequences hold FLOOR squared of its norm.
-        share = np.bincount(row, np.where(used[code], weight**2, 0), len(words))
-        near = np.flatnonzero(share > FLOOR**2 / 2 * np.bincount(row, weight**2, len(words)))
+        near = self.reaching(words)
         if not near.size:
             return out
         word, code, weight = triples([words[k] for k in near])
         word = near[word]
-        if (shared := np.flatnonzero(used[code])).size:  # other subsequences add nothing
-            word, code, weight = word[shared], code[shared], weight[shared]
-            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            out[word[first]] = np.add.reduceat(self.table[code] * weight[:, None].astype(np.float32), first, axis=0)
+        shared = np.flatnonzero(self.weighted[0][code])  # other subsequences add nothing
+        word, code, weight = word[shared], code[shared], weight[shared]
+        first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        out[word[first]] = np.add.reduceat(self.table[code] * weight[:, None].astype(np.float32), first, axis=0)
         out[out < FLOOR] = 0
         return out**POWER
 
@@ -203,8 +260,8 @@ class Matcher:
 
     def sentences(self, sentences: list[list[str]]) -> np.ndarray:
         flat = [w for s in sentences for w in s]
-        new = list({w for w in flat if w not in self.rows})
         rows, store = self.rows, self.store
+        new = list(set(flat).difference(rows))
         if new:
             found = np.concatenate([self.model.matches(new[k : k + 2048]) for k in range(0, len(new), 2048)])
             some = np.flatnonzero(found.any(1))
@@ -219,9 +276,11 @@ class Matcher:
         at = np.fromiter(map(rows.__getitem__, flat), np.int64, len(flat))
         starts = np.cumsum([0, *map(len, sentences[:-1])])
         out = np.zeros((len(sentences), store.shape[1]), np.float32)
-        hit = np.flatnonzero(np.maximum.reduceat(at, starts))  # the others hold no match
-        for k in hit:
-            out[k] = store[at[starts[k] : starts[k] + len(sentences[k])]].max(0)
+        some = np.flatnonzero(at)  # the other words match nothing
+        if some.size:
+            owner = np.searchsorted(starts, some, "right") - 1
+            first = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+            out[owner[first]] = np.maximum.reduceat(store[at[some]], first, axis=0)
         return out
 
     def documents(self, texts: list[str | None]) -> np.ndarray:

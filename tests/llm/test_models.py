@@ -327,3 +327,20 @@ def test_readings_of_short_insults():
     for t in ('"idiot."', "...idiot", "(idiot!) he"):
         assert "idiot" in toxicity.sentences_of(t)[0], t
     assert {"end", "next"} <= set(toxicity.sentences_of("The end.Next one")[0])
+
+
+def test_toxicity_sorts_codes_only_of_words_that_may_match(monkeypatch):
+    """Words that share a syllable with a landmark were all sorted and summed; those that can't reach FLOOR no longer are, with equal matches."""
+    model = toxicity.landmark_model(["worthless", "pathetic", "moron", "disgusting"])
+    words = ["".join("aeioulnrstmd"[(k * 7919 + j * j * 31 + k // (j + 1)) % 12] for j in range(5 + k % 9)) for k in range(3000)]
+    words += ["wortless", "w0rthless", "mmoron", "moro", "pathos", "disgust", "", "ab", "abc"]
+    word, code, weight = toxicity.triples(words)
+    want = np.zeros((len(words), 4))
+    np.add.at(want, word, model.table[code] * weight[:, None])
+    sorted_words = []
+    whole = toxicity.triples
+    monkeypatch.setattr(toxicity, "triples", lambda some: sorted_words.extend(some) or whole(some))
+    got = model.matches(words)
+    assert np.allclose(got, np.where(want < toxicity.FLOOR, 0, want) ** toxicity.POWER, atol=1e-6)
+    matching = (got > 0).any(1).sum()
+    assert 5 <= matching <= len(sorted_words) <= matching + len(words) // 20
