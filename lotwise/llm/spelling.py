@@ -11,7 +11,8 @@ pivots, the left one if the edit lies right of it, else the right one, and a spa
 at a place that the edit moves by one at most. All letters on the pivot's far side from the edit are spared too, and
 of the near side one half, so the index is keyed by the pivot's place, the other word's length and all letters
 that must be spared: at least half the word. Words that meet under a key are verified by edit distance. Keys are
-hashes of letters; every pair of near words meets, and no bucket is capped.
+hashes of letters; every pair of near words meets, and no bucket is capped. Joins are merged: Spark takes the index, dozens
+of rows a word, and the packed files of words for far smaller than they are in memory, and would send them through the driver.
 
 A null or empty text has no words, a very long one is read whole; a null id hashes like an empty one. Repeated rows count
 as often as they are there. Of near words with equal counts the smallest in code-point order is the form. Forms at least
@@ -129,7 +130,7 @@ def near_words(words: DataFrame) -> DataFrame:
     rows = index(words, ranks(words))
     first = rows.where("pivot").select("key", F.col("word").alias("x"), F.col("last").alias("x_last"))
     other = rows.where("NOT pivot").select("key", F.col("word").alias("y"), F.col("last").alias("y_last"))
-    met = first.join(other, "key").where("x_last <= y_last AND x <> y AND levenshtein(x, y, 1) = 1")
+    met = first.join(other.hint("merge"), "key").where("x_last <= y_last AND x <> y AND levenshtein(x, y, 1) = 1")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -138,7 +139,7 @@ def with_roots(links: DataFrame) -> DataFrame:
     links = cut(links.select("word", F.col("form").alias("root")), "forms")
     while True:
         on = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        longer = cut(links.join(on, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "forms")
+        longer = cut(links.join(on.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "forms")
         links = longer.select("word", "root")
         if longer.where("moved").isEmpty():
             return links
@@ -149,15 +150,15 @@ def variants(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = MIN
     words = cut(counts(docs).where((F.char_length("word") >= min_length) & (F.col("n") >= min_count)), "words")
     pairs = cut(near_words(words), "near-words")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("near")).unionByName(pairs.select(F.col("b").alias("word"), F.col("a").alias("near")))
-    near = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    near = both.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")).hint("merge"), "near")
     best = near.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
-    out = words.join(best, "word", "left").withColumn("formed", F.col("n") * FACTOR <= -F.col("best.less"))
+    out = words.join(best.hint("merge"), "word", "left").withColumn("formed", F.col("n") * FACTOR <= -F.col("best.less"))
     out = cut(
         out.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(F.col("formed"), F.col("best.near")).alias("form"), F.when(F.col("formed"), -F.col("best.less")).alias("form_n")),
         "word-forms",
     )
     roots = with_roots(out.where("form IS NOT NULL"))
-    return out.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return out.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 #: DuckDB SQL for variants over documents: CRC-32 by its table of 256 steps, near words by the letters they lose.

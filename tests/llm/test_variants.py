@@ -73,6 +73,20 @@ def test_spelling_variants_agree_with_all_pairs(spark, nothing):
     assert spelling.variants(nothing).count() == 0
 
 
+def test_no_join_of_words_goes_through_the_driver(spark, nothing, monkeypatch):
+    """The index was estimated at the size of the words' file, so 805 MB were broadcast for 0.5 GB of documents."""
+    plans, cut = [], spelling.cut
+
+    def seen(df, *names):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, *names)
+
+    monkeypatch.setattr(spelling, "cut", seen)
+    out = spelling.variants(spark.createDataFrame(rows_of(spelled(4)), nothing.schema))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
+
+
 def test_pivots_are_disjoint_and_cheapest():
     rng = random.Random(3)
     for _ in range(400):
