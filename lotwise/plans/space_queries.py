@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import spatial
+from ..operators import rectangle_sums, spatial
 from .registry import query, read
 
 
@@ -81,6 +81,5 @@ def f85_points_in_rectangles(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     r = read(spark, sf_dir, "supplier").select(k, ((k * 7919) % 90000).cast("double").alias("min_x"), ((k * 31) % 50).cast("double").alias("min_y"))
     r = r.withColumns({"max_x": F.col("min_x") + F.pow(F.lit(2.0), k % 14), "max_y": F.col("min_y") + F.pow(F.lit(2.0), k % 6) / 4})
-    # Equal points are one weighted row, so only different ones meet rectangles.
-    points = read(spark, sf_dir, "lineitem").groupBy("l_extendedprice", "l_quantity").agg(F.count("*").alias("points"), F.sum("l_partkey").alias("parts"))
-    return spatial.in_rectangles(points, r, "l_extendedprice", "l_quantity").groupBy("s_suppkey").agg(F.sum("points").alias("points"), F.min("l_extendedprice").alias("low"), F.sum("parts").alias("parts"))
+    sums = rectangle_sums.sums_in_rectangles(read(spark, sf_dir, "lineitem"), r, "s_suppkey", "l_extendedprice", "l_quantity", "l_partkey")
+    return sums.withColumnsRenamed({"number": "points", "total": "parts"}).select("s_suppkey", "points", "low", "parts")

@@ -1,11 +1,15 @@
 """Costs that must not depend on how few files or groups the rows come in."""
 
+import math
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.operators import extract, spatial
+from lotwise.operators import extract, rectangle_sums, spatial
 from lotwise.plans import registry, snapshot_queries
 from lotwise.sources import bodies
 
@@ -80,6 +84,49 @@ def test_equal_points_meet_rectangles_once(spark, tmp_path):
     assert plan.index("Join") < plan.rindex("Aggregate [l_extendedprice")
 
 
+@pytest.mark.parametrize("strips", [2, 8, 512])
+def test_sums_in_rectangles_agree_with_pairs(spark, monkeypatch, strips):
+    rng = random.Random(strips)
+    monkeypatch.setattr(rectangle_sums, "WORTH", 1)
+    points = [(rng.choice([rng.uniform(-9, 99), float(rng.randint(0, 90)), 7.0]), rng.choice([rng.uniform(0, 9), 3.0, float(rng.randint(0, 9))]), rng.choice([None, rng.randint(-5, 50)])) for _ in range(3_000)]
+    points += [(None, 1.0, 1), (1.0, None, 1), (math.nan, 1.0, 1), (math.inf, 3.0, 1), (-math.inf, 3.0, 1), (-0.0, -0.0, 2), (0.0, 0.0, 3), *points[:500]]
+    boxes = [(k % 60, x, y, x + rng.choice([0.0, 0.5, 3.0, 20.0, 200.0]), y + rng.choice([0.0, 0.25, 2.0, 30.0])) for k in range(90) for x in [float(rng.randint(-10, 90))] for y in [rng.choice([-1.0, 0.0, 2.5, 3.0, 7.7])]]
+    boxes += [(100, 0.0, 0.0, 0.0, 0.0), (101, 5.0, 0.0, 4.0, 9.0), (102, None, 0.0, 4.0, 9.0), (103, 200.0, 0.0, 300.0, 9.0), (None, -9.0, 0.0, 100.0, 9.0), (104, -math.inf, -math.inf, math.inf, math.inf)]
+    want = {}
+    for key, x0, y0, x1, y1 in boxes:
+        for x, y, value in points:
+            if None not in (x0, x, y) and x0 <= x <= x1 and y0 <= y <= y1:
+                n, low, total = want.get(key, (0, math.inf, None))
+                want[key] = n + 1, min(low, x), total if value is None else (total or 0) + value
+    p = spark.createDataFrame(points, "x double, y double, value long")
+    r = spark.createDataFrame(boxes, "key long, min_x double, min_y double, max_x double, max_y double")
+    found = {k: tuple(rest) for k, *rest in rectangle_sums.sums_in_rectangles(p, r, "key", "x", "y", "value", strips).collect()}
+    assert found == want
+    assert rectangle_sums.sums_in_rectangles(p.limit(0), r, "key", "x", "y", "value", strips).count() == 0
+
+
+@pytest.mark.parametrize("huge", [False, True])
+def test_points_of_a_strip_meet_pieces_by_blocks(huge):
+    """Runs of whole blocks, sums that pass 2^63 before they are subtracted, and as many pieces at one place as are compared at once."""
+    rng, n = np.random.default_rng(3), 5_000
+    u, v, value = rng.integers(0, 900, n) / 2, rng.integers(0, 40, n) * 1.0, rng.integers(0, 99, n)
+    value[u == 0] = 2**62 if huge else 5
+    points = pa.table({"u": u, "v": v, "low": u - v, "number": np.ones(n, int), "total": value, "known": np.ones(n, int)})
+    first_u, first_v = rng.integers(1, 450, 3_000) * 1.0, rng.integers(0, 40, 3_000) * 1.0
+    first_u[:2_500] = 7.0
+    pieces = pa.table({"key": np.arange(3_000), "first_u": first_u, "last_u": first_u + rng.integers(0, 400, 3_000), "first_v": first_v, "last_v": first_v + rng.integers(0, 9, 3_000)})
+    found = {r["key"]: (r["number"], r["low"], r["total"], r["known"]) for r in rectangle_sums.meet(points, pieces).to_pylist()}
+    for r in pieces.slice(2_300).to_pylist():
+        inside = (u >= r["first_u"]) & (u <= r["last_u"]) & (v >= r["first_v"]) & (v <= r["last_v"])
+        assert found.get(r["key"]) == ((inside.sum(), (u - v)[inside].min(), value[inside].sum(), inside.sum()) if inside.any() else None)
+
+
+def test_points_and_rectangles_are_not_paired(spark):
+    """Pairs of different points and rectangles grow with the product of both tables: no join may compare them."""
+    plan = registry.queries()["f85_points_in_rectangles"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and ("l_extendedprice" in line or "min_x" in line)]
+
+
 def test_bodies_grow_in_number_and_not_in_length(spark, tmp_path):
     """Twice the orders make twice the files, each whole; a longer file would be sorted and written by one task."""
     keys = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey").distinct().count()
