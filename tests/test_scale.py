@@ -139,3 +139,20 @@ def test_bodies_grow_in_number_and_not_in_length(spark, tmp_path):
     assert {r["code"] for r in pieces.where("path LIKE '%returnflag=R%'").select("code").collect()} == {"cut_off"}
     got = bodies.values(pieces).select(F.try_variant_get("raw", "$.id", "bigint").alias("id")).where("id IS NOT NULL").count()
     assert got == spark.read.parquet(f"{SF}/lineitem.parquet").where("l_returnflag <> 'R'").select("l_returnflag", "l_orderkey").distinct().count()
+
+
+def test_texts_between_braces_are_no_rows_of_a_table(spark, tmp_path, monkeypatch):
+    """Each was shuffled, sorted and written, three for a line item; now a byte range's texts become chunks in the pass that reads them."""
+    n, rows, written = 4_000, {}, bodies.written
+
+    def counted(df, name):
+        out = written(df, name)
+        rows[name] = out.count()
+        return out
+
+    (tmp_path / "large.json").write_text("[" + ",".join(f'{{"id":{k},"t":"a \\"}}{{ \\\\","by":{{"id":-1}}}}' for k in range(n)) + "]")
+    monkeypatch.setattr(bodies, "written", counted)
+    pieces = bodies.cut_bodies(spark, str(tmp_path), 32 << 10, 4 << 10)
+    assert 20 < max(rows.values()) < n / 10
+    found = bodies.values(pieces).select(F.try_variant_get("raw", "$.id", "bigint").alias("id"), F.try_variant_get("raw", "$.t", "string").alias("t"))
+    assert found.agg(F.count("*"), F.sum("id"), F.min("t"), F.max("t")).first()[:] == (n, n * (n - 1) // 2, 'a "}{ \\', 'a "}{ \\')
